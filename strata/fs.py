@@ -20,6 +20,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the sub-directories of ``path`` (empty if it is missing)."""
     fs, p = _fs(spark, path)

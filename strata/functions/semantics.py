@@ -13,6 +13,8 @@ results; each helper here pins one of them down explicitly:
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,7 +81,8 @@ def minor_units_to_amount(c: ColumnLike) -> Column:
 
 def hours_from_minutes(c: ColumnLike) -> Column:
     """``round(minutes / 60.0, 1)`` with half-up decimal rounding."""
-    return F.round(_c(c) / F.lit(60.0), 1)
+    # 60.0 as a DECIMAL literal (a Python float would make it DOUBLE)
+    return F.round(_c(c) / F.lit(Decimal("60.0")), 1)
 
 
 def try_date(c: ColumnLike, fmt: str = "d MMM, yyyy") -> Column:

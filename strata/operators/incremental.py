@@ -39,7 +39,8 @@ _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, key: str, partition_by: str):
+    def __init__(self, spark: SparkSession, root: str, key: str | None = None,
+                 partition_by: str | None = None):
         self.spark, self.root, self.key, self.part = spark, root.rstrip("/"), key, partition_by
 
     # -- metadata -----------------------------------------------------------
@@ -74,6 +75,8 @@ class SnapshotTable:
             {p: m["partitions"][p] for p in partitions if p in m["partitions"]}
         if not wanted:
             return self.spark.createDataFrame([], schema)
+        if self.part is None:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/v={wanted['']:06d}")
         paths = [f"{self.root}/v={ver:06d}/{self.part}={p}" for p, ver in sorted(wanted.items())]
         read_schema = T.StructType(list(schema.fields) + [T.StructField("v", T.StringType())])
         df = (self.spark.read.schema(read_schema).option("basePath", self.root).parquet(*paths))
@@ -89,9 +92,13 @@ class SnapshotTable:
     # -- writes -------------------------------------------------------------
     def _write_version(self, df: DataFrame, version: int) -> list[str]:
         path = f"{self.root}/v={version:06d}"
+        if self.part is None:
+            df.write.mode("overwrite").parquet(path)
+            return [""]
         # Range-partition on (partition value, key): a hot date is split over
         # several writers instead of landing in one task.
-        (df.repartitionByRange(F.col(self.part), F.col(self.key))
+        order = [F.col(self.part)] + ([F.col(self.key)] if self.key else [])
+        (df.repartitionByRange(*order)
            .write.mode("overwrite").partitionBy(self.part).parquet(path))
         prefix = f"{self.part}="
         return [n[len(prefix):] for n in fs.list_dirs(self.spark, path) if n.startswith(prefix)]
@@ -100,6 +107,13 @@ class SnapshotTable:
         body = {"version": version, "partitions": partitions, "schema": schema.json(), "meta": meta}
         fs.write_text(self.spark, f"{self._manifest_dir()}/v={version:06d}.json", json.dumps(body))
 
+    def replace(self, df: DataFrame, meta: dict | None = None) -> dict:
+        """Full rebuild: a new version holding exactly ``df``."""
+        version = (max(self._versions()) + 1) if self._versions() else 1
+        written = self._write_version(df, version)
+        self._commit(version, {p: version for p in written}, df.schema, meta or {})
+        return {"version": version, "partitions": written}
+
     def upsert(self, source: DataFrame, mode: str = "strict", hw_column: str = "extracted_at",
                loaded_column: str = "_loaded_at", order: list | None = None) -> dict:
         """Merge ``source`` on ``key``; returns a small summary."""
