@@ -7,7 +7,7 @@ value, e.g. per review date).
 
 Layout::
 
-    root/v=000003/review_date=2024-01-05/part-....parquet
+    root/snapshot_version=000003/review_date=2024-01-05/part-....parquet
     root/_manifest/v=000003.json   {"partitions": {"2024-01-05": 3, ...}, ...}
 
 A version is visible only once its manifest exists, so a failed or retried
@@ -36,6 +36,7 @@ from strata.operators.dedup import latest_by
 
 _EPOCH = "1970-01-01 00:00:00"
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+_VDIR = "snapshot_version"
 
 
 class SnapshotTable:
@@ -49,7 +50,7 @@ class SnapshotTable:
 
     def _versions(self) -> list[int]:
         names = fs.list_dirs(self.spark, self.root)
-        return sorted(int(n[2:]) for n in names if n.startswith("v="))
+        return sorted(int(n[len(_VDIR) + 1:]) for n in names if n.startswith(_VDIR + "="))
 
     def current(self) -> dict | None:
         """The newest committed manifest, or None before the first run."""
@@ -76,9 +77,9 @@ class SnapshotTable:
         if not wanted:
             return self.spark.createDataFrame([], schema)
         if self.part is None:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/v={wanted['']:06d}")
-        paths = [f"{self.root}/v={ver:06d}/{self.part}={p}" for p, ver in sorted(wanted.items())]
-        read_schema = T.StructType(list(schema.fields) + [T.StructField("v", T.StringType())])
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{_VDIR}={wanted['']:06d}")
+        paths = [f"{self.root}/{_VDIR}={ver:06d}/{self.part}={p}" for p, ver in sorted(wanted.items())]
+        read_schema = T.StructType(list(schema.fields) + [T.StructField(_VDIR, T.StringType())])
         df = (self.spark.read.schema(read_schema).option("basePath", self.root).parquet(*paths))
         return df.select(*[F.col(f.name) for f in schema.fields])
 
@@ -91,7 +92,7 @@ class SnapshotTable:
 
     # -- writes -------------------------------------------------------------
     def _write_version(self, df: DataFrame, version: int) -> list[str]:
-        path = f"{self.root}/v={version:06d}"
+        path = f"{self.root}/{_VDIR}={version:06d}"
         if self.part is None:
             df.write.mode("overwrite").parquet(path)
             return [""]

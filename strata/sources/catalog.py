@@ -5,7 +5,7 @@ One root folder (on shared storage) holds every layer::
     raw/<dataset>/ingest_date=YYYY-MM-DD/...ndjson   landing (stage root)
     bronze/<dataset>/batch_id=N/                      VARIANT documents
     silver/<model>/run=<id>/                          materialized once per build
-    gold/<model>/v=N/ + _manifest/                    versioned gold tables
+    gold/<model>/snapshot_version=N/ + _manifest/     versioned gold tables
     ops/{load_ledger,quarantine,run_ledger,trigger_log}/
     _checkpoints/{ingest/<dataset>,arrival}/          stream offsets
 """

@@ -1,0 +1,148 @@
+"""End to end: NDJSON landing -> bronze -> silver -> gold, with the edge rows."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from strata.plans.build import build, gold_tables, load_raw, run_history
+from strata.sources.bronze import ingest, read_bronze
+from strata.sources.catalog import Lake
+from strata.streaming.ledger import load_history
+from tests.fixtures import D2, review, write, write_pipeline_fixture
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    lake = Lake(str(tmp_path_factory.mktemp("lake")))
+    write_pipeline_fixture(lake.landing)
+    first = load_raw(spark, lake)
+    again = load_raw(spark, lake)
+    results, checks = build(spark, lake)
+    return lake, first, again, results, checks
+
+
+def test_files_load_once(built):
+    _, first, again, _, _ = built
+    assert {k: v.rows for k, v in first.items()} == {
+        "most_played": 7, "player_counts": 4, "reviews": 8, "app_details": 6}
+    assert all(v.rows == 0 for v in again.values())
+
+
+def test_bronze_lineage(spark, built):
+    lake = built[0]
+    b = read_bronze(spark, lake.bronze("reviews")).select("_file", "_loaded_at").collect()
+    files = {r._file for r in b}
+    assert "reviews/ingest_date=2024-03-01/reviews_20240301T060000_part01.ndjson" in files
+    assert all(r._loaded_at is not None for r in b)
+    hist = load_history(spark, lake).collect()
+    assert sum(r.rows for r in hist) == 25
+
+
+def test_all_model_tests_pass(built):
+    _, _, _, results, checks = built
+    assert [c.name for c in checks if not c.passed] == []
+    assert len(checks) == 17
+    assert all(r.status == "SUCCEEDED" for r in results)
+
+
+def test_dim_game(spark, built):
+    dim = {r.game_key: r for r in gold_tables(spark, built[0])["dim_game"].collect()}
+    assert set(dim) == {10, 20, 30, 40}  # never-charted 77 absent, charted without details kept
+    a = dim[10]
+    assert (a.game_name, a.primary_developer, a.primary_publisher, a.primary_genre) == (
+        "Alpha", "DevA", "PubA", "Action")
+    assert a.price_final == Decimal("4.990000") and a.price_currency == "USD"
+    assert a.release_date == dt.date(2013, 11, 8) and a.has_store_page is True
+    assert a.attributes_as_of == dt.datetime(2024, 3, 1, 6, 0)  # failed D2 fetch ignored
+    b = dim[20]
+    assert (b.primary_developer, b.primary_genre, b.price_final) == (None, None, None)
+    assert b.release_date == dt.date(2012, 8, 21)
+    for k in (30, 40):
+        assert dim[k].game_name == f"Unknown ({k})" and dim[k].has_store_page is False
+
+
+def test_fact_daily(spark, built):
+    f = {(r.activity_date.day, r.game_key): r
+         for r in gold_tables(spark, built[0])["fact_daily_game_performance"].collect()}
+    assert len(f) == 6
+    r = f[(1, 10)]
+    assert (r.chart_rank, r.snapshot_player_count) == (5, 1000)  # later extraction wins
+    assert (r.reviews_total, r.reviews_positive, r.reviews_negative) == (4, 2, 2)  # NULL vote negative
+    assert r.avg_weighted_vote_score == pytest.approx(0.35)
+    assert r.median_playtime_at_review_min == Decimal("250.500")
+    assert r.positive_review_ratio == 0.5
+    r = f[(1, 20)]
+    assert (r.reviews_total, r.reviews_positive, r.positive_review_ratio) == (1, 0, 0.0)  # NULL update won
+    for key in [(1, 30), (1, 40), (2, 20)]:
+        r = f[key]
+        assert (r.reviews_total, r.reviews_positive, r.reviews_negative) == (0, 0, 0)
+        assert r.positive_review_ratio is None and r.median_playtime_at_review_min is None
+    assert f[(1, 40)].snapshot_player_count is None and f[(1, 40)].chart_rank == 127
+    assert f[(1, 30)].last_week_rank == -1
+    r = f[(2, 10)]  # created 00:00:00 on day 2 belongs to day 2
+    assert (r.reviews_total, r.positive_review_ratio, r.snapshot_player_count) == (1, 1.0, 2000)
+
+
+def test_fact_review(spark, built):
+    fr = {r.review_id: r for r in gold_tables(spark, built[0])["fact_review"].collect()}
+    assert set(fr) == {"r1", "r2", "r3", "r4", "r5", "r6"}
+    assert (fr["r1"].is_positive, fr["r1"].positive_flag) == (False, 0)
+    assert (fr["r2"].is_positive, fr["r2"].positive_flag) == (None, 0)
+    assert fr["r5"].review_length_chars == 3
+    assert fr["r1"].playtime_at_review_hrs == Decimal("1.7")
+    assert fr["r1"].weighted_vote_score == 0.6
+    assert fr["r2"].review_date == dt.date(2024, 3, 1)
+
+
+def test_report_view(spark, built):
+    rpt = gold_tables(spark, built[0])["rpt_daily_game_performance"].collect()
+    assert len(rpt) == 6 and all(r.game_name for r in rpt)
+    top = [r for r in rpt if r.activity_date == dt.date(2024, 3, 1) and r.chart_rank == 5][0]
+    assert top.positive_review_ratio == Decimal("0.500")
+    assert top.avg_weighted_vote_score == Decimal("0.350")
+
+
+def test_run_history(spark, built):
+    h = run_history(spark, built[0]).collect()
+    assert {r.model for r in h} >= {"dim_game", "fact_review", "fact_daily_game_performance", "tests"}
+
+
+def test_rebuild_is_idempotent(spark, built):
+    lake = built[0]
+    before = sorted(map(tuple, gold_tables(spark, lake)["fact_daily_game_performance"].collect()))
+    build(spark, lake)
+    after = sorted(map(tuple, gold_tables(spark, lake)["fact_daily_game_performance"].collect()))
+    assert before == after
+
+
+@pytest.mark.parametrize("mode,expected", [("strict", 6), ("loaded_at", 7)])
+def test_late_part_of_same_run(spark, tmp_path, mode, expected):
+    lake = Lake(str(tmp_path / "lake"))
+    write_pipeline_fixture(lake.landing)
+    load_raw(spark, lake)
+    build(spark, lake, review_mode=mode)
+    # a late part of the D2 run lands after the build, with the same stamp
+    write(lake.landing, "reviews", D2, [review("r9", 10, "2024-03-02 01:00:00", "2024-03-02 01:00:00",
+                                               True, 5, 0.5)], part=7)
+    load_raw(spark, lake)
+    build(spark, lake, review_mode=mode)
+    g = gold_tables(spark, lake)
+    assert g["fact_review"].count() == expected
+    day2 = [r for r in g["fact_daily_game_performance"].collect()
+            if r.activity_date == dt.date(2024, 3, 2) and r.game_key == 10][0]
+    assert day2.reviews_total == 2  # the daily fact reads silver: counted in both modes
+
+
+def test_malformed_line_strict_and_lenient(spark, tmp_path):
+    raw = tmp_path / "raw" / "most_played" / "ingest_date=2024-03-01"
+    raw.mkdir(parents=True)
+    (raw / "most_played_20240301T060000.ndjson").write_text('{"appid": 1}\n{not json\n\n{"appid": 2}\n')
+    root = str(tmp_path)
+    with pytest.raises(Exception):
+        ingest(spark, f"{root}/raw/most_played", f"{root}/bronze_s", f"{root}/chk_s", strict=True)
+    res = ingest(spark, f"{root}/raw/most_played", f"{root}/bronze_l", f"{root}/chk_l", strict=False,
+                 quarantine=f"{root}/quarantine")
+    assert res.rows == 2
+    q = spark.read.parquet(f"{root}/quarantine").collect()
+    assert [r.line for r in q] == ["{not json"]
