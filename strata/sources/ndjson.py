@@ -41,11 +41,13 @@ def to_ndjson(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def write_ndjson(df: DataFrame, root: str, dataset: str, ts: str,
-                 columns: list[str] | None = None, part: str | None = None) -> str | None:
+                 columns: list[str] | None = None, part: str | None = None,
+                 json_text: str | None = None) -> str | None:
     """Write records under ``root/<dataset>/ingest_date=...[/part=NN]/``; skip when empty.
 
     ``ts`` is the extraction stamp that names the date folder; ``part`` the
-    optional chunk number of a fanned-out run.
+    optional chunk number of a fanned-out run. ``json_text`` names a column
+    that already holds each record's JSON text (written as is).
     """
     if df.isEmpty():
         return None
@@ -55,7 +57,8 @@ def write_ndjson(df: DataFrame, root: str, dataset: str, ts: str,
     if part:
         folders.append(F.lpad(F.col(part).cast("string"), 2, "0").alias("part"))
     names = ["ingest_date", "part"][:len(folders)]
-    lines = df.select(*folders, record_json(cols).alias("value"))
+    body = F.col(json_text) if json_text else record_json(cols)
+    lines = df.select(*folders, body.alias("value"))
     # Range-partition by (folder, line): each folder gets few files, while a
     # folder holding most of the rows is still split over several writers.
     (lines.repartitionByRange(*names, "value")
