@@ -66,14 +66,19 @@ class CheckResult:
         return self.failures == 0
 
 
-def run_checks(checks: list[Check], tables: dict[str, DataFrame], sample: int = 5) -> list[CheckResult]:
-    """Evaluate every check; only a bounded sample of violations reaches the driver."""
-    out = []
-    for chk in checks:
+def run_checks(checks: list[Check], tables: dict[str, DataFrame], sample: int = 5,
+               threads: int = 4) -> list[CheckResult]:
+    """Evaluate every check (``threads`` at a time); only a bounded sample of
+    violations reaches the driver."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(chk: Check) -> CheckResult:
         v = chk.build(tables)
         n = v.count()
-        out.append(CheckResult(chk.name, n, v.limit(sample).collect() if n else []))
-    return out
+        return CheckResult(chk.name, n, v.limit(sample).collect() if n else [])
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return list(pool.map(one, checks))
 
 
 def model_checks() -> list[Check]:

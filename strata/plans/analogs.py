@@ -565,6 +565,99 @@ def export_ndjson_roundtrip(spark, sf_dir):
                        F.col("ingest_date").cast("date").alias("ingest_date"))
 
 
+# ---------------------------------------------------------------- full pipeline
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _iso(ts):
+    return F.date_format(ts.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+
+
+def _steam_shaped(spark, sf_dir) -> dict[str, DataFrame]:
+    """Raw records in the API shapes, derived from the test tables."""
+    ev = table(spark, sf_dir, "events")
+    stamp = [F.col("ts").alias("_ts"), _iso(F.col("ts")).alias("_extracted_at")]
+    most_played = ev.where(F.col("event_type") == "view").select(
+        *stamp, F.lit("GetMostPlayedGames").alias("_source"), F.col("user_id").alias("appid"),
+        F.floor("value").alias("rank"), F.col("event_id").alias("last_week_rank"),
+        F.col("user_id").alias("peak_in_game"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("rollup_date"))
+    player_counts = ev.where(F.col("event_type") == "signup").select(
+        *stamp, F.lit("GetNumberOfCurrentPlayers").alias("_source"), F.col("user_id").alias("appid"),
+        F.floor("value").alias("player_count"), F.lit(1).alias("result"))
+    epoch = F.unix_seconds(F.col("ts").cast("timestamp"))
+    reviews = ev.where(F.col("event_type").isin("purchase", "click", "error")).select(
+        *stamp, F.lit("appreviews").alias("_source"), F.col("user_id").alias("appid"),
+        F.col("event_id").cast("string").alias("recommendationid"),
+        F.struct(F.col("user_id").cast("string").alias("steamid"),
+                 F.floor("value").alias("playtime_at_review")).alias("author"),
+        F.lit("english").alias("language"), F.col("props").alias("review"),
+        epoch.alias("timestamp_created"), epoch.alias("timestamp_updated"),
+        F.when(F.col("event_type") == "purchase", F.lit(True))
+         .when(F.col("event_type") == "click", F.lit(False)).alias("voted_up"),
+        F.col("value").alias("weighted_vote_score"))
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    ok = F.col("c_mktsegment") != "MACHINERY"
+    release = (F.when(F.col("c_nationkey") < 10, F.date_format(F.lit("2013-11-08").cast("date"), "d MMM, yyyy"))
+                .otherwise(F.lit("Coming soon")))
+    data = F.struct(
+        F.col("c_name").alias("name"), F.lit("game").alias("type"),
+        (F.col("c_acctbal") < 0).alias("is_free"),
+        F.array("c_mktsegment").alias("developers"),
+        F.array().cast("array<string>").alias("publishers"),
+        F.array(F.struct(F.col("n_name").alias("description"))).alias("genres"),
+        F.struct(F.lit("USD").alias("currency"),
+                 (F.col("c_acctbal") * 100).cast("decimal(38,0)").cast("bigint").alias("final"))
+         .alias("price_overview"),
+        F.struct(release.alias("date")).alias("release_date"),
+        F.struct(F.col("c_nationkey").alias("score")).alias("metacritic"),
+        F.struct(F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).alias("total")).alias("recommendations"),
+        F.col("n_name").alias("short_description"))
+    details_ts = F.lit(DETAILS_TS).cast("timestamp")
+    app_details = c.join(n, c.c_nationkey == n.n_nationkey).select(
+        details_ts.alias("_ts"), _iso(details_ts).alias("_extracted_at"),
+        F.lit("appdetails").alias("_source"), F.col("c_custkey").alias("appid"),
+        ok.alias("success"), F.when(ok, data).alias("data"))
+    return {"most_played": most_played, "player_counts": player_counts, "reviews": reviews,
+            "app_details": app_details}
+
+
+def _pipeline_lake(spark, sf_dir):
+    """Land, ingest and build once per session and scale; later calls reuse it."""
+    from strata.plans.build import build, load_raw
+    from strata.sources.catalog import Lake
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        lake = Lake(scratch_path(spark, "medallion"))
+        for ds, df in _steam_shaped(spark, sf_dir).items():
+            write_ndjson(df, lake.landing, ds, "_ts", [c for c in df.columns if c != "_ts"])
+        load_raw(spark, lake)
+        build(spark, lake, run_tests=False)
+        _LAKES[key] = lake.root
+    from strata.sources.catalog import Lake
+    return Lake(_LAKES[key])
+
+
+def medallion_report(spark, sf_dir):
+    """The reporting view of the full pipeline: NDJSON -> bronze -> silver -> gold."""
+    from strata.plans.build import gold_tables
+    rpt = gold_tables(spark, _pipeline_lake(spark, sf_dir))["rpt_daily_game_performance"]
+    return rpt.select(*[F.col(c).cast("double").alias(c) if c in (
+        "positive_review_ratio", "avg_weighted_vote_score", "median_playtime_at_review_min")
+        else F.col(c) for c in rpt.columns])
+
+
+def medallion_fact_review(spark, sf_dir):
+    """The incremental review fact of the full pipeline."""
+    from strata.plans.build import gold_tables
+    fr = gold_tables(spark, _pipeline_lake(spark, sf_dir))["fact_review"]
+    return fr.select("review_id", "game_key", "review_date", "is_positive", "positive_flag",
+                     "weighted_vote_score", "playtime_at_review_min",
+                     F.col("playtime_at_review_hrs").cast("double").alias("playtime_at_review_hrs"),
+                     "review_length_chars", _ntz(F.col("created_at")).alias("created_at"))
+
+
 QUERIES = {
     "variant_project": variant_project,
     "variant_nested_array": variant_nested_array,
@@ -604,4 +697,6 @@ QUERIES = {
     "stream_ingest_once": stream_ingest_once,
     "export_ndjson_roundtrip": export_ndjson_roundtrip,
     "load_ledger": load_ledger,
+    "medallion_report": medallion_report,
+    "medallion_fact_review": medallion_fact_review,
 }

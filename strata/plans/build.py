@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,13 +49,25 @@ class RunResult:
 def load_raw(spark: SparkSession, lake: Lake, datasets=DATASETS, strict: bool = True,
              max_files_per_trigger: int | None = None) -> dict[str, IngestResult]:
     """Load every new landing file of each dataset into bronze (once per file)."""
-    out = {}
+    from strata import fs
+    started = {}
     for ds in datasets:
-        out[ds] = ingest(spark, lake.raw(ds), lake.bronze(ds), lake.ingest_checkpoint(ds),
-                         stage_root=lake.landing, strict=strict,
-                         quarantine=None if strict else lake.quarantine(ds),
-                         ledger=lake.load_ledger(ds), max_files_per_trigger=max_files_per_trigger)
-    return out
+        fs.mkdirs(spark, lake.raw(ds))
+        started[ds] = ingest(spark, lake.raw(ds), lake.bronze(ds), lake.ingest_checkpoint(ds),
+                             stage_root=lake.landing, strict=strict,
+                             quarantine=None if strict else lake.quarantine(ds),
+                             ledger=lake.load_ledger(ds), max_files_per_trigger=max_files_per_trigger,
+                             wait=False)
+    # the four tables ingest concurrently; every query is awaited (errors surface)
+    errors = []
+    for ds, (q, _) in started.items():
+        try:
+            q.awaitTermination()
+        except Exception as e:  # noqa: BLE001
+            errors.append(e)
+    if errors:
+        raise errors[0]
+    return {ds: get() for ds, (_, get) in started.items()}
 
 
 def silver_models(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
@@ -77,7 +90,8 @@ def _utcnow() -> dt.datetime:
 
 
 def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
-          review_mode: str = "strict", run_tests: bool = True) -> tuple[list[RunResult], list[CheckResult]]:
+          review_mode: str = "strict", run_tests: bool = True,
+          threads: int = 4) -> tuple[list[RunResult], list[CheckResult]]:
     """Run every model in dependency order, then the data tests; log each model."""
     ensure_session(spark)
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
@@ -95,17 +109,21 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
 
     s = silver_models(spark, lake)
     mat: dict[str, DataFrame] = {}
-    for name in ("silver_most_played", "silver_reviews"):  # two consumers each
-        step(name, lambda n=name: mat.setdefault(n, _materialize(spark, s[n], lake.silver(n, run_id))).count())
+    with ThreadPoolExecutor(max_workers=threads) as pool:  # two consumers each
+        futures = [pool.submit(step, n, lambda n=n: mat.setdefault(
+            n, _materialize(spark, s[n], lake.silver(n, run_id))).count())
+            for n in ("silver_most_played", "silver_reviews")]
+        for f in futures:
+            f.result()
     most_played, reviews = mat["silver_most_played"], mat["silver_reviews"]
 
     dim_t = SnapshotTable(spark, lake.gold("dim_game"))
-    step("dim_game", lambda: dim_t.replace(gold.dim_game(most_played, s["silver_app_details"])) and
-         dim_t.read().count())
     fr_t = SnapshotTable(spark, lake.gold("fact_review"), key="review_id", partition_by="review_date")
+    fd_t = SnapshotTable(spark, lake.gold("fact_daily_game_performance"), key="game_key",
+                         partition_by="activity_date")
     if review_mode == "strict":
         fr_src = gold.fact_review(reviews)
-        step("fact_review", lambda: fr_t.upsert(fr_src, mode="strict")["rows"])
+        fr_job = lambda: fr_t.upsert(fr_src, mode="strict")["rows"]
     else:
         # Only bronze rows not yet consumed are deduplicated and merged.
         cur = fr_t.current()
@@ -116,13 +134,21 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
         new_reviews = silver.silver_reviews(rb)
         fr_src = gold.fact_review(new_reviews).join(new_reviews.select("review_id", "_loaded_at"),
                                                     "review_id")
-        step("fact_review", lambda: fr_t.upsert(
-            fr_src, mode="loaded_at",
-            order=[("updated_at", "desc"), ("extracted_at", "desc")])["rows"])
-    fd_t = SnapshotTable(spark, lake.gold("fact_daily_game_performance"), key="game_key",
-                         partition_by="activity_date")
-    step("fact_daily_game_performance", lambda: fd_t.replace(gold.fact_daily_game_performance(
-        most_played, s["silver_player_counts"], reviews)) and fd_t.read().count())
+        fr_job = lambda: fr_t.upsert(
+            fr_src, mode="loaded_at", order=[("updated_at", "desc"), ("extracted_at", "desc")])["rows"]
+    jobs = {
+        "dim_game": lambda: dim_t.replace(gold.dim_game(most_played, s["silver_app_details"]))
+        and dim_t.read().count(),
+        "fact_review": fr_job,
+        "fact_daily_game_performance": lambda: fd_t.replace(gold.fact_daily_game_performance(
+            most_played, s["silver_player_counts"], reviews)) and fd_t.read().count(),
+    }
+    # independent models run side by side (dbt's ``threads``); Spark schedules
+    # their jobs concurrently on the cluster
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        futures = [pool.submit(step, name, fn) for name, fn in jobs.items()]
+        for f in futures:
+            f.result()
 
     checks: list[CheckResult] = []
     if run_tests:

@@ -277,6 +277,16 @@ SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderstatus,
          || lpad(CAST(CAST(floor(o_orderkey / 5000) AS INTEGER) AS VARCHAR), 2, '0') || '.ndjson' AS object_key,
        DATE '2024-01-31' AS ingest_date
 FROM orders""",
+    "medallion_report": _with("SELECT * FROM rpt"),
+    "medallion_fact_review": """
+SELECT CAST(event_id AS VARCHAR) AS review_id, user_id AS game_key, CAST(ts AS DATE) AS review_date,
+       CASE WHEN event_type = 'purchase' THEN TRUE WHEN event_type = 'click' THEN FALSE END AS is_positive,
+       CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS positive_flag,
+       value AS weighted_vote_score, CAST(floor(value) AS BIGINT) AS playtime_at_review_min,
+       ((CAST(floor(value) AS BIGINT) * 10 + 30) // 60) / 10.0 AS playtime_at_review_hrs,
+       CAST(length(props) AS BIGINT) AS review_length_chars,
+       date_trunc('second', ts) AS created_at
+FROM events WHERE event_type IN ('purchase', 'click', 'error')""",
     "load_ledger": """
 SELECT CAST(ts AS DATE) AS ingest_date, count(*) AS loaded_rows FROM events GROUP BY 1""",
 }

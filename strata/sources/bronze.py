@@ -56,8 +56,13 @@ def _parse(lines: DataFrame, strict: bool) -> DataFrame:
 def ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
            stage_root: str | None = None, strict: bool = True, quarantine: str | None = None,
            ledger: str | None = None, available_now: bool = True,
-           processing_time: str | None = None, max_files_per_trigger: int | None = None) -> IngestResult:
-    """Load every not-yet-loaded NDJSON file under ``landing`` into ``bronze``."""
+           processing_time: str | None = None, max_files_per_trigger: int | None = None,
+           wait: bool = True):
+    """Load every not-yet-loaded NDJSON file under ``landing`` into ``bronze``.
+
+    With ``wait=False`` the started query and a result getter are returned,
+    so several tables can ingest concurrently.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -93,6 +98,8 @@ def ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
     q = w.start()
     if processing_time:
         return q  # caller owns the running query
+    if not wait:
+        return q, lambda: IngestResult(**stats)
     q.awaitTermination()
     return IngestResult(**stats)
 
