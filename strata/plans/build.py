@@ -190,3 +190,17 @@ def run_history(spark: SparkSession, lake: Lake, limit: int = 20) -> DataFrame:
     return (spark.read.schema(sch).parquet(lake.run_ledger)
                  .orderBy(F.col("started_at").desc_nulls_first(), F.col("model").asc_nulls_last())
                  .limit(limit))
+
+
+def register_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Register silver models and gold tables as temp views for SQL users.
+
+    Silver views are lazy DataFrames (recomputed on read, like views); the
+    report view re-joins fact and dimension on every read so it cannot
+    drift from the dimension.
+    """
+    names = []
+    for name, df in {**silver_models(spark, lake), **gold_tables(spark, lake)}.items():
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names

@@ -49,3 +49,32 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     """File listing gate (path, length, modification time); content is never read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
                  .select("path", "length", "modificationTime"))
+
+
+def todays_top(report: DataFrame, day=None, k: int = 10) -> DataFrame:
+    """Deployment gate: the day's top ``k`` games by chart rank.
+
+    ``day`` defaults to ``current_date()``; tests pass a fixed date.
+    """
+    d = F.current_date() if day is None else F.lit(day).cast("date")
+    return (report.where(F.col("activity_date") == d)
+                  .orderBy(F.col("chart_rank").asc_nulls_last(), F.col("game_name").asc_nulls_last())
+                  .limit(k))
+
+
+def export_samples(report: DataFrame, dim: DataFrame, fact_review: DataFrame, out_dir: str) -> None:
+    """The three sample exports: report (latest 300 rows), dimension, top reviews."""
+    export_csv(report, f"{out_dir}/sample_daily_game_performance",
+               [F.col("activity_date").desc_nulls_first(), F.col("chart_rank").asc_nulls_last(),
+                F.col("game_name").asc_nulls_last()], limit=300)
+    export_csv(dim.select("game_key", "game_name", "primary_developer", "primary_publisher",
+                          "primary_genre", "is_free", "price_currency", "price_final", "release_date",
+                          "metacritic_score", "total_recommendations", "has_store_page"),
+               f"{out_dir}/sample_dim_game",
+               [F.col("total_recommendations").desc_nulls_last(), F.col("game_key").asc_nulls_last()])
+    export_csv(fact_review.select("review_id", "game_key", "review_date", "review_language",
+                                  "is_positive", "votes_up", "votes_funny", "playtime_at_review_hrs",
+                                  "steam_purchase", "written_during_early_access",
+                                  "review_length_chars"),
+               f"{out_dir}/sample_fact_review",
+               [F.col("votes_up").desc_nulls_first(), F.col("review_id").asc_nulls_last()], limit=200)

@@ -146,3 +146,28 @@ def test_malformed_line_strict_and_lenient(spark, tmp_path):
     assert res.rows == 2
     q = spark.read.parquet(f"{root}/quarantine").collect()
     assert [r.line for r in q] == ["{not json"]
+
+
+def test_views_exports_and_gates(spark, built, tmp_path):
+    from strata.plans.build import register_views
+    from strata.sources.export import (export_samples, freshness, list_files, table_counts,
+                                       todays_top)
+    lake = built[0]
+    names = register_views(spark, lake)
+    assert "rpt_daily_game_performance" in names and "silver_reviews" in names
+    top = spark.sql("SELECT * FROM rpt_daily_game_performance "
+                    "ORDER BY activity_date DESC NULLS FIRST, chart_rank ASC NULLS LAST LIMIT 300").collect()
+    assert top[0].activity_date == dt.date(2024, 3, 2) and top[0].chart_rank == 1
+    g = gold_tables(spark, lake)
+    gate = todays_top(g["rpt_daily_game_performance"], day="2024-03-01", k=2).collect()
+    assert [r.chart_rank for r in gate] == [2, 3]
+    export_samples(g["rpt_daily_game_performance"], g["dim_game"], g["fact_review"], str(tmp_path / "x"))
+    dim_csv = spark.read.option("header", True).csv(str(tmp_path / "x" / "sample_dim_game")).collect()
+    assert [r.game_key for r in dim_csv][:1] == ["10"] and len(dim_csv) == 4
+    files = list_files(spark, lake.landing).collect()
+    assert len(files) == 10 and all(f.length > 0 for f in files)
+    counts = {r.table_name: r.row_count for r in table_counts(
+        {ds: read_bronze(spark, lake.bronze(ds)) for ds in ("reviews", "most_played")}).collect()}
+    assert counts == {"reviews": 8, "most_played": 7}
+    fr = freshness(read_bronze(spark, lake.bronze("reviews"))).first()
+    assert fr.row_count == 8 and fr.latest is not None
