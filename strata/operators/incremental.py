@@ -115,6 +115,21 @@ class SnapshotTable:
         self._commit(version, {p: version for p in written}, df.schema, meta or {})
         return {"version": version, "partitions": written}
 
+    def replace_partitions(self, df: DataFrame, partitions: list[str], meta: dict | None = None) -> dict:
+        """Rewrite only ``partitions`` with the rows of ``df`` (which must lie in
+        them); every other partition is carried over by reference. A listed
+        partition without rows disappears."""
+        cur = self.current()
+        if cur is None:
+            return self.replace(df, meta)
+        version = (max(self._versions()) + 1) if self._versions() else 1
+        written = self._write_version(df, version)
+        drop = set(partitions)
+        parts = {p: v for p, v in cur["partitions"].items() if p not in drop}
+        parts.update({p: version for p in written})
+        self._commit(version, parts, df.schema, meta if meta is not None else cur["meta"])
+        return {"version": version, "partitions": sorted(drop)}
+
     def upsert(self, source: DataFrame, mode: str = "strict", hw_column: str = "extracted_at",
                loaded_column: str = "_loaded_at", order: list | None = None) -> dict:
         """Merge ``source`` on ``key``; returns a small summary."""

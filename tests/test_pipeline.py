@@ -171,3 +171,27 @@ def test_views_exports_and_gates(spark, built, tmp_path):
     assert counts == {"reviews": 8, "most_played": 7}
     fr = freshness(read_bronze(spark, lake.bronze("reviews"))).first()
     assert fr.row_count == 8 and fr.latest is not None
+
+
+def test_touched_days_equal_full_rebuild(spark, tmp_path):
+    lakes = {m: Lake(str(tmp_path / m)) for m in ("full", "touched")}
+    for mode, lake in lakes.items():
+        write_pipeline_fixture(lake.landing)
+        load_raw(spark, lake)
+        build(spark, lake, daily_mode=mode, run_tests=False)
+        # new data touching one old day (r1 edited again) and a new day
+        write(lake.landing, "reviews", "2024-03-03 06:00:00", [
+            review("r1", 10, "2024-03-01 01:00:00", "2024-03-02 23:00:00", True, 100, 0.9),
+            review("r8", 20, "2024-03-01 02:00:00", "2024-03-01 02:00:00", True, 7, 0.2)])
+        write(lake.landing, "most_played", "2024-03-03 06:00:00", [
+            {"appid": 20, "rank": 1, "last_week_rank": 2, "peak_in_game": 1, "rollup_date": None}])
+        load_raw(spark, lake)
+        build(spark, lake, daily_mode=mode, run_tests=False)
+    got = {m: sorted(map(tuple, gold_tables(spark, l)["fact_daily_game_performance"].collect()))
+           for m, l in lakes.items()}
+    assert got["full"] == got["touched"] and len(got["full"]) == 7
+    from strata.operators.incremental import SnapshotTable
+    t = SnapshotTable(spark, lakes["touched"].gold("fact_daily_game_performance"), partition_by="activity_date")
+    parts = t.current()["partitions"]
+    # only the touched days were rewritten; 2024-03-02 is carried over
+    assert parts["2024-03-01"] == 2 and parts["2024-03-03"] == 2 and parts["2024-03-02"] == 1
