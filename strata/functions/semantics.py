@@ -18,6 +18,9 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strata.constants import (HOURS_SCALE, MINOR_UNITS_PER_UNIT, PLACEHOLDER_NAME,
+                              RELEASE_DATE_FORMAT, REPORT_SCALE)
+
 ColumnLike = Column | str
 
 
@@ -65,7 +68,7 @@ def div0(a: ColumnLike, b: ColumnLike) -> Column:
             .otherwise(F.try_divide(a.cast("double"), b.cast("double"))))
 
 
-def report_round(c: ColumnLike, scale: int = 3) -> Column:
+def report_round(c: ColumnLike, scale: int = REPORT_SCALE) -> Column:
     """Half-up rounding through DECIMAL(38,6), result DECIMAL(38,scale).
 
     Rounding a double directly disagrees between engines on ties; going
@@ -76,16 +79,16 @@ def report_round(c: ColumnLike, scale: int = 3) -> Column:
 
 def minor_units_to_amount(c: ColumnLike) -> Column:
     """``final / 100`` as fractional money: DECIMAL(38,0) / 100 -> DECIMAL(38,6)."""
-    return _c(c).cast("decimal(38,0)") / F.lit(100)
+    return _c(c).cast("decimal(38,0)") / F.lit(MINOR_UNITS_PER_UNIT)
 
 
 def hours_from_minutes(c: ColumnLike) -> Column:
     """``round(minutes / 60.0, 1)`` with half-up decimal rounding."""
     # 60.0 as a DECIMAL literal (a Python float would make it DOUBLE)
-    return F.round(_c(c) / F.lit(Decimal("60.0")), 1)
+    return F.round(_c(c) / F.lit(Decimal("60.0")), HOURS_SCALE)
 
 
-def try_date(c: ColumnLike, fmt: str = "d MMM, yyyy") -> Column:
+def try_date(c: ColumnLike, fmt: str = RELEASE_DATE_FORMAT) -> Column:
     """``try_to_date(s, 'DD Mon, YYYY')``; unparsable text is NULL.
 
     ``d`` (not ``dd``) so one- and two-digit days both parse.
@@ -100,4 +103,5 @@ def epoch_to_timestamp(c: ColumnLike) -> Column:
 
 def placeholder_name(name: ColumnLike, key: ColumnLike) -> Column:
     """``coalesce(name, 'Unknown (' || key || ')')``."""
-    return F.coalesce(_c(name), F.concat(F.lit("Unknown ("), _c(key).cast("string"), F.lit(")")))
+    head, tail = PLACEHOLDER_NAME
+    return F.coalesce(_c(name), F.concat(F.lit(head), _c(key).cast("string"), F.lit(tail)))

@@ -32,9 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import fs
+from strata.constants import HIGH_WATER_DEFAULT as _EPOCH
 from strata.operators.dedup import latest_by
 
-_EPOCH = "1970-01-01 00:00:00"
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 _VDIR = "snapshot_version"
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.constants import CHUNK_SIZE, DATASETS, MAX_REVIEW_PAGES, REVIEW_LOOKBACK_HOURS, TOP_N
 from strata.functions.variant import explode_array, vget
 from strata.operators.dedup import first_occurrence
 
@@ -39,7 +40,7 @@ def assert_nonempty_charts(responses: DataFrame, path: str = "$.response.ranks")
         raise RuntimeError(f"{bad} chart response(s) returned no ranks")
 
 
-def flatten_chart(responses: DataFrame, top_n: int = 100, keep: tuple[str, ...] = ()) -> DataFrame:
+def flatten_chart(responses: DataFrame, top_n: int = TOP_N, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per chart entry: the first ``top_n`` by array position.
 
     ``rollup_date`` of the response is copied onto every entry.
@@ -94,7 +95,8 @@ def review_page_items(pages: DataFrame) -> DataFrame:
         "review")
 
 
-def keep_reviews(items: DataFrame, lookback_hours: int = 24, max_pages: int = 100) -> DataFrame:
+def keep_reviews(items: DataFrame, lookback_hours: int = REVIEW_LOOKBACK_HOURS,
+                 max_pages: int = MAX_REVIEW_PAGES) -> DataFrame:
     """Reviews the newest-first paging loop keeps, from item rows.
 
     ``items``: ``(run_ts, appid, page_no, pos, cursor, next_cursor, error,
@@ -132,13 +134,14 @@ def keep_reviews(items: DataFrame, lookback_hours: int = 24, max_pages: int = 10
                  .drop("_cutoff", "_created", "_is_item", "_stop_incl", "_stop_excl"))
 
 
-def flatten_review_pages(pages: DataFrame, lookback_hours: int = 24, max_pages: int = 100) -> DataFrame:
+def flatten_review_pages(pages: DataFrame, lookback_hours: int = REVIEW_LOOKBACK_HOURS,
+                         max_pages: int = MAX_REVIEW_PAGES) -> DataFrame:
     """Landed review pages -> kept reviews (see ``keep_reviews``)."""
     return keep_reviews(review_page_items(pages), lookback_hours, max_pages)
 
 
-def chart_work_list(chart: DataFrame, chunk_size: int = 50,
-                    datasets: tuple[str, ...] = ("player_counts", "reviews", "app_details")) -> DataFrame:
+def chart_work_list(chart: DataFrame, chunk_size: int = CHUNK_SIZE,
+                    datasets: tuple[str, ...] = DATASETS[1:]) -> DataFrame:
     """Fan-out work list: ``part = floor(pos / chunk_size)`` per dataset.
 
     ``chart`` carries the array position ``pos`` of each app, so the chunk

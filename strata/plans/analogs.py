@@ -573,7 +573,7 @@ def _iso(ts):
     return F.date_format(ts.cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
 
 
-def _steam_shaped(spark, sf_dir) -> dict[str, DataFrame]:
+def _api_shaped(spark, sf_dir) -> dict[str, DataFrame]:
     """Raw records in the API shapes, derived from the test tables."""
     ev = table(spark, sf_dir, "events")
     stamp = [F.col("ts").alias("_ts"), _iso(F.col("ts")).alias("_extracted_at")]
@@ -630,7 +630,7 @@ def _pipeline_lake(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         lake = Lake(scratch_path(spark, "medallion"))
-        for ds, df in _steam_shaped(spark, sf_dir).items():
+        for ds, df in _api_shaped(spark, sf_dir).items():
             write_ndjson(df, lake.landing, ds, "_ts", [c for c in df.columns if c != "_ts"])
         load_raw(spark, lake)
         build(spark, lake, run_tests=False)

@@ -15,24 +15,18 @@ from pyspark.sql import functions as F
 from strata.operators.responses import (chart_work_list, details_envelope, flatten_chart,
                                         flatten_review_pages, project_player_counts,
                                         scope_to_chart)
+from strata.constants import CHUNK_SIZE, REVIEW_LOOKBACK_HOURS, SOURCE_NAMES, TOP_N
 from strata.sources.catalog import Lake
 from strata.sources.ndjson import write_ndjson
 
-#: The ``_source`` stamp of each dataset.
-SOURCE_NAMES = {
-    "most_played": "GetMostPlayedGames",
-    "player_counts": "GetNumberOfCurrentPlayers",
-    "reviews": "appreviews",
-    "app_details": "appdetails",
-}
 
 
 def _iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
 
 
-def shape_run(responses: DataFrame, top_n: int = 100, chunk_size: int = 50,
-              lookback_hours: int = 24) -> dict[str, DataFrame]:
+def shape_run(responses: DataFrame, top_n: int = TOP_N, chunk_size: int = CHUNK_SIZE,
+              lookback_hours: int = REVIEW_LOOKBACK_HOURS) -> dict[str, DataFrame]:
     """Per dataset: ``(part, record columns..., _extracted_at, _source)``."""
     chart = flatten_chart(responses.where(F.col("dataset") == "most_played"), top_n=top_n)
     scoped = scope_to_chart(responses.where(F.col("dataset") != "most_played"),

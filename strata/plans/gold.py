@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.semantics import (div0, flag, hours_from_minutes, placeholder_name,
                                         report_round, try_date)
+from strata.constants import MEDIAN_SCALE
 from strata.functions.variant import vget
 from strata.operators.aggregates import activity_metrics
 from strata.operators.dedup import latest_by
@@ -72,7 +73,8 @@ def fact_daily_game_performance(most_played: DataFrame, player_counts: DataFrame
         F.coalesce("_pos", F.lit(0)).cast("bigint").alias("reviews_positive"),
         F.coalesce("_neg", F.lit(0)).cast("bigint").alias("reviews_negative"),
         "avg_weighted_vote_score",
-        F.col("median_playtime_at_review_min").cast("decimal(38,3)").alias("median_playtime_at_review_min"),
+        F.col("median_playtime_at_review_min").cast(f"decimal(38,{MEDIAN_SCALE})")
+        .alias("median_playtime_at_review_min"),
         div0("_pos", "_total").alias("positive_review_ratio"))
 
 

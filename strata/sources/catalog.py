@@ -16,8 +16,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: The four raw datasets and their registered source names.
-DATASETS = ("most_played", "player_counts", "reviews", "app_details")
+from strata.constants import DATASETS  # noqa: F401  (re-exported)
+
+#: Registered source names -> datasets.
 SOURCES = {
     "MOST_PLAYED": "most_played",
     "PLAYER_COUNTS": "player_counts",
@@ -69,6 +70,6 @@ class Lake:
 
 
 def source(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    """``source('steam_raw', NAME)``: the bronze table registered under NAME."""
+    """``source(<raw schema>, NAME)``: the bronze table registered under NAME."""
     from strata.sources.bronze import read_bronze
     return read_bronze(spark, lake.bronze(SOURCES[name.upper()]))

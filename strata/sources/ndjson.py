@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.constants import LANDING_DATE_FORMAT, LANDING_STAMP_FORMAT, PART_DIGITS
+
 
 def object_key(dataset: str, ts: Column | str, part: Column | str | None = None) -> Column:
     """The landing object key for a record extracted at ``ts`` (UTC)."""
@@ -18,9 +20,9 @@ def object_key(dataset: str, ts: Column | str, part: Column | str | None = None)
     if part is not None:
         p = F.col(part) if isinstance(part, str) else part
         suffix = F.when(p.isNull(), F.lit("")).otherwise(
-            F.concat(F.lit("_part"), F.lpad(p.cast("string"), 2, "0")))
-    return F.concat(F.lit(f"raw/{dataset}/ingest_date="), F.date_format(t, "yyyy-MM-dd"),
-                    F.lit(f"/{dataset}_"), F.date_format(t, "yyyyMMdd'T'HHmmss"), suffix,
+            F.concat(F.lit("_part"), F.lpad(p.cast("string"), PART_DIGITS, "0")))
+    return F.concat(F.lit(f"raw/{dataset}/ingest_date="), F.date_format(t, LANDING_DATE_FORMAT),
+                    F.lit(f"/{dataset}_"), F.date_format(t, LANDING_STAMP_FORMAT), suffix,
                     F.lit(".ndjson"))
 
 
@@ -53,9 +55,9 @@ def write_ndjson(df: DataFrame, root: str, dataset: str, ts: str,
         return None
     cols = columns or df.columns
     out = f"{root.rstrip('/')}/{dataset}"
-    folders = [F.date_format(F.col(ts), "yyyy-MM-dd").alias("ingest_date")]
+    folders = [F.date_format(F.col(ts), LANDING_DATE_FORMAT).alias("ingest_date")]
     if part:
-        folders.append(F.lpad(F.col(part).cast("string"), 2, "0").alias("part"))
+        folders.append(F.lpad(F.col(part).cast("string"), PART_DIGITS, "0").alias("part"))
     names = ["ingest_date", "part"][:len(folders)]
     body = F.col(json_text) if json_text else record_json(cols)
     lines = df.select(*folders, body.alias("value"))
