@@ -40,9 +40,11 @@ _VDIR = "snapshot_version"
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, key: str | None = None,
+    def __init__(self, spark: SparkSession, root: str, key: str | list[str] | None = None,
                  partition_by: str | None = None):
-        self.spark, self.root, self.key, self.part = spark, root.rstrip("/"), key, partition_by
+        self.spark, self.root, self.part = spark, root.rstrip("/"), partition_by
+        self.keys = [key] if isinstance(key, str) else list(key or [])
+        self.key = self.keys[0] if len(self.keys) == 1 else None
 
     # -- metadata -----------------------------------------------------------
     def _manifest_dir(self) -> str:
@@ -98,7 +100,7 @@ class SnapshotTable:
             return [""]
         # Range-partition on (partition value, key): a hot date is split over
         # several writers instead of landing in one task.
-        order = [F.col(self.part)] + ([F.col(self.key)] if self.key else [])
+        order = [F.col(self.part)] + [F.col(k) for k in self.keys]
         (df.repartitionByRange(*order)
            .write.mode("overwrite").partitionBy(self.part).parquet(path))
         prefix = f"{self.part}="
@@ -131,34 +133,47 @@ class SnapshotTable:
         return {"version": version, "partitions": sorted(drop)}
 
     def upsert(self, source: DataFrame, mode: str = "strict", hw_column: str = "extracted_at",
-               loaded_column: str = "_loaded_at", order: list | None = None) -> dict:
-        """Merge ``source`` on ``key``; returns a small summary."""
-        if mode not in ("strict", "loaded_at"):
+               loaded_column: str = "_loaded_at", order: list | None = None,
+               meta_update: dict | None = None) -> dict:
+        """Merge ``source`` on the key columns; returns a small summary.
+
+        ``mode="newer"`` merges the source as given (the caller selected the new
+        rows) and keeps every column: a target row is replaced only when the
+        source row comes first by ``order`` (ties go to the source).
+        """
+        if mode not in ("strict", "loaded_at", "newer"):
             raise ValueError(f"unknown mode {mode}")
+        keys = self.keys
         cur = self.current()
         meta = dict(cur["meta"]) if cur else {}
         src = source
         if mode == "strict":
             hw = meta.get("hw") or _EPOCH
             src = src.where(F.col(hw_column) > F.lit(hw).cast(source.schema[hw_column].dataType))
-        else:
+        elif mode == "loaded_at":
             lhw = meta.get("loaded_hw")
             if lhw is not None:
                 src = src.where(F.col(loaded_column) > F.lit(lhw).cast(source.schema[loaded_column].dataType))
         if order:
-            src = latest_by(src, [self.key], order)
+            src = latest_by(src, keys, order)
         out_cols = [c for c in source.columns if not (mode == "loaded_at" and c == loaded_column)]
         # one pass over the source for the new high-water marks
-        agg = src.agg(F.max(hw_column).cast("string").alias("hw"),
-                      *([F.max(loaded_column).cast("string").alias("lhw")] if mode == "loaded_at" else []),
-                      F.count(F.lit(1)).alias("n")).first()
+        aggs = [F.count(F.lit(1)).alias("n")]
+        if hw_column in source.columns:
+            aggs.append(F.max(hw_column).cast("string").alias("hw"))
+        if mode == "loaded_at":
+            aggs.append(F.max(loaded_column).cast("string").alias("lhw"))
+        agg = src.agg(*aggs).first().asDict()
         if agg["n"] == 0:
+            if cur is not None and meta_update:
+                self._commit_meta(cur, {**meta, **meta_update})
             return {"version": cur["version"] if cur else None, "rows": 0, "partitions": []}
         new_meta = dict(meta)
-        if agg["hw"] is not None and (meta.get("hw") is None or agg["hw"] > meta["hw"]):
+        if agg.get("hw") is not None and (meta.get("hw") is None or agg["hw"] > meta["hw"]):
             new_meta["hw"] = agg["hw"]
         if mode == "loaded_at":
             new_meta["loaded_hw"] = agg["lhw"]
+        new_meta.update(meta_update or {})
         src_rows = src.select(*out_cols)
         version = (max(self._versions()) + 1) if self._versions() else 1
 
@@ -168,22 +183,28 @@ class SnapshotTable:
             return {"version": version, "rows": agg["n"], "partitions": written}
 
         target = self.read()
-        src_keys = src_rows.select(self.key)
+        src_keys = src_rows.select(*keys)
         part_str = F.coalesce(F.col(self.part).cast("string"), F.lit(_NULL_PART))
-        hit = target.select(self.key, self.part).join(src_keys, self.key, "left_semi")
+        hit = target.select(*keys, self.part).join(src_keys, keys, "left_semi")
         affected = [r[0] for r in src_rows.select(part_str).union(hit.select(part_str))
                                           .distinct().collect()]
         touched = [p for p in affected if p in cur["partitions"]]
         target_aff = self.read(touched)
-        kept = target_aff.join(src_keys, self.key, "left_anti")
+        kept = target_aff.join(src_keys, keys, "left_anti")
         if mode == "strict":
             winners = src_rows
         else:
-            old = target_aff.join(src_keys, self.key, "left_semi").withColumn("_src", F.lit(0))
+            old = target_aff.join(src_keys, keys, "left_semi").withColumn("_src", F.lit(0))
             cand = old.unionByName(src_rows.withColumn("_src", F.lit(1)))
-            winners = latest_by(cand, [self.key], list(order or []) + [("_src", "desc")]).drop("_src")
+            winners = latest_by(cand, keys, list(order or []) + [("_src", "desc")]).drop("_src")
         written = self._write_version(kept.unionByName(winners), version)
         parts = {p: v for p, v in cur["partitions"].items() if p not in set(affected)}
         parts.update({p: version for p in written})
         self._commit(version, parts, src_rows.schema, new_meta)
         return {"version": version, "rows": agg["n"], "partitions": sorted(affected)}
+
+    def _commit_meta(self, cur: dict, meta: dict) -> None:
+        """A metadata-only version (same partitions, new bookkeeping)."""
+        version = max(self._versions() + [cur["version"]]) + 1
+        fs.mkdirs(self.spark, f"{self.root}/{_VDIR}={version:06d}")
+        self._commit(version, cur["partitions"], T.StructType.fromJson(json.loads(cur["schema"])), meta)

@@ -81,6 +81,50 @@ def silver_models(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     }
 
 
+_TIES = [("_file", "desc"), ("_loaded_at", "desc")]
+
+#: silver model -> (bronze dataset, model, key columns, partition column, merge order)
+SILVER_TABLES = {
+    "silver_most_played": ("most_played", lambda b: silver.silver_most_played(b),
+                           ["appid", "chart_date"], "chart_date", [("extracted_at", "desc")] + _TIES),
+    "silver_player_counts": ("player_counts", lambda b: silver.silver_player_counts(b, keep_file=True),
+                             ["appid", "snapshot_date"], "snapshot_date", [("extracted_at", "desc")] + _TIES),
+    "silver_reviews": ("reviews", lambda b: silver.silver_reviews(b, keep_file=True)
+                       .withColumn("created_date", F.to_date("created_at")),
+                       ["review_id"], "created_date",
+                       [("updated_at", "desc"), ("extracted_at", "desc")] + _TIES),
+    "silver_app_details": ("app_details", lambda b: silver.silver_app_details(b, keep_file=True)
+                           .withColumn("extracted_date", F.to_date("extracted_at")),
+                           ["appid", "extracted_date"], "extracted_date", [("extracted_at", "desc")] + _TIES),
+}
+
+
+def incremental_silver(spark: SparkSession, lake: Lake, threads: int = 4) -> dict[str, DataFrame]:
+    """Silver as versioned tables merged from the new bronze batches only.
+
+    Each table remembers the last bronze batch it consumed; the next build
+    reads ``batch_id > last`` (partition pruning on bronze), deduplicates
+    those rows and merges them: a stored row is replaced only by a row that
+    comes first in the model's order, so the result equals the view over all
+    of bronze, while the work follows the new data.
+    """
+    def one(name: str) -> DataFrame:
+        ds, model, keys, part, order = SILVER_TABLES[name]
+        t = SnapshotTable(spark, lake.silver_table(name), key=keys, partition_by=part)
+        cur = t.current()
+        last = cur["meta"].get("bronze_batch", -1) if cur else -1
+        b = read_bronze(spark, lake.bronze(ds)).where(F.col("batch_id") > F.lit(last))
+        top = b.agg(F.max("batch_id")).first()[0]
+        if top is not None:
+            t.upsert(model(b), mode="newer", order=order, meta_update={"bronze_batch": int(top)})
+        if not t.exists():
+            return model(read_bronze(spark, lake.bronze(ds)))  # empty bronze: empty model
+        return t.read()
+
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        return dict(zip(SILVER_TABLES, pool.map(one, SILVER_TABLES)))
+
+
 def _materialize(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -92,8 +136,15 @@ def _utcnow() -> dt.datetime:
 
 def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
           review_mode: str = "strict", run_tests: bool = True,
-          threads: int = 4, daily_mode: str = "full") -> tuple[list[RunResult], list[CheckResult]]:
-    """Run every model in dependency order, then the data tests; log each model."""
+          threads: int = 4, daily_mode: str = "full",
+          silver_mode: str = "view") -> tuple[list[RunResult], list[CheckResult]]:
+    """Run every model in dependency order, then the data tests; log each model.
+
+    ``silver_mode="view"`` recomputes silver from all of bronze (the
+    reference's views, materialized once per run); ``"incremental"`` merges
+    only new bronze batches into silver tables. ``daily_mode="touched"``
+    recomputes only the days that received new rows.
+    """
     ensure_session(spark)
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
     results: list[RunResult] = []
@@ -108,14 +159,20 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
             _log_run(spark, lake, run_id, results)
             raise
 
-    s = silver_models(spark, lake)
     mat: dict[str, DataFrame] = {}
-    with ThreadPoolExecutor(max_workers=threads) as pool:  # two consumers each
-        futures = [pool.submit(step, n, lambda n=n: mat.setdefault(
-            n, _materialize(spark, s[n], lake.silver(n, run_id))).count())
-            for n in ("silver_most_played", "silver_reviews")]
-        for f in futures:
-            f.result()
+    if silver_mode == "incremental":
+        t0 = _utcnow()
+        s = incremental_silver(spark, lake, threads)
+        results.append(RunResult("silver (incremental)", "SUCCEEDED", None, t0, _utcnow()))
+        mat = {n: s[n] for n in ("silver_most_played", "silver_reviews")}
+    else:
+        s = silver_models(spark, lake)
+        with ThreadPoolExecutor(max_workers=threads) as pool:  # two consumers each
+            futures = [pool.submit(step, n, lambda n=n: mat.setdefault(
+                n, _materialize(spark, s[n], lake.silver(n, run_id))).count())
+                for n in ("silver_most_played", "silver_reviews")]
+            for f in futures:
+                f.result()
     most_played, reviews = mat["silver_most_played"], mat["silver_reviews"]
 
     dim_t = SnapshotTable(spark, lake.gold("dim_game"))
@@ -206,7 +263,8 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
     fact = gold.fact_daily_game_performance(
         most_played.where(F.col("chart_date").isin(touched)),
         player_counts.where(F.col("snapshot_date").isin(touched)),
-        reviews.where(F.to_date("created_at").isin(touched)))
+        reviews.where((F.col("created_date") if "created_date" in reviews.columns
+                       else F.to_date("created_at")).isin(touched)))
     table.replace_partitions(fact, [str(d) for d in touched], meta={"loaded_hw": new_hw})
     return fact.count()
 

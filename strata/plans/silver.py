@@ -86,21 +86,21 @@ def silver_most_played(bronze: DataFrame, strict: bool = True) -> DataFrame:
     return latest_by(src, ["appid", "chart_date"], [("extracted_at", "desc")], _TIES)
 
 
-def silver_player_counts(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def silver_player_counts(bronze: DataFrame, strict: bool = True, keep_file: bool = False) -> DataFrame:
     """One snapshot per (appid, snapshot_date)."""
     src = project_paths(bronze, "payload", PLAYER_COUNTS, keep=["_file", "_loaded_at"], strict=strict)
     out = latest_by(src, ["appid", "snapshot_date"], [("extracted_at", "desc")], _TIES)
-    return out.drop("_file")
+    return out if keep_file else out.drop("_file")
 
 
-def silver_reviews(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def silver_reviews(bronze: DataFrame, strict: bool = True, keep_file: bool = False) -> DataFrame:
     """One row per review_id: newest update, then newest extraction."""
     src = project_paths(bronze, "payload", REVIEWS, keep=["_file", "_loaded_at"], strict=strict)
     out = latest_by(src, ["review_id"], [("updated_at", "desc"), ("extracted_at", "desc")], _TIES)
-    return out.drop("_file")
+    return out if keep_file else out.drop("_file")
 
 
-def silver_app_details(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def silver_app_details(bronze: DataFrame, strict: bool = True, keep_file: bool = False) -> DataFrame:
     """Successful detail fetches only (filter *before* dedup), one per (appid, day)."""
     src = (bronze.select(
         *[vget("payload", p, t, strict).alias(n) for n, (p, t) in APP_DETAILS.items()],
@@ -109,4 +109,4 @@ def silver_app_details(bronze: DataFrame, strict: bool = True) -> DataFrame:
         "_file", "_loaded_at"))
     src = src.where(F.col("fetch_success"))
     out = latest_by(src, ["appid", F.to_date("extracted_at")], [("extracted_at", "desc")], _TIES)
-    return out.drop("_file")
+    return out if keep_file else out.drop("_file")

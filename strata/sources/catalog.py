@@ -53,6 +53,9 @@ class Lake:
     def silver(self, model: str, run_id: str) -> str:
         return f"{self.root}/silver/{model}/run={run_id}"
 
+    def silver_table(self, model: str) -> str:
+        return f"{self.root}/silver_tables/{model}"
+
     def gold(self, model: str) -> str:
         return f"{self.root}/gold/{model}"
 

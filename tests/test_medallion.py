@@ -195,3 +195,35 @@ def test_touched_days_equal_full_rebuild(spark, tmp_path):
     parts = t.current()["partitions"]
     # only the touched days were rewritten; 2024-03-02 is carried over
     assert parts["2024-03-01"] == 2 and parts["2024-03-03"] == 2 and parts["2024-03-02"] == 1
+
+
+def test_incremental_silver_equals_views(spark, tmp_path):
+    """Incremental silver + touched days give the same gold as full rebuilds."""
+    modes = {"views": dict(), "incremental": dict(silver_mode="incremental", daily_mode="touched")}
+    lakes = {m: Lake(str(tmp_path / m)) for m in modes}
+    for m, lake in lakes.items():
+        write_pipeline_fixture(lake.landing)
+        load_raw(spark, lake)
+        _, checks = build(spark, lake, **modes[m])
+        assert [c.name for c in checks if not c.passed] == []
+        write(lake.landing, "reviews", "2024-03-03 06:00:00", [
+            review("r1", 10, "2024-03-01 01:00:00", "2024-03-02 23:00:00", True, 100, 0.9),
+            review("r4", 20, "2024-03-01 03:00:00", "2024-03-02 23:00:00", True, 50, 0.1),
+            review("r8", 20, "2024-03-03 02:00:00", "2024-03-03 02:00:00", None, 7, 0.2)])
+        write(lake.landing, "most_played", "2024-03-03 06:00:00", [
+            {"appid": 20, "rank": 1, "last_week_rank": 2, "peak_in_game": 1, "rollup_date": None},
+            {"appid": 50, "rank": 2, "last_week_rank": -1, "peak_in_game": 2, "rollup_date": None}])
+        write(lake.landing, "app_details", "2024-03-03 06:00:00", [
+            {"appid": 20, "success": False, "error": "HTTP 429"},
+            {"appid": 50, "success": True, "data": {"name": "Gamma", "developers": ["G"]}}])
+        load_raw(spark, lake)
+        build(spark, lake, **modes[m])
+    got = {}
+    for m, lake in lakes.items():
+        g = gold_tables(spark, lake)
+        got[m] = {n: sorted(map(repr, g[n].drop("genres").collect() if "genres" in g[n].columns
+                                else g[n].collect()))
+                  for n in ("dim_game", "fact_review", "fact_daily_game_performance")}
+    for n in got["views"]:
+        assert got["views"][n] == got["incremental"][n], n
+    assert len(got["views"]["fact_daily_game_performance"]) == 8
