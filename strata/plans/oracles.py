@@ -278,6 +278,7 @@ SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderstatus,
        DATE '2024-01-31' AS ingest_date
 FROM orders""",
     "medallion_report": _with("SELECT * FROM rpt"),
+    "medallion_incremental_report": _with("SELECT * FROM rpt"),
     "medallion_fact_review": """
 SELECT CAST(event_id AS VARCHAR) AS review_id, user_id AS game_key, CAST(ts AS DATE) AS review_date,
        CASE WHEN event_type = 'purchase' THEN TRUE WHEN event_type = 'click' THEN FALSE END AS is_positive,
