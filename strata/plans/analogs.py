@@ -623,6 +623,15 @@ def _api_shaped(spark, sf_dir) -> dict[str, DataFrame]:
             "app_details": app_details}
 
 
+def _land(lake, records: dict[str, DataFrame]) -> None:
+    """Write each dataset's NDJSON landing files (datasets side by side)."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for f in [pool.submit(write_ndjson, df, lake.landing, ds, "_ts", [c for c in df.columns if c != "_ts"])
+                  for ds, df in records.items()]:
+            f.result()
+
+
 def _pipeline_lake(spark, sf_dir):
     """Land, ingest and build once per session and scale; later calls reuse it."""
     from strata.plans.build import build, load_raw
@@ -630,8 +639,7 @@ def _pipeline_lake(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         lake = Lake(scratch_path(spark, "medallion"))
-        for ds, df in _api_shaped(spark, sf_dir).items():
-            write_ndjson(df, lake.landing, ds, "_ts", [c for c in df.columns if c != "_ts"])
+        _land(lake, _api_shaped(spark, sf_dir))
         load_raw(spark, lake)
         build(spark, lake, run_tests=False)
         _LAKES[key] = lake.root
@@ -650,11 +658,10 @@ def _incremental_lake(spark, sf_dir):
         split = F.lit("2024-01-16").cast("timestamp_ntz")
         records = _api_shaped(spark, sf_dir)
         for first in (True, False):
-            for ds, df in records.items():
-                part = df.where(F.col("_ts") < split) if first else df.where(F.col("_ts") >= split)
-                if ds == "app_details":
-                    part = df if first else df.limit(0)
-                write_ndjson(part, lake.landing, ds, "_ts", [c for c in df.columns if c != "_ts"])
+            run = {ds: (df.where(F.col("_ts") < split) if first else df.where(F.col("_ts") >= split))
+                   for ds, df in records.items()}
+            run["app_details"] = records["app_details"] if first else records["app_details"].limit(0)
+            _land(lake, run)
             load_raw(spark, lake)
             build(spark, lake, run_tests=False, silver_mode="incremental", daily_mode="touched")
         _LAKES[key] = lake.root
