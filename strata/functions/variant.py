@@ -9,6 +9,9 @@ Special types:
 
 * ``"epoch"``: integer epoch seconds -> TIMESTAMP.
 * ``"variant"``: the sub-document stays untyped.
+* ``"bigint_half_up"``: a fractional number (or numeric text) rounded half
+  away from zero to an integer, as the warehouse's integer cast does; the
+  plain ``"bigint"`` cast truncates (and rejects fractional text).
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ def vget(col: Column | str, path: str, dtype: str = "variant", strict: bool = Tr
     c = F.col(col) if isinstance(col, str) else col
     if dtype == "epoch":
         return epoch_to_timestamp(vget(c, path, "bigint", strict))
+    if dtype == "bigint_half_up":
+        return F.round(vget(c, path, "decimal(38,9)", strict), 0).cast("bigint")
     fn = F.variant_get if strict else F.try_variant_get
     return fn(c, path, dtype)
 

@@ -56,3 +56,11 @@ def test_first_occurrence(spark):
     df = spark.createDataFrame([("x", 1, 0), ("x", 0, 3), ("y", 2, 1)], "id string, page int, pos int")
     got = {r.id: (r.page, r.pos) for r in first_occurrence(df, ["id"], ["page", "pos"]).collect()}
     assert got == {"x": (0, 3), "y": (2, 1)}
+
+
+def test_integer_cast_rounding_option(spark):
+    df = _docs(spark, ['{"a": 1.5, "b": -2.5, "c": "3.5", "d": 7}'])
+    r = project_paths(df, "v", {k: (f"$.{k}", "bigint_half_up") for k in "abcd"}).first()
+    assert (r.a, r.b, r.c, r.d) == (2, -3, 4, 7)
+    t = project_paths(df, "v", {"a": ("$.a", "bigint")}).first()
+    assert t.a == 1  # the plain cast truncates
