@@ -458,7 +458,7 @@ def _review_items(ev: DataFrame) -> DataFrame:
 
 def page_flatten_cutoff(spark, sf_dir):
     kept = keep_reviews(_review_items(table(spark, sf_dir, "events")), lookback_hours=24 * 7)
-    return kept.select("appid", "page_no", "recommendationid",
+    return kept.select("appid", F.col("page_no").cast("bigint").alias("page_no"), "recommendationid",
                        F.col("timestamp_created").alias("created"))
 
 

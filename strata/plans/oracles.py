@@ -216,9 +216,10 @@ SELECT l_orderkey, l_linenumber, count(*) AS duplicate_rows FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "quality_not_null": "SELECT o.o_orderkey, o.o_custkey " + _ORDERS_CUSTOMER + " WHERE c.c_name IS NULL",
-    "quality_null_counts": "SELECT count_if(c.c_name IS NULL) AS c_name_nulls, "
-                           "count_if(c.c_acctbal IS NULL) AS c_acctbal_nulls, "
-                           "count_if(o.o_totalprice IS NULL) AS o_totalprice_nulls " + _ORDERS_CUSTOMER,
+    "quality_null_counts": "SELECT CAST(count_if(c.c_name IS NULL) AS BIGINT) AS c_name_nulls, "
+                           "CAST(count_if(c.c_acctbal IS NULL) AS BIGINT) AS c_acctbal_nulls, "
+                           "CAST(count_if(o.o_totalprice IS NULL) AS BIGINT) AS o_totalprice_nulls "
+                           + _ORDERS_CUSTOMER,
     "quality_relationships": """
 SELECT d.doc_id, d.lang FROM documents d
 WHERE d.doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",

@@ -41,3 +41,17 @@ def test_query_matches_oracle(spark, con, name):
     idx = sorted(range(len(ocols)), key=lambda i: ocols[i])
     exp = Counter(repr(tuple(r[i] for i in idx)) for r in res.fetchall())
     assert got == exp
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    res = con.execute(E.oracle_sql()[name] + " LIMIT 0") if "LIMIT" not in E.oracle_sql()[name] \
+        else con.execute(E.oracle_sql()[name])
+    otypes = {d[0]: str(d[1]) for d in res.description}
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK[f.dataType.simpleString()] == otypes[f.name], (name, f.name)
