@@ -44,3 +44,28 @@ def test_arrival_build_and_retry(spark, tmp_path):
     assert len(log) == 2 and log[1].new_reviews == 1 and log[1].new_most_played == 0
     assert built[-1] == f"batch-{log[1].batch_id:06d}"
     assert gold_tables(spark, lake)["fact_review"].count() == 7
+
+
+def test_debounced_arrival_mode(spark, tmp_path):
+    """A processing-time trigger: files landing within one interval give one build."""
+    lake = Lake(str(tmp_path / "lake"))
+    write_pipeline_fixture(lake.landing)
+    ingest_q = {}
+    from strata.sources.bronze import ingest
+    for ds in ("most_played", "player_counts", "reviews", "app_details"):
+        ingest_q[ds] = ingest(spark, lake.raw(ds), lake.bronze(ds), lake.ingest_checkpoint(ds),
+                              stage_root=lake.landing, processing_time="1 second")
+    built = []
+    q = run_on_arrival(spark, lake, lambda s, l, r: built.append(r) or build(s, l, r, run_tests=False),
+                       processing_time="1 second")
+    try:
+        for iq in ingest_q.values():
+            iq.processAllAvailable()
+        q.processAllAvailable()
+    finally:
+        q.stop()
+        for iq in ingest_q.values():
+            iq.stop()
+    log = trigger_log(spark, lake).collect()
+    assert sum(r.new_reviews for r in log) == 8 and len(built) == len(log) >= 1
+    assert gold_tables(spark, lake)["fact_review"].count() == 6
