@@ -16,8 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.semantics import (asc, desc, div0, hours_from_minutes,
-                                        minor_units_to_amount, placeholder_name, try_date)
+from strata.functions.semantics import asc, desc, minor_units_to_amount, placeholder_name, try_date
 from strata.functions.variant import vget
 from strata.operators import quality
 from strata.operators.aggregates import activity_metrics
