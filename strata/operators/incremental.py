@@ -107,6 +107,7 @@ class SnapshotTable:
         return [n[len(prefix):] for n in fs.list_dirs(self.spark, path) if n.startswith(prefix)]
 
     def _commit(self, version: int, partitions: dict, schema: T.StructType, meta: dict) -> None:
+        fs.mkdirs(self.spark, f"{self.root}/{_VDIR}={version:06d}")  # a version may hold no files
         body = {"version": version, "partitions": partitions, "schema": schema.json(), "meta": meta}
         fs.write_text(self.spark, f"{self._manifest_dir()}/v={version:06d}.json", json.dumps(body))
 
@@ -165,9 +166,12 @@ class SnapshotTable:
             aggs.append(F.max(loaded_column).cast("string").alias("lhw"))
         agg = src.agg(*aggs).first().asDict()
         if agg["n"] == 0:
-            if cur is not None and meta_update:
+            if cur is None:  # first run without rows: an empty table with the schema
+                self._commit(1, {}, src.select(*out_cols).schema, dict(meta_update or {}))
+                return {"version": 1, "rows": 0, "partitions": []}
+            if meta_update:
                 self._commit_meta(cur, {**meta, **meta_update})
-            return {"version": cur["version"] if cur else None, "rows": 0, "partitions": []}
+            return {"version": cur["version"], "rows": 0, "partitions": []}
         new_meta = dict(meta)
         if agg.get("hw") is not None and (meta.get("hw") is None or agg["hw"] > meta["hw"]):
             new_meta["hw"] = agg["hw"]
@@ -206,5 +210,4 @@ class SnapshotTable:
     def _commit_meta(self, cur: dict, meta: dict) -> None:
         """A metadata-only version (same partitions, new bookkeeping)."""
         version = max(self._versions() + [cur["version"]]) + 1
-        fs.mkdirs(self.spark, f"{self.root}/{_VDIR}={version:06d}")
         self._commit(version, cur["partitions"], T.StructType.fromJson(json.loads(cur["schema"])), meta)

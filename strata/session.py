@@ -46,16 +46,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     tests, gets a private folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not root and jdir.isDefined():
+        root = jdir.get()
     if not root:
         master = spark.sparkContext.master
         if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if not jdir.isDefined():
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 

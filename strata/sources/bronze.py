@@ -104,11 +104,18 @@ def ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
     return IngestResult(**stats)
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    from strata import fs
+    if not fs.list_dirs(spark, path):  # nothing loaded yet: an empty table
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
     """The bronze table (all committed batches)."""
-    return spark.read.schema(BRONZE_SCHEMA).parquet(bronze)
+    return _read(spark, bronze, BRONZE_SCHEMA)
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     """Load history: one row per loaded file (rows, load time, batch)."""
-    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
+    return _read(spark, ledger, LEDGER_SCHEMA)

@@ -227,3 +227,18 @@ def test_incremental_silver_equals_views(spark, tmp_path):
     for n in got["views"]:
         assert got["views"][n] == got["incremental"][n], n
     assert len(got["views"]["fact_daily_game_performance"]) == 8
+
+
+def test_build_with_only_the_chart(spark, tmp_path):
+    """Datasets that never received a file are empty tables, not errors."""
+    lake = Lake(str(tmp_path / "lake"))
+    write(lake.landing, "most_played", "2024-03-01 06:00:00",
+          [{"appid": 1, "rank": 1, "last_week_rank": -1, "peak_in_game": 5, "rollup_date": None}])
+    load_raw(spark, lake)
+    _, checks = build(spark, lake)
+    assert [c.name for c in checks if not c.passed] == []
+    g = gold_tables(spark, lake)
+    assert [r.game_name for r in g["dim_game"].collect()] == ["Unknown (1)"]
+    r = g["fact_daily_game_performance"].first()
+    assert (r.reviews_total, r.snapshot_player_count, r.positive_review_ratio) == (0, None, None)
+    assert g["fact_review"].count() == 0
