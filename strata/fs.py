@@ -33,6 +33,13 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
+def glob(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob pattern (one listing call)."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return [] if found is None else sorted(st.getPath().toString() for st in found)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file (manifests, markers) and overwrite any old one."""
     fs, p = _fs(spark, path)

@@ -24,7 +24,7 @@ from strata.operators.incremental import SnapshotTable
 from strata.operators.quality import CheckResult, model_checks, run_checks
 from strata.plans import gold, silver
 from strata.session import ensure_session
-from strata.sources.bronze import IngestResult, ingest, read_bronze
+from strata.sources.bronze import IngestResult, committed_batches, ingest, read_bronze
 from strata.sources.catalog import DATASETS, Lake
 
 RUN_LEDGER_SCHEMA = T.StructType([
@@ -113,10 +113,10 @@ def incremental_silver(spark: SparkSession, lake: Lake, threads: int = 4) -> dic
         t = SnapshotTable(spark, lake.silver_table(name), key=keys, partition_by=part)
         cur = t.current()
         last = cur["meta"].get("bronze_batch", -1) if cur else -1
-        b = read_bronze(spark, lake.bronze(ds)).where(F.col("batch_id") > F.lit(last))
-        top = b.agg(F.max("batch_id")).first()[0]
-        if top is not None:
-            t.upsert(model(b), mode="newer", order=order, meta_update={"bronze_batch": int(top)})
+        new = [b for b in committed_batches(spark, lake.bronze(ds)) if b > last]
+        if new:
+            t.upsert(model(read_bronze(spark, lake.bronze(ds), batches=new)), mode="newer",
+                     order=order, meta_update={"bronze_batch": max(new)})
         if not t.exists():
             return model(read_bronze(spark, lake.bronze(ds)))  # empty bronze: empty model
         return t.read()
@@ -183,17 +183,16 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
         fr_src = gold.fact_review(reviews)
         fr_job = lambda: fr_t.upsert(fr_src, mode="strict")["rows"]
     else:
-        # Only bronze rows not yet consumed are deduplicated and merged.
+        # Only bronze batches not yet consumed are deduplicated and merged; a
+        # stored review is replaced only by a newer version, so late files count.
         cur = fr_t.current()
-        lhw = cur["meta"].get("loaded_hw") if cur else None
-        rb = read_bronze(spark, lake.bronze("reviews"))
-        if lhw:
-            rb = rb.where(F.col("_loaded_at") > F.lit(lhw).cast("timestamp"))
-        new_reviews = silver.silver_reviews(rb)
-        fr_src = gold.fact_review(new_reviews).join(new_reviews.select("review_id", "_loaded_at"),
-                                                    "review_id")
+        last = cur["meta"].get("bronze_batch", -1) if cur else -1
+        new = [b for b in committed_batches(spark, lake.bronze("reviews")) if b > last]
+        fr_src = gold.fact_review(silver.silver_reviews(
+            read_bronze(spark, lake.bronze("reviews"), batches=new)))
         fr_job = lambda: fr_t.upsert(
-            fr_src, mode="loaded_at", order=[("updated_at", "desc"), ("extracted_at", "desc")])["rows"]
+            fr_src, mode="newer", order=[("updated_at", "desc"), ("extracted_at", "desc")],
+            meta_update={"bronze_batch": max(new)} if new else None)["rows"]
     jobs = {
         "dim_game": lambda: dim_t.replace(gold.dim_game(most_played, s["silver_app_details"]))
         and dim_t.read().count(),
@@ -240,21 +239,17 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
     recomputing the touched days gives the same table as a full rebuild
     while the work follows the new data.
     """
-    bronze = {ds: read_bronze(spark, lake.bronze(ds)) for ds in _DAILY_INPUTS}
-    new_hw = {ds: b.agg(F.max("_loaded_at").cast("string")).first()[0] for ds, b in bronze.items()}
+    batches = {ds: committed_batches(spark, lake.bronze(ds)) for ds in _DAILY_INPUTS}
+    consumed = {ds: max(b) if b else -1 for ds, b in batches.items()}
     cur = table.current()
-    old_hw = (cur or {}).get("meta", {}).get("loaded_hw")
-    if mode == "full" or old_hw is None:
+    last = (cur or {}).get("meta", {}).get("bronze_batch")
+    if mode == "full" or last is None:
         table.replace(gold.fact_daily_game_performance(most_played, player_counts, reviews),
-                      meta={"loaded_hw": new_hw})
+                      meta={"bronze_batch": consumed})
         return table.read().count()
     days = None
-    for ds, b in bronze.items():
-        new = b
-        if old_hw.get(ds):
-            new = new.where(F.col("_loaded_at") > F.lit(old_hw[ds]).cast("timestamp"))
-        if new_hw.get(ds):
-            new = new.where(F.col("_loaded_at") <= F.lit(new_hw[ds]).cast("timestamp"))
+    for ds, ids in batches.items():
+        new = read_bronze(spark, lake.bronze(ds), batches=[b for b in ids if b > last.get(ds, -1)])
         d = new.select(_DAILY_INPUTS[ds](new).alias("d"))
         days = d if days is None else days.union(d)
     touched = sorted(r.d for r in days.where(F.col("d").isNotNull()).distinct().collect())  # days only
@@ -265,7 +260,7 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
         player_counts.where(F.col("snapshot_date").isin(touched)),
         reviews.where((F.col("created_date") if "created_date" in reviews.columns
                        else F.to_date("created_at")).isin(touched)))
-    table.replace_partitions(fact, [str(d) for d in touched], meta={"loaded_hw": new_hw})
+    table.replace_partitions(fact, [str(d) for d in touched], meta={"bronze_batch": consumed})
     return fact.count()
 
 

@@ -111,9 +111,32 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def read_bronze(spark: SparkSession, bronze: str) -> DataFrame:
-    """The bronze table (all committed batches)."""
-    return _read(spark, bronze, BRONZE_SCHEMA)
+def committed_batches(spark: SparkSession, bronze: str) -> list[int]:
+    """Batch ids whose folder is fully committed (``_SUCCESS`` present).
+
+    A folder that is still being written is invisible here, so a consumer
+    that tracks the last batch it read can never skip part of a batch.
+    """
+    from strata import fs
+    found = fs.glob(spark, f"{bronze.rstrip('/')}/batch_id=*/_SUCCESS")
+    return sorted(int(p.rsplit("/", 2)[-2].split("=", 1)[1]) for p in found)
+
+
+def read_bronze(spark: SparkSession, bronze: str, after_batch: int | None = None,
+                batches: list[int] | None = None) -> DataFrame:
+    """The bronze table: every committed batch, or those after ``after_batch``.
+
+    Only the selected batch folders are listed and read (partition pruning by
+    construction).
+    """
+    ids = committed_batches(spark, bronze) if batches is None else batches
+    if after_batch is not None:
+        ids = [b for b in ids if b > after_batch]
+    if not ids:
+        return spark.createDataFrame([], BRONZE_SCHEMA)
+    root = bronze.rstrip("/")
+    return (spark.read.schema(BRONZE_SCHEMA).option("basePath", root)
+                 .parquet(*[f"{root}/batch_id={b}" for b in ids]))
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:

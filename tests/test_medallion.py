@@ -242,3 +242,18 @@ def test_build_with_only_the_chart(spark, tmp_path):
     r = g["fact_daily_game_performance"].first()
     assert (r.reviews_total, r.snapshot_player_count, r.positive_review_ratio) == (0, None, None)
     assert g["fact_review"].count() == 0
+
+
+def test_uncommitted_batch_is_invisible(spark, built):
+    """A batch folder still being written (no _SUCCESS) is not read by consumers."""
+    import os
+    from strata.sources.bronze import committed_batches
+    lake = built[0]
+    src = lake.bronze("reviews")
+    before = read_bronze(spark, src).count()
+    ids = committed_batches(spark, src)
+    part = f"{src}/batch_id=999"
+    read_bronze(spark, src, batches=ids[:1]).write.parquet(part)
+    os.remove(os.path.join(part, "_SUCCESS"))
+    assert committed_batches(spark, src) == ids
+    assert read_bronze(spark, src).count() == before
