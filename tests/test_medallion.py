@@ -257,3 +257,43 @@ def test_uncommitted_batch_is_invisible(spark, built):
     os.remove(os.path.join(part, "_SUCCESS"))
     assert committed_batches(spark, src) == ids
     assert read_bronze(spark, src).count() == before
+
+
+@pytest.mark.parametrize("modes", [dict(), dict(silver_mode="incremental", daily_mode="touched",
+                                                review_mode="loaded_at")])
+def test_duplicate_and_reordered_files_do_not_change_gold(spark, tmp_path, modes):
+    """A file landed twice under another name, and files loaded in another
+    order and in separate runs, give the same gold tables."""
+    import glob
+    import shutil
+    ref_lake = Lake(str(tmp_path / "ref"))
+    write_pipeline_fixture(ref_lake.landing)
+    load_raw(spark, ref_lake)
+    build(spark, ref_lake, **modes)
+
+    lake = Lake(str(tmp_path / "dup"))
+    staging = str(tmp_path / "staging")
+    write_pipeline_fixture(staging)
+    files = sorted(glob.glob(f"{staging}/**/*.ndjson", recursive=True), reverse=True)
+    for i, f in enumerate(files):  # newest files first, one load + build per four files
+        rel = f[len(staging) + 1:]
+        dst = f"{lake.landing}/{rel}"
+        import os
+        os.makedirs(os.path.dirname(dst), exist_ok=True)
+        shutil.copy(f, dst)
+        if i == 0:
+            shutil.copy(f, dst.replace(".ndjson", "_copy.ndjson"))
+        if i % 4 == 3 or i == len(files) - 1:
+            load_raw(spark, lake)
+            build(spark, lake, **modes)
+
+    def snap(l):
+        # float sums depend on row order: compare doubles to 12 decimals
+        g = gold_tables(spark, l)
+        rnd = lambda r: tuple(round(v, 12) if isinstance(v, float) else v for v in r)
+        return {n: sorted(map(repr, map(rnd, g[n].drop("genres").collect() if "genres" in g[n].columns
+                                        else g[n].collect())))
+                for n in ("dim_game", "fact_daily_game_performance")}
+    a, b = snap(lake), snap(ref_lake)
+    for n in a:
+        assert sorted(set(a[n]) ^ set(b[n])) == [], n
