@@ -63,3 +63,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_settings(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Starting settings for a cluster run over ``input_bytes`` of input.
+
+    Initial shuffle parallelism is sized so each post-shuffle partition is
+    about ``target_partition_bytes`` (AQE then coalesces small ones and splits
+    skewed ones), and never below the number of cores.
+    """
+    partitions = max(executor_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **SESSION_DEFAULTS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }

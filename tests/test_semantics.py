@@ -45,3 +45,12 @@ def test_null_ordering(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
     assert [r.v for r in df.orderBy(desc("v")).collect()] == [None, 3, 1]
     assert [r.v for r in df.orderBy(asc("v")).collect()] == [1, 3, None]
+
+
+def test_cluster_settings_scale_with_input():
+    from strata.session import cluster_settings
+    small = cluster_settings(1 << 20, executor_cores=8)
+    big = cluster_settings(100 << 40, executor_cores=8000)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.enabled"] == "true"
