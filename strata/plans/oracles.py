@@ -289,6 +289,13 @@ SELECT CAST(event_id AS VARCHAR) AS review_id, user_id AS game_key, CAST(ts AS D
        CAST(length(props) AS BIGINT) AS review_length_chars,
        date_trunc('second', ts) AS created_at
 FROM events WHERE event_type IN ('purchase', 'click', 'error')""",
+    "arrival_audit": """
+SELECT CAST(count_if(event_type = 'view') AS BIGINT) AS new_most_played,
+       CAST(count_if(event_type = 'signup') AS BIGINT) AS new_player_counts,
+       CAST(count_if(event_type IN ('purchase', 'click', 'error')) AS BIGINT) AS new_reviews,
+       (SELECT count(*) FROM customer) AS new_app_details,
+       CAST(1 AS BIGINT) AS builds
+FROM events""",
     "load_ledger": """
 SELECT CAST(ts AS DATE) AS ingest_date, count(*) AS loaded_rows FROM events GROUP BY 1""",
 }
