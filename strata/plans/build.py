@@ -48,8 +48,12 @@ class RunResult:
 
 
 def load_raw(spark: SparkSession, lake: Lake, datasets=DATASETS, strict: bool = True,
-             max_files_per_trigger: int | None = None) -> dict[str, IngestResult]:
-    """Load every new landing file of each dataset into bronze (once per file)."""
+             max_files_per_trigger: int | None = None, archive: bool = False) -> dict[str, IngestResult]:
+    """Load every new landing file of each dataset into bronze (once per file).
+
+    ``archive`` moves loaded files to ``<root>/archive/<dataset>`` so the
+    landing listing stays proportional to new files.
+    """
     from strata import fs
     started = {}
     for ds in datasets:
@@ -58,7 +62,7 @@ def load_raw(spark: SparkSession, lake: Lake, datasets=DATASETS, strict: bool =
                              stage_root=lake.landing, strict=strict,
                              quarantine=None if strict else lake.quarantine(ds),
                              ledger=lake.load_ledger(ds), max_files_per_trigger=max_files_per_trigger,
-                             wait=False)
+                             wait=False, archive_dir=f"{lake.root}/archive/{ds}" if archive else None)
     # the four tables ingest concurrently; every query is awaited (errors surface)
     errors = []
     for ds, (q, _) in started.items():

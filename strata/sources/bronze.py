@@ -57,15 +57,22 @@ def ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
            stage_root: str | None = None, strict: bool = True, quarantine: str | None = None,
            ledger: str | None = None, available_now: bool = True,
            processing_time: str | None = None, max_files_per_trigger: int | None = None,
-           wait: bool = True):
+           wait: bool = True, archive_dir: str | None = None, max_file_age: str | None = None):
     """Load every not-yet-loaded NDJSON file under ``landing`` into ``bronze``.
 
     With ``wait=False`` the started query and a result getter are returned,
-    so several tables can ingest concurrently.
+    so several tables can ingest concurrently. ``archive_dir`` moves every
+    loaded file out of the landing folder once its batch is committed, so the
+    per-trigger listing covers new files only, not years of history;
+    ``max_file_age`` bounds how old a file may be to be considered.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
     root = stage_root or landing
     lines = (reader.load(landing)
                    .select("value", relative_file(F.col("_metadata.file_path"), root).alias("_file"))

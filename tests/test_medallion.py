@@ -297,3 +297,24 @@ def test_duplicate_and_reordered_files_do_not_change_gold(spark, tmp_path, modes
     a, b = snap(lake), snap(ref_lake)
     for n in a:
         assert sorted(set(a[n]) ^ set(b[n])) == [], n
+
+
+def test_ingest_archives_loaded_files(spark, tmp_path):
+    import glob
+    import time
+    root = str(tmp_path)
+    write(f"{root}/raw", "most_played", "2024-03-01 06:00:00",
+          [{"appid": 1, "rank": 1, "last_week_rank": 1, "peak_in_game": 1, "rollup_date": None}])
+    write(f"{root}/raw", "most_played", "2024-03-02 06:00:00",
+          [{"appid": 2, "rank": 1, "last_week_rank": 1, "peak_in_game": 1, "rollup_date": None}])
+    kw = dict(stage_root=f"{root}/raw", archive_dir=f"{root}/archive", max_files_per_trigger=1)
+    first = ingest(spark, f"{root}/raw/most_played", f"{root}/bronze", f"{root}/chk", **kw)
+    assert first.rows == 2
+    # files of committed batches are moved out of the landing folder (cleanup is asynchronous)
+    for _ in range(20):
+        if not glob.glob(f"{root}/raw/most_played/**/*.ndjson", recursive=True):
+            break
+        ingest(spark, f"{root}/raw/most_played", f"{root}/bronze", f"{root}/chk", **kw)
+        time.sleep(0.5)
+    assert len(glob.glob(f"{root}/archive/**/*.ndjson", recursive=True)) >= 1
+    assert read_bronze(spark, f"{root}/bronze").count() == 2
