@@ -27,6 +27,7 @@ from strata.operators.responses import (chart_work_list, details_envelope, flatt
 from strata.plans import gold
 from strata.session import ensure_session, scratch_path
 from strata.sources.bronze import ingest, read_bronze, read_ledger
+from strata.sources.catalog import Lake
 from strata.sources.ndjson import object_key, write_ndjson
 
 # Fixed parameters of the analogs (dates inside the events table's range).
@@ -509,9 +510,15 @@ def stamp_metadata(spark, sf_dir):
 
 # ---------------------------------------------------------------- landing / bronze
 _EVENT_JSON = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+# Lakes built by the landing / pipeline queries, reused within one session.
+_LAKES: dict[tuple, str] = {}
 
 
 def _land_and_ingest(spark, sf_dir):
+    """Land the events as NDJSON and ingest them twice (once per session and scale)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "events")
+    if key in _LAKES:
+        return _LAKES[key], None
     root = scratch_path(spark, "lake")
     ev = table(spark, sf_dir, "events")
     write_ndjson(ev, f"{root}/raw", "events", "ts", _EVENT_JSON)
@@ -520,6 +527,7 @@ def _land_and_ingest(spark, sf_dir):
     again = ingest(spark, f"{root}/raw/events", f"{root}/bronze/events", f"{root}/_chk/events", **kw)
     if again.rows:
         raise AssertionError(f"second ingest loaded {again.rows} rows; files must load once")
+    _LAKES[key] = root
     return root, first
 
 
@@ -565,7 +573,6 @@ def export_ndjson_roundtrip(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- full pipeline
-_LAKES: dict[tuple[str, str], str] = {}
 
 
 def _iso(ts):
@@ -634,7 +641,6 @@ def _land(lake, records: dict[str, DataFrame]) -> None:
 def _pipeline_lake(spark, sf_dir):
     """Land, ingest and build once per session and scale; later calls reuse it."""
     from strata.plans.build import build, load_raw
-    from strata.sources.catalog import Lake
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         from strata.streaming.arrival import run_on_arrival
@@ -644,7 +650,6 @@ def _pipeline_lake(spark, sf_dir):
         # the build runs as the arrival stream's micro-batch (audit row + models)
         run_on_arrival(spark, lake, lambda s, l, run_id: build(s, l, run_id, run_tests=False))
         _LAKES[key] = lake.root
-    from strata.sources.catalog import Lake
     return Lake(_LAKES[key])
 
 
@@ -652,7 +657,6 @@ def _incremental_lake(spark, sf_dir):
     """The same records landed in two runs (split at 2024-01-16) and built
     incrementally: silver merged from new bronze batches, touched days only."""
     from strata.plans.build import build, load_raw
-    from strata.sources.catalog import Lake
     key = (spark.sparkContext.applicationId, sf_dir, "incremental")
     if key not in _LAKES:
         lake = Lake(scratch_path(spark, "medallion-inc"))
@@ -666,7 +670,6 @@ def _incremental_lake(spark, sf_dir):
             load_raw(spark, lake)
             build(spark, lake, run_tests=False, silver_mode="incremental", daily_mode="touched")
         _LAKES[key] = lake.root
-    from strata.sources.catalog import Lake
     return Lake(_LAKES[key])
 
 
