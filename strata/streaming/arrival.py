@@ -1,7 +1,7 @@
 """Build-on-arrival: the change streams of the four bronze tables drive the model DAG.
 
-One streaming query unions the four bronze tables (each tagged with its
-name). A micro-batch exists only when at least one table received rows
+One streaming query unions the change streams of the four bronze tables
+(each tagged with its name). A micro-batch exists only when at least one table received rows
 (the OR of the four has-data predicates); ``foreachBatch`` then appends the
 audit row (batch id, time, new rows per table) and runs the build. The
 offsets are committed only after the batch function returns, so a failed
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import fs
-from strata.sources.bronze import BRONZE_SCHEMA
+from strata.sources.bronze import LEDGER_SCHEMA
 from strata.sources.catalog import DATASETS, Lake
 
 TRIGGER_LOG_SCHEMA = T.StructType(
@@ -31,12 +31,17 @@ TRIGGER_LOG_SCHEMA = T.StructType(
 
 
 def bronze_changes(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Append-only change stream over all bronze tables: ``(table_name, _loaded_at)``."""
+    """Append-only change stream over all bronze tables: ``(table_name, rows)``.
+
+    It follows each table's load ledger, which an ingest batch writes only
+    after its bronze folder is committed: every change the stream reports is
+    already readable by the build it triggers.
+    """
     streams = []
     for ds in DATASETS:
-        fs.mkdirs(spark, lake.bronze(ds))
-        s = (spark.readStream.schema(BRONZE_SCHEMA).parquet(lake.bronze(ds))
-                  .select(F.lit(ds).alias("table_name"), "_loaded_at"))
+        fs.mkdirs(spark, lake.load_ledger(ds))
+        s = (spark.readStream.schema(LEDGER_SCHEMA).parquet(lake.load_ledger(ds))
+                  .select(F.lit(ds).alias("table_name"), "rows"))
         streams.append(s)
     out = streams[0]
     for s in streams[1:]:
@@ -51,7 +56,7 @@ def run_on_arrival(spark: SparkSession, lake: Lake, build_fn: Callable[[SparkSes
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         counts = {r["table_name"]: r["n"] for r in
-                  batch.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()}  # <= 4 rows
+                  batch.groupBy("table_name").agg(F.sum("rows").alias("n")).collect()}  # <= 4 rows
         row = [(batch_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
                 *[int(counts.get(ds, 0)) for ds in DATASETS])]
         (spark.createDataFrame(row, TRIGGER_LOG_SCHEMA)

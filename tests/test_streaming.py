@@ -54,7 +54,8 @@ def test_debounced_arrival_mode(spark, tmp_path):
     from strata.sources.bronze import ingest
     for ds in ("most_played", "player_counts", "reviews", "app_details"):
         ingest_q[ds] = ingest(spark, lake.raw(ds), lake.bronze(ds), lake.ingest_checkpoint(ds),
-                              stage_root=lake.landing, processing_time="1 second")
+                              stage_root=lake.landing, ledger=lake.load_ledger(ds),
+                              processing_time="1 second")
     built = []
     q = run_on_arrival(spark, lake, lambda s, l, r: built.append(r) or build(s, l, r, run_tests=False),
                        processing_time="1 second")
