@@ -1 +1 @@
-"""Model plans: silver and gold models, the build DAG, driver queries."""
+"""Model plans: silver and gold models, the build DAG, extraction, driver queries."""
