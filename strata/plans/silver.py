@@ -16,6 +16,8 @@ from strata.operators.dedup import latest_by
 
 _TIES = [("_file", "desc"), ("_loaded_at", "desc")]
 
+# The silver column <- (raw JSON path, type) contract of each
+# model, in the order of the models' columns. ---------------------------------
 MOST_PLAYED = {
     "appid": ("$.appid", "bigint"),
     "chart_rank": ("$.rank", "bigint"),
@@ -77,6 +79,7 @@ APP_DETAILS = {
     "short_description": ("$.data.short_description", "string"),
     "extracted_at": ("$._extracted_at", "timestamp"),
 }
+# ------------------------------------------------------------------------------
 
 
 def silver_most_played(bronze: DataFrame, strict: bool = True) -> DataFrame:
