@@ -135,12 +135,17 @@ class SnapshotTable:
 
     def upsert(self, source: DataFrame, mode: str = "strict", hw_column: str = "extracted_at",
                loaded_column: str = "_loaded_at", order: list | None = None,
-               meta_update: dict | None = None) -> dict:
+               meta_update: dict | None = None, stable_partitions: bool | None = None) -> dict:
         """Merge ``source`` on the key columns; returns a small summary.
 
         ``mode="newer"`` merges the source as given (the caller selected the new
         rows) and keeps every column: a target row is replaced only when the
         source row comes first by ``order`` (ties go to the source).
+
+        ``stable_partitions``: a key never changes partition (always true when
+        the partition column is part of the key; true for a review's creation
+        day). Then only the source's partitions can hold matches, and the
+        merge reads just those instead of scanning every key of the table.
         """
         if mode not in ("strict", "loaded_at", "newer"):
             raise ValueError(f"unknown mode {mode}")
@@ -186,12 +191,14 @@ class SnapshotTable:
             self._commit(version, {p: version for p in written}, src_rows.schema, new_meta)
             return {"version": version, "rows": agg["n"], "partitions": written}
 
-        target = self.read()
         src_keys = src_rows.select(*keys)
         part_str = F.coalesce(F.col(self.part).cast("string"), F.lit(_NULL_PART))
-        hit = target.select(*keys, self.part).join(src_keys, keys, "left_semi")
-        affected = [r[0] for r in src_rows.select(part_str).union(hit.select(part_str))
-                                          .distinct().collect()]
+        stable = (self.part in keys) if stable_partitions is None else stable_partitions
+        parts_df = src_rows.select(part_str)
+        if not stable:  # matched keys may sit in any partition: find theirs
+            hit = self.read().select(*keys, self.part).join(src_keys, keys, "left_semi")
+            parts_df = parts_df.union(hit.select(part_str))
+        affected = [r[0] for r in parts_df.distinct().collect()]  # partition names only
         touched = [p for p in affected if p in cur["partitions"]]
         target_aff = self.read(touched)
         kept = target_aff.join(src_keys, keys, "left_anti")

@@ -120,7 +120,8 @@ def incremental_silver(spark: SparkSession, lake: Lake, threads: int = 4) -> dic
         new = [b for b in committed_batches(spark, lake.bronze(ds)) if b > last]
         if new:
             t.upsert(model(read_bronze(spark, lake.bronze(ds), batches=new)), mode="newer",
-                     order=order, meta_update={"bronze_batch": max(new)})
+                     order=order, meta_update={"bronze_batch": max(new)},
+                     stable_partitions=True)  # day in the key, or a review's creation day
         if not t.exists():
             return model(read_bronze(spark, lake.bronze(ds)))  # empty bronze: empty model
         return t.read()
@@ -185,7 +186,8 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
                          partition_by="activity_date")
     if review_mode == "strict":
         fr_src = gold.fact_review(reviews)
-        fr_job = lambda: fr_t.upsert(fr_src, mode="strict")["rows"]
+        # a review's creation day never changes: merges touch only the source's days
+        fr_job = lambda: fr_t.upsert(fr_src, mode="strict", stable_partitions=True)["rows"]
     else:
         # Only bronze batches not yet consumed are deduplicated and merged; a
         # stored review is replaced only by a newer version, so late files count.
@@ -196,7 +198,7 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
             read_bronze(spark, lake.bronze("reviews"), batches=new)))
         fr_job = lambda: fr_t.upsert(
             fr_src, mode="newer", order=[("updated_at", "desc"), ("extracted_at", "desc")],
-            meta_update={"bronze_batch": max(new)} if new else None)["rows"]
+            meta_update={"bronze_batch": max(new)} if new else None, stable_partitions=True)["rows"]
     jobs = {
         "dim_game": lambda: dim_t.replace(gold.dim_game(most_played, s["silver_app_details"]))
         and dim_t.read().count(),

@@ -82,3 +82,18 @@ def test_quality_checks_pass_and_fail(spark):
     assert (nc.id_nulls, nc.fk_nulls) == (0, 1)
     res = quality.run_checks([quality.Check("nn", lambda ts: quality.not_null(ts["c"], "fk"))], {"c": child})
     assert res[0].failures == 1 and not res[0].passed and len(res[0].sample) == 1
+
+
+def test_stable_partitions_merge_matches_full_scan(spark, tmp_path):
+    """When keys never change partition, merging from the source's partitions
+    only gives the same table as finding matches over every key."""
+    def run(stable):
+        t = SnapshotTable(spark, str(tmp_path / f"t{stable}"), key="id", partition_by="d")
+        b1 = spark.createDataFrame([(f"k{i}", dt.date(2024, 1, 1 + i % 5), i, None, T("2024-01-02"), None)
+                                    for i in range(50)], SCHEMA).drop("_loaded_at")
+        t.upsert(b1, hw_column="ext", stable_partitions=stable)
+        b2 = spark.createDataFrame([(f"k{i}", dt.date(2024, 1, 1 + i % 5), -i, None, T("2024-01-03"), None)
+                                    for i in range(0, 60, 7)], SCHEMA).drop("_loaded_at")
+        t.upsert(b2, hw_column="ext", stable_partitions=stable)
+        return rows(t)
+    assert run(True) == run(False)
