@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.semantics import asc, desc, minor_units_to_amount, placeholder_name, try_date
 from strata.functions.variant import vget
@@ -700,6 +701,19 @@ def arrival_audit(spark, sf_dir):
                    F.count(F.lit(1)).alias("builds"))
 
 
+def export_report_sample(spark, sf_dir):
+    """The report's sample export (latest 300 rows, ordered) as CSV, read back."""
+    from strata.plans.build import gold_tables
+    from strata.sources.export import export_samples
+    g = gold_tables(spark, _pipeline_lake(spark, sf_dir))
+    out = scratch_path(spark, "samples")
+    export_samples(g["rpt_daily_game_performance"], g["dim_game"], g["fact_review"], out)
+    decimals = ("positive_review_ratio", "avg_weighted_vote_score", "median_playtime_at_review_min")
+    schema = T.StructType([T.StructField(f.name, T.DoubleType() if f.name in decimals else f.dataType)
+                           for f in g["rpt_daily_game_performance"].schema.fields])
+    return spark.read.schema(schema).option("header", True).csv(f"{out}/sample_daily_game_performance")
+
+
 def medallion_fact_review(spark, sf_dir):
     """The incremental review fact of the full pipeline."""
     from strata.plans.build import gold_tables
@@ -753,4 +767,5 @@ QUERIES = {
     "medallion_fact_review": medallion_fact_review,
     "medallion_incremental_report": medallion_incremental_report,
     "arrival_audit": arrival_audit,
+    "export_report_sample": export_report_sample,
 }

@@ -289,6 +289,9 @@ SELECT CAST(event_id AS VARCHAR) AS review_id, user_id AS game_key, CAST(ts AS D
        CAST(length(props) AS BIGINT) AS review_length_chars,
        date_trunc('second', ts) AS created_at
 FROM events WHERE event_type IN ('purchase', 'click', 'error')""",
+    "export_report_sample": _with("""
+SELECT * FROM rpt
+ORDER BY activity_date DESC NULLS FIRST, chart_rank ASC NULLS LAST, game_name ASC NULLS LAST LIMIT 300"""),
     "arrival_audit": """
 SELECT CAST(count_if(event_type = 'view') AS BIGINT) AS new_most_played,
        CAST(count_if(event_type = 'signup') AS BIGINT) AS new_player_counts,
