@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import line_dedup, mixing
+from strata.llm import line_dedup, minhash, mixing, topk
 from strata.llm.bpe import op10_bpe
 from strata.llm.fingerprints import op4_fingerprints
+from strata.llm.html_main import op7_html
 from strata.llm.langid import op9_language_id
 from strata.llm.line_dedup import op3_line_dedup
+from strata.llm.minhash import op8_minhash
 from strata.llm.mixing import op5_mixing
 from strata.llm.quality import op2_quality
+from strata.llm.topk import op6_topk
 from strata.llm.toxicity import op1_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +24,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_mixing": op5_mixing,
+    "op6_topk": op6_topk,
+    "op7_html": op7_html,
+    "op8_minhash": op8_minhash,
     "op9_language_id": op9_language_id,
     "op10_bpe": op10_bpe,
 }
@@ -28,4 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.ORACLE,
     "op5_mixing": mixing.ORACLE,
+    "op6_topk": topk.ORACLE,
+    "op8_minhash": minhash.ORACLE,
 }
