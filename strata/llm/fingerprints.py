@@ -45,10 +45,17 @@ for _k in range(64):
     _LOG[int(np.array(1 << _k, U64) * _SPREAD >> U64(58))] = _k
 
 
-def _toss(symbols: np.ndarray) -> np.ndarray:
-    """Labels below 128 from symbols and their left neighbours (the first one's: 0)."""
-    differ = symbols.copy()
-    differ[1:] ^= symbols[:-1]
+def _left(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The left neighbours; 0 at a text's first."""
+    out = np.zeros_like(values)
+    out[1:] = values[:-1]
+    out[first] = 0
+    return out
+
+
+def _toss(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Labels below 128 from symbols and their left neighbours."""
+    differ = symbols ^ _left(symbols, first)
     place = _LOG[((differ & (~differ + U64(1))) * _SPREAD) >> U64(58)]
     return 2 * place + ((symbols >> place.astype(U64)) & U64(1)).astype(np.uint8)
 
@@ -76,14 +83,12 @@ def _level(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
         symbols, first = symbols[at], first[at]
         symbols = np.where(run > 1, mix64(symbols + run.astype(U64) * U64(0xD6E8FEB86659FD93)), symbols)
         n = len(symbols)
-    label = _toss(symbols)
+    label = _toss(symbols, first)
     for _ in range(3):
-        pair = label.astype(np.uint16)
-        pair[1:] |= label[:-1].astype(np.uint16) << np.uint16(7)
-        label = _RETOSS[pair]
+        label = _RETOSS[_left(label, first).astype(np.uint16) << np.uint16(7) | label]
     peak = np.zeros(n, bool)
-    peak[1:-1] = (label[1:-1] > label[:-2]) & (label[1:-1] >= label[2:])
-    cut = first | (peak & ~first)
+    peak[1:-1] = (label[1:-1] > label[:-2]) & (label[1:-1] >= label[2:]) & ~first[2:]  # a text's last is none
+    cut = first | peak
     at = np.flatnonzero(cut)
     size = np.diff(at, append=n)
     within = np.arange(n) - np.repeat(at, size)
@@ -116,21 +121,23 @@ def _parse(texts: list[str], out: np.ndarray) -> None:
     first = np.zeros(len(symbols), bool)
     first[np.cumsum(size[some]) - size[some]] = True
     level = 0
-    while True:
+    while len(symbols):
         symbols, first = _level(symbols, first)
         level += 1
-        done = first.all()
-        if level >= FROM_LEVEL:
-            text = some[np.cumsum(first) - 1]
-            group = (symbols >> U64(58)).astype(np.int64)
-            value = ((symbols >> U64(40)) & U64(0xFFFF)).astype(np.uint16)
-            np.minimum(value, np.uint16(NONE - 1), out=value)
-            order = np.argsort(np.uint16(NONE) - value, kind="stable")
-            least = np.full(out.shape, NONE, np.uint16)
-            least[text[order], group[order]] = value[order]
-            np.minimum(out, least, out=out)
-        if done and level >= FROM_LEVEL:
-            return
+        if level < FROM_LEVEL:
+            continue
+        text = some[np.cumsum(first) - 1]
+        group = (symbols >> U64(58)).astype(np.int64)
+        value = np.minimum((symbols >> U64(40)) & U64(0xFFFF), U64(NONE - 1)).astype(np.uint16)
+        order = np.argsort(np.uint16(NONE) - value, kind="stable")  # the least comes last and stays
+        least = np.full(out.shape, NONE, np.uint16)
+        least[text[order], group[order]] = value[order]
+        np.minimum(out, least, out=out)
+        # a text of one phrase is done
+        at = np.flatnonzero(first)
+        size = np.diff(at, append=len(symbols))
+        some, on = some[size > 1], np.repeat(size > 1, size)
+        symbols, first = symbols[on], first[on]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
