@@ -27,10 +27,12 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) == set(E.ORACLES)
+    assert set(E.queries()) == {*E.QUERIES, *E.TEXT_QUERIES}
+    assert set(E.oracle_sql()) == {*E.ORACLES, *E.TEXT_ORACLES}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)
@@ -47,7 +49,7 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_types_match_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name] + " LIMIT 0") if "LIMIT" not in E.oracle_sql()[name] \
