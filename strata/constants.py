@@ -12,14 +12,12 @@ SOURCE_NAMES = {
     "reviews": "appreviews",
     "app_details": "appdetails",
 }
-LANDING_KEY = "raw/<dataset>/ingest_date=YYYY-MM-DD/<dataset>_<YYYYmmddTHHMMSS>[_partNN].ndjson"
 LANDING_DATE_FORMAT = "yyyy-MM-dd"
 LANDING_STAMP_FORMAT = "yyyyMMdd'T'HHmmss"
 PART_DIGITS = 2
 TOP_N = 100
 CHUNK_SIZE = 50
 REVIEW_LOOKBACK_HOURS = 24
-MAX_REVIEW_PAGES = 100
 RELEASE_DATE_FORMAT = "d MMM, yyyy"
 PLACEHOLDER_NAME = ("Unknown (", ")")
 MINOR_UNITS_PER_UNIT = 100

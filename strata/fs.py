@@ -40,10 +40,17 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [] if found is None else sorted(st.getPath().toString() for st in found)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file (manifests, markers) and overwrite any old one."""
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all in it, if it is there."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, True)
+    fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """Write a small text file (manifests, markers); without ``overwrite`` an
+    existing file is an error, so that of two writers only one goes on."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, overwrite)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:

@@ -2,13 +2,12 @@
 
 ``exact_median`` never gathers a group's values into one task. Values are
 first pre-aggregated to ``(group, value, count)`` (map-side combine, so
-repeated values collapse). Groups with at most ``max_distinct`` distinct
-values are then solved by a running count over their distinct values. A
-group with more distinct values is narrowed by histogram rounds: each round
-splits the group's candidate value range into ``buckets`` buckets (at most
-``buckets`` rows per group), keeps the bucket holding the target rank and
-repeats until the range is small. The answer is exact; the interpolation
-(``lo + (hi - lo) * 0.5``) matches SQL ``median``.
+repeated values collapse) and written once, dealt by ranges of (group, value):
+a hot group spans many ranges. Counts per range give each range's place in its
+group, and only the one or two ranges that hold the middle ranks are ranked
+value by value. The same steps run whatever a group's size; infinities are
+ordered like any value. The interpolation (``lo + (hi - lo) * 0.5``) matches
+SQL ``median``.
 """
 
 from __future__ import annotations
@@ -17,73 +16,37 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.semantics import iff
+from strata.session import scratch_path
 
-_TARGET_COLS = ["_t", "_r", "_below", "_lo", "_hi"]
 
-
-def _checkpoint(df: DataFrame) -> DataFrame:
-    # Reliable checkpoint into spark.checkpoint.dir: survives lost executors.
-    from strata.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def exact_median(df: DataFrame, keys: list[str], value: str | Column, out: str = "median",
-                 max_distinct: int = 100_000, buckets: int = 1024,
-                 max_rounds: int = 64) -> DataFrame:
+def exact_median(df: DataFrame, keys: list[str], value: str | Column, out: str = "median") -> DataFrame:
     """``median(value)`` per ``keys`` (NULLs ignored; groups of only NULLs vanish)."""
+    spark = df.sparkSession
     v = F.col(value) if isinstance(value, str) else value
     base = (df.where(v.isNotNull())
               .groupBy(*keys, v.cast("double").alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
-    stats = base.groupBy(*keys).agg(
-        F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_nd"),
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    # Two 0-based target ranks; equal when the group size is odd.
-    state = (stats.select(*keys, "_n", "_nd", "_lo", "_hi",
-                          F.explode(F.array(F.lit(0), F.lit(1))).alias("_t"))
-                  .select(*keys, "_t", "_nd", "_lo", "_hi",
-                          iff(F.col("_t") == 0, F.floor((F.col("_n") - 1) / 2),
-                              F.floor(F.col("_n") / 2)).alias("_r"),
-                          F.lit(0).cast("bigint").alias("_below")))
-
-    if not stats.where(F.col("_nd") > max_distinct).isEmpty():
-        state = _checkpoint(state)
-        for _ in range(max_rounds):
-            big = state.where(F.col("_nd") > max_distinct)
-            if big.isEmpty():
-                break
-            width = (F.col("_hi") - F.col("_lo"))
-            bucket = F.least(F.floor((F.col("_v") - F.col("_lo")) / width * buckets),
-                             F.lit(buckets - 1)).alias("_b")
-            hist = (base.join(big.select(*keys, *_TARGET_COLS), on=keys)
-                        .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-                        .groupBy(*keys, "_t", "_r", "_below", bucket)
-                        .agg(F.sum("_c").alias("_cnt"), F.count(F.lit(1)).alias("_bnd"),
-                             F.min("_v").alias("_blo"), F.max("_v").alias("_bhi")))
-            w = (Window.partitionBy(*keys, "_t").orderBy("_b")
-                       .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            hist = hist.withColumn("_start", F.col("_below") + F.sum("_cnt").over(w) - F.col("_cnt"))
-            picked = (hist.where((F.col("_start") <= F.col("_r"))
-                                 & (F.col("_r") < F.col("_start") + F.col("_cnt")))
-                          .select(*keys, "_t", F.col("_bnd").alias("_nd"),
-                                  F.col("_blo").alias("_lo"), F.col("_bhi").alias("_hi"),
-                                  "_r", F.col("_start").alias("_below")))
-            state = _checkpoint(state.where(F.col("_nd") <= max_distinct).unionByName(picked))
-
-    w = (Window.partitionBy(*keys, "_t").orderBy("_v")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (base.join(state.select(*keys, *_TARGET_COLS), on=keys)
-                  .where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-                  .withColumn("_end", F.col("_below") + F.sum("_c").over(w)))
-    picked = ranked.where((F.col("_end") - F.col("_c") <= F.col("_r")) & (F.col("_r") < F.col("_end")))
-    return (picked.groupBy(*keys)
-                  .agg(F.min("_v").alias("_a"), F.max("_v").alias("_z"))
-                  .select(*keys, (F.col("_a") + (F.col("_z") - F.col("_a")) * F.lit(0.5)).alias(out)))
+    # written, so that both reads below see one dealing; lost executors reread it
+    path = scratch_path(spark, "median")
+    base.repartitionByRange(*keys, "_v").withColumn("_piece", F.spark_partition_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
+    by_piece = Window.partitionBy(*keys).orderBy("_piece")
+    pieces = (placed.groupBy(*keys, "_piece").agg(F.sum("_c").alias("_s"))
+                    .withColumn("_n", F.sum("_s").over(Window.partitionBy(*keys)))
+                    .withColumn("_before", F.sum("_s").over(by_piece) - F.col("_s")))
+    lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    middle = pieces.where((F.col("_before") <= hi) & (lo < F.col("_before") + F.col("_s"))) \
+        .select(*keys, "_piece", "_before", lo.alias("_lo"), hi.alias("_hi"))
+    upto = (Window.partitionBy(*keys, "_piece").orderBy("_v")
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = placed.join(middle, [*keys, "_piece"]).withColumn("_end", F.col("_before") + F.sum("_c").over(upto))
+    picked = ranked.where((F.col("_end") - F.col("_c") <= F.col("_hi")) & (F.col("_lo") < F.col("_end")))
+    a, z = F.min("_v"), F.max("_v")
+    return picked.groupBy(*keys).agg(F.when(a == z, a).otherwise(a + (z - a) * F.lit(0.5)).alias(out))
 
 
 def activity_metrics(df: DataFrame, keys: list[str], vote: str, score: str, playtime: str,
-                     median_out: str = "median_playtime_at_review_min", **median_kw) -> DataFrame:
+                     median_out: str = "median_playtime_at_review_min") -> DataFrame:
     """The daily review aggregate of the reference, per ``keys``.
 
     ``total``: count(*); ``positive``: sum(iff(vote,1,0)); ``negative``:
@@ -95,5 +58,5 @@ def activity_metrics(df: DataFrame, keys: list[str], vote: str, score: str, play
         F.sum(iff(vote, 1, 0)).cast("bigint").alias("reviews_positive"),
         F.sum(iff(vote, 0, 1)).cast("bigint").alias("reviews_negative"),
         F.avg(score).alias("avg_weighted_vote_score"))
-    med = exact_median(df, keys, playtime, out=median_out, **median_kw)
+    med = exact_median(df, keys, playtime, out=median_out)
     return agg.join(med, on=keys, how="left")

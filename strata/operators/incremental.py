@@ -41,8 +41,9 @@ _VDIR = "snapshot_version"
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, key: str | list[str] | None = None,
-                 partition_by: str | None = None):
+                 partition_by: str | None = None, keep_versions: int = 3):
         self.spark, self.root, self.part = spark, root.rstrip("/"), partition_by
+        self.keep_versions = keep_versions
         self.keys = [key] if isinstance(key, str) else list(key or [])
         self.key = self.keys[0] if len(self.keys) == 1 else None
 
@@ -85,14 +86,16 @@ class SnapshotTable:
         df = (self.spark.read.schema(read_schema).option("basePath", self.root).parquet(*paths))
         return df.select(*[F.col(f.name) for f in schema.fields])
 
-    def high_water(self, column: str):
-        """``coalesce(max(column), '1970-01-01')`` of the current table."""
-        m = self.current()
-        if m is None:
-            return None
-        return self.read().agg(F.max(column)).first()[0]
-
     # -- writes -------------------------------------------------------------
+    def _claim(self) -> int:
+        """The next version number, taken by creating its claim file: of two
+        builds that want the same number, the second one fails here, before it
+        has written anything."""
+        taken = [int(p.rsplit("v=", 1)[1].split(".")[0]) for p in fs.glob(self.spark, f"{self._manifest_dir()}/v=*")]
+        version = max([0, *self._versions(), *taken]) + 1
+        fs.write_text(self.spark, f"{self._manifest_dir()}/v={version:06d}.claim", "", overwrite=False)
+        return version
+
     def _write_version(self, df: DataFrame, version: int) -> list[str]:
         path = f"{self.root}/{_VDIR}={version:06d}"
         if self.part is None:
@@ -109,11 +112,31 @@ class SnapshotTable:
     def _commit(self, version: int, partitions: dict, schema: T.StructType, meta: dict) -> None:
         fs.mkdirs(self.spark, f"{self.root}/{_VDIR}={version:06d}")  # a version may hold no files
         body = {"version": version, "partitions": partitions, "schema": schema.json(), "meta": meta}
-        fs.write_text(self.spark, f"{self._manifest_dir()}/v={version:06d}.json", json.dumps(body))
+        fs.write_text(self.spark, f"{self._manifest_dir()}/v={version:06d}.json", json.dumps(body), overwrite=False)
+        self._drop_superseded()
+
+    def _drop_superseded(self) -> None:
+        """Remove the folders that none of the newest ``keep_versions`` manifests refers to."""
+        committed = sorted(fs.glob(self.spark, f"{self._manifest_dir()}/v=*.json"))
+        wanted: set[tuple[int, str]] = set()
+        kept = committed[-self.keep_versions:]
+        for path in kept:
+            body = json.loads(fs.read_text(self.spark, path))
+            wanted |= {(v, p) for p, v in body["partitions"].items()} | {(body["version"], None)}
+        for path in committed[:-self.keep_versions]:
+            version = int(path.rsplit("v=", 1)[1].split(".")[0])
+            folder = f"{self.root}/{_VDIR}={version:06d}"
+            if not any(v == version for v, _ in wanted):
+                fs.delete(self.spark, folder)
+            elif self.part is not None:
+                prefix = f"{self.part}="
+                for name in fs.list_dirs(self.spark, folder):
+                    if name.startswith(prefix) and (version, name[len(prefix):]) not in wanted:
+                        fs.delete(self.spark, f"{folder}/{name}")
 
     def replace(self, df: DataFrame, meta: dict | None = None) -> dict:
         """Full rebuild: a new version holding exactly ``df``."""
-        version = (max(self._versions()) + 1) if self._versions() else 1
+        version = self._claim()
         written = self._write_version(df, version)
         self._commit(version, {p: version for p in written}, df.schema, meta or {})
         return {"version": version, "partitions": written}
@@ -125,7 +148,7 @@ class SnapshotTable:
         cur = self.current()
         if cur is None:
             return self.replace(df, meta)
-        version = (max(self._versions()) + 1) if self._versions() else 1
+        version = self._claim()
         written = self._write_version(df, version)
         drop = set(partitions)
         parts = {p: v for p, v in cur["partitions"].items() if p not in drop}
@@ -135,17 +158,17 @@ class SnapshotTable:
 
     def upsert(self, source: DataFrame, mode: str = "strict", hw_column: str = "extracted_at",
                loaded_column: str = "_loaded_at", order: list | None = None,
-               meta_update: dict | None = None, stable_partitions: bool | None = None) -> dict:
+               meta_update: dict | None = None) -> dict:
         """Merge ``source`` on the key columns; returns a small summary.
 
         ``mode="newer"`` merges the source as given (the caller selected the new
         rows) and keeps every column: a target row is replaced only when the
         source row comes first by ``order`` (ties go to the source).
 
-        ``stable_partitions``: a key never changes partition (always true when
-        the partition column is part of the key; true for a review's creation
-        day). Then only the source's partitions can hold matches, and the
-        merge reads just those instead of scanning every key of the table.
+        The selected and deduplicated source is written once and read by every
+        step of the merge. A key may change partition: unless the partition
+        column is part of the key, a semi join over the target's key and
+        partition columns finds where matched keys are now.
         """
         if mode not in ("strict", "loaded_at", "newer"):
             raise ValueError(f"unknown mode {mode}")
@@ -153,52 +176,70 @@ class SnapshotTable:
         cur = self.current()
         meta = dict(cur["meta"]) if cur else {}
         src = source
-        if mode == "strict":
-            hw = meta.get("hw") or _EPOCH
-            src = src.where(F.col(hw_column) > F.lit(hw).cast(source.schema[hw_column].dataType))
-        elif mode == "loaded_at":
-            lhw = meta.get("loaded_hw")
-            if lhw is not None:
-                src = src.where(F.col(loaded_column) > F.lit(lhw).cast(source.schema[loaded_column].dataType))
+        if cur is not None and mode == "strict":
+            src = self._above(src, hw_column, meta.get("hw"))
+        elif cur is not None and mode == "loaded_at":
+            src = self._above(src, loaded_column, meta.get("loaded_hw"))
         if order:
             src = latest_by(src, keys, order)
-        out_cols = [c for c in source.columns if not (mode == "loaded_at" and c == loaded_column)]
-        # one pass over the source for the new high-water marks
+        version = self._claim()
+        staging = f"{self.root}/_staging/v={version:06d}"
+        schema = src.schema
+        src.write.mode("overwrite").parquet(staging)
+        try:
+            return self._merge(self.spark.read.schema(schema).parquet(staging), cur, meta, version, mode,
+                               hw_column, loaded_column, order, meta_update)
+        finally:
+            fs.delete(self.spark, staging)
+
+    @staticmethod
+    def _above(src: DataFrame, column: str, mark: str | None) -> DataFrame:
+        """Rows above a stored mark, compared as values of the column's own type."""
+        kind = src.schema[column].dataType
+        if mark is None and isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            mark = _EPOCH
+        return src if mark is None else src.where(F.col(column) > F.lit(mark).cast(kind))
+
+    def _merge(self, src: DataFrame, cur: dict | None, meta: dict, version: int, mode: str, hw_column: str,
+               loaded_column: str, order: list | None, meta_update: dict | None) -> dict:
+        keys = self.keys
+        out_cols = [c for c in src.columns if not (mode == "loaded_at" and c == loaded_column)]
+
+        def mark(column: str, old: str | None):
+            kind = src.schema[column].dataType
+            return F.greatest(F.max(column), F.lit(old).cast(kind)).cast("string")
+
+        # one pass over the staged source for the new high-water marks
         aggs = [F.count(F.lit(1)).alias("n")]
-        if hw_column in source.columns:
-            aggs.append(F.max(hw_column).cast("string").alias("hw"))
+        if hw_column in src.columns:
+            aggs.append(mark(hw_column, meta.get("hw")).alias("hw"))
         if mode == "loaded_at":
-            aggs.append(F.max(loaded_column).cast("string").alias("lhw"))
+            aggs.append(mark(loaded_column, meta.get("loaded_hw")).alias("loaded_hw"))
         agg = src.agg(*aggs).first().asDict()
-        if agg["n"] == 0:
-            if cur is None:  # first run without rows: an empty table with the schema
-                self._commit(1, {}, src.select(*out_cols).schema, dict(meta_update or {}))
-                return {"version": 1, "rows": 0, "partitions": []}
-            if meta_update:
-                self._commit_meta(cur, {**meta, **meta_update})
-            return {"version": cur["version"], "rows": 0, "partitions": []}
-        new_meta = dict(meta)
-        if agg.get("hw") is not None and (meta.get("hw") is None or agg["hw"] > meta["hw"]):
-            new_meta["hw"] = agg["hw"]
-        if mode == "loaded_at":
-            new_meta["loaded_hw"] = agg["lhw"]
-        new_meta.update(meta_update or {})
+        n = agg.pop("n")
+        new_meta = {**meta, **{k: v for k, v in agg.items() if v is not None}, **(meta_update or {})}
         src_rows = src.select(*out_cols)
-        version = (max(self._versions()) + 1) if self._versions() else 1
-
+        if n == 0:  # the same partitions; on a first run, an empty table with the schema
+            parts, schema = ({}, src_rows.schema) if cur is None else \
+                (cur["partitions"], T.StructType.fromJson(json.loads(cur["schema"])))
+            if cur is None or new_meta != meta:
+                self._commit(version, parts, schema, new_meta)
+            return {"version": version if cur is None else cur["version"], "rows": 0, "partitions": []}
         if cur is None:
             written = self._write_version(src_rows, version)
             self._commit(version, {p: version for p in written}, src_rows.schema, new_meta)
-            return {"version": version, "rows": agg["n"], "partitions": written}
+            return {"version": version, "rows": n, "partitions": written}
 
         src_keys = src_rows.select(*keys)
-        part_str = F.coalesce(F.col(self.part).cast("string"), F.lit(_NULL_PART))
-        stable = (self.part in keys) if stable_partitions is None else stable_partitions
-        parts_df = src_rows.select(part_str)
-        if not stable:  # matched keys may sit in any partition: find theirs
-            hit = self.read().select(*keys, self.part).join(src_keys, keys, "left_semi")
-            parts_df = parts_df.union(hit.select(part_str))
-        affected = [r[0] for r in parts_df.distinct().collect()]  # partition names only
+        if self.part is None:
+            affected = [""]
+        else:
+            part_str = F.coalesce(F.col(self.part).cast("string"), F.lit(_NULL_PART))
+            parts_df = src_rows.select(part_str)
+            if self.part not in keys:  # matched keys may sit in any partition: find theirs
+                hit = self.read().select(*keys, self.part).join(src_keys, keys, "left_semi")
+                parts_df = parts_df.union(hit.select(part_str))
+            affected = [r[0] for r in parts_df.distinct().collect()]  # partition names only
         touched = [p for p in affected if p in cur["partitions"]]
         target_aff = self.read(touched)
         kept = target_aff.join(src_keys, keys, "left_anti")
@@ -212,9 +253,4 @@ class SnapshotTable:
         parts = {p: v for p, v in cur["partitions"].items() if p not in set(affected)}
         parts.update({p: version for p in written})
         self._commit(version, parts, src_rows.schema, new_meta)
-        return {"version": version, "rows": agg["n"], "partitions": sorted(affected)}
-
-    def _commit_meta(self, cur: dict, meta: dict) -> None:
-        """A metadata-only version (same partitions, new bookkeeping)."""
-        version = max(self._versions() + [cur["version"]]) + 1
-        self._commit(version, cur["partitions"], T.StructType.fromJson(json.loads(cur["schema"])), meta)
+        return {"version": version, "rows": n, "partitions": sorted(affected)}

@@ -49,10 +49,13 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
 
 @dataclass
 class Check:
-    """A named check: ``build(tables) -> violations``."""
+    """A named check of ``table``: ``build(tables) -> violations``. ``not_null`` names
+    the column of a plain NULL check, which is counted with the table's others."""
 
     name: str
+    table: str
     build: Callable[[dict[str, DataFrame]], DataFrame]
+    not_null: str | None = None
 
 
 @dataclass
@@ -66,25 +69,42 @@ class CheckResult:
         return self.failures == 0
 
 
+class ChecksFailed(RuntimeError):
+    """A model's data tests failed; what depends on the model is not built."""
+
+    def __init__(self, failed: list[CheckResult]):
+        super().__init__("data tests failed: " + ", ".join(f"{c.name} ({c.failures})" for c in failed))
+        self.failed = failed
+
+
 def run_checks(checks: list[Check], tables: dict[str, DataFrame], sample: int = 5,
                threads: int = 4) -> list[CheckResult]:
     """Evaluate every check (``threads`` at a time); only a bounded sample of
-    violations reaches the driver."""
+    violations reaches the driver. All NULL checks of a table are one scan."""
     from concurrent.futures import ThreadPoolExecutor
+    by_table: dict[str, list[str]] = {}
+    for c in checks:
+        if c.not_null:
+            by_table.setdefault(c.table, []).append(c.not_null)
+
+    def nulls(table: str) -> dict[str, int]:
+        found = null_counts(tables[table], by_table[table]).first().asDict()
+        return {c: found[f"{c}_nulls"] for c in by_table[table]}
 
-    def one(chk: Check) -> CheckResult:
-        v = chk.build(tables)
-        n = v.count()
-        return CheckResult(chk.name, n, v.limit(sample).collect() if n else [])
+    def other(chk: Check) -> int:
+        return chk.build(tables).count()
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
-        return list(pool.map(one, checks))
+        counted = {t: pool.submit(nulls, t) for t in by_table}
+        rest = {c.name: pool.submit(other, c) for c in checks if not c.not_null}
+        n = {c.name: counted[c.table].result()[c.not_null] if c.not_null else rest[c.name].result() for c in checks}
+    return [CheckResult(c.name, n[c.name], c.build(tables).limit(sample).collect() if n[c.name] else []) for c in checks]
 
 
 def model_checks() -> list[Check]:
     """The 17 column / singular tests declared for the silver and gold models."""
-    nn = lambda t, c: Check(f"not_null:{t}.{c}", lambda ts: not_null(ts[t], c))
-    uq = lambda t, c: Check(f"unique:{t}.{c}", lambda ts: unique(ts[t], c))
+    nn = lambda t, c: Check(f"not_null:{t}.{c}", t, lambda ts: not_null(ts[t], c), c)
+    uq = lambda t, c: Check(f"unique:{t}.{c}", t, lambda ts: unique(ts[t], c))
     return [
         nn("silver_most_played", "appid"),
         nn("silver_most_played", "chart_rank"),
@@ -98,11 +118,11 @@ def model_checks() -> list[Check]:
         uq("fact_review", "review_id"),
         nn("fact_review", "review_id"),
         nn("fact_review", "game_key"),
-        Check("relationships:fact_review.game_key->dim_game.game_key",
+        Check("relationships:fact_review.game_key->dim_game.game_key", "fact_review",
               lambda ts: relationships(ts["fact_review"], "game_key", ts["dim_game"], "game_key")),
         nn("fact_daily_game_performance", "game_key"),
         nn("fact_daily_game_performance", "activity_date"),
         nn("rpt_daily_game_performance", "game_name"),
-        Check("grain:fact_daily_game_performance(activity_date,game_key)",
+        Check("grain:fact_daily_game_performance(activity_date,game_key)", "fact_daily_game_performance",
               lambda ts: grain(ts["fact_daily_game_performance"], ["activity_date", "game_key"])),
     ]

@@ -27,6 +27,7 @@ from strata.operators.responses import (chart_work_list, details_envelope, flatt
                                         keep_reviews, scope_to_chart, stamp)
 from strata.plans import gold
 from strata.session import ensure_session, scratch_path
+from strata.sources import export
 from strata.sources.bronze import ingest, read_bronze, read_ledger
 from strata.sources.catalog import Lake
 from strata.sources.ndjson import object_key, write_ndjson
@@ -385,12 +386,7 @@ _COUNTED = ("events", "orders", "lineitem", "customer")
 
 
 def union_counts(spark, sf_dir):
-    parts = [table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(t).alias("table_name"), "row_count") for t in _COUNTED]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return export.table_counts({t: table(spark, sf_dir, t) for t in _COUNTED})
 
 
 def scalar_counts(spark, sf_dir):
@@ -400,15 +396,12 @@ def scalar_counts(spark, sf_dir):
 
 
 def freshness(spark, sf_dir):
-    return table(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("row_count"),
-                                              F.max("ts").alias("latest_ts"))
+    return export.freshness(table(spark, sf_dir, "events"), "ts")
 
 
 def topk_day(spark, sf_dir):
-    rpt = _report(spark, sf_dir)
-    return (rpt.where(F.col("activity_date") == F.lit(REPORT_DAY).cast("date"))
-               .orderBy(asc("chart_rank"), asc("game_name")).limit(10)
-               .select("activity_date", "chart_rank", "game_name", "reviews_total"))
+    return export.todays_top(_report(spark, sf_dir), day=REPORT_DAY) \
+        .select("activity_date", "chart_rank", "game_name", "reviews_total")
 
 
 def topk_nulls_last(spark, sf_dir):
@@ -553,11 +546,12 @@ def load_ledger(spark, sf_dir):
 
 
 def export_ndjson_roundtrip(spark, sf_dir):
-    """Orders landed as one extraction run, fanned out in chunks of 5000 keys."""
+    """Orders landed as one extraction run, fanned out in chunks of 500 keys (part
+    numbers of two digits and more)."""
     root = scratch_path(spark, "export")
     o = (table(spark, sf_dir, "orders")
          .withColumn("_extracted_at", F.lit(RUN_TS).cast("timestamp"))
-         .withColumn("part", F.floor(F.col("o_orderkey") / 5000).cast("int")))
+         .withColumn("part", F.floor(F.col("o_orderkey") / 500).cast("int")))
     o = o.withColumn("object_key", object_key("orders", "_extracted_at", "part"))
     cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus",
             "_extracted_at", "object_key"]
@@ -649,7 +643,8 @@ def _pipeline_lake(spark, sf_dir):
         _land(lake, _api_shaped(spark, sf_dir))
         load_raw(spark, lake)
         # the build runs as the arrival stream's micro-batch (audit row + models)
-        run_on_arrival(spark, lake, lambda s, l, run_id: build(s, l, run_id, run_tests=False))
+        run_on_arrival(spark, lake, lambda s, l, run_id: build(
+            s, l, run_id, silver_mode="view", daily_mode="full", review_mode="strict"))
         _LAKES[key] = lake.root
     return Lake(_LAKES[key])
 
@@ -669,7 +664,7 @@ def _incremental_lake(spark, sf_dir):
             run["app_details"] = records["app_details"] if first else records["app_details"].limit(0)
             _land(lake, run)
             load_raw(spark, lake)
-            build(spark, lake, run_tests=False, silver_mode="incremental", daily_mode="touched")
+            build(spark, lake)
         _LAKES[key] = lake.root
     return Lake(_LAKES[key])
 

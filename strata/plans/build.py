@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata import fs
 from strata.functions.variant import vget
 from strata.operators.incremental import SnapshotTable
-from strata.operators.quality import CheckResult, model_checks, run_checks
+from strata.operators.quality import CheckResult, ChecksFailed, model_checks, run_checks
 from strata.plans import gold, silver
 from strata.session import ensure_session
 from strata.sources.bronze import IngestResult, committed_batches, ingest, read_bronze
@@ -54,7 +55,6 @@ def load_raw(spark: SparkSession, lake: Lake, datasets=DATASETS, strict: bool =
     ``archive`` moves loaded files to ``<root>/archive/<dataset>`` so the
     landing listing stays proportional to new files.
     """
-    from strata import fs
     started = {}
     for ds in datasets:
         fs.mkdirs(spark, lake.raw(ds))
@@ -75,8 +75,19 @@ def load_raw(spark: SparkSession, lake: Lake, datasets=DATASETS, strict: bool =
     return {ds: get() for ds, (_, get) in started.items()}
 
 
-def silver_models(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    b = {ds: read_bronze(spark, lake.bronze(ds)) for ds in DATASETS}
+Batches = dict[str, list[int]]
+
+
+def bronze_batches(spark: SparkSession, lake: Lake) -> Batches:
+    """The committed batches of each dataset, listed once: everything a build
+    reads or marks as consumed goes by this list, so a batch that lands while
+    the build runs is left, whole, to the next one."""
+    return {ds: committed_batches(spark, lake.bronze(ds)) for ds in DATASETS}
+
+
+def silver_models(spark: SparkSession, lake: Lake, batches: Batches | None = None) -> dict[str, DataFrame]:
+    batches = bronze_batches(spark, lake) if batches is None else batches
+    b = {ds: read_bronze(spark, lake.bronze(ds), batches=batches[ds]) for ds in DATASETS}
     return {
         "silver_most_played": silver.silver_most_played(b["most_played"]),
         "silver_player_counts": silver.silver_player_counts(b["player_counts"]),
@@ -103,7 +114,8 @@ SILVER_TABLES = {
 }
 
 
-def incremental_silver(spark: SparkSession, lake: Lake, threads: int = 4) -> dict[str, DataFrame]:
+def incremental_silver(spark: SparkSession, lake: Lake, threads: int = 4,
+                       batches: Batches | None = None) -> dict[str, DataFrame]:
     """Silver as versioned tables merged from the new bronze batches only.
 
     Each table remembers the last bronze batch it consumed; the next build
@@ -112,18 +124,19 @@ def incremental_silver(spark: SparkSession, lake: Lake, threads: int = 4) -> dic
     comes first in the model's order, so the result equals the view over all
     of bronze, while the work follows the new data.
     """
+    batches = bronze_batches(spark, lake) if batches is None else batches
+
     def one(name: str) -> DataFrame:
         ds, model, keys, part, order = SILVER_TABLES[name]
         t = SnapshotTable(spark, lake.silver_table(name), key=keys, partition_by=part)
         cur = t.current()
         last = cur["meta"].get("bronze_batch", -1) if cur else -1
-        new = [b for b in committed_batches(spark, lake.bronze(ds)) if b > last]
+        new = [b for b in batches[ds] if b > last]
         if new:
             t.upsert(model(read_bronze(spark, lake.bronze(ds), batches=new)), mode="newer",
-                     order=order, meta_update={"bronze_batch": max(new)},
-                     stable_partitions=True)  # day in the key, or a review's creation day
+                     order=order, meta_update={"bronze_batch": max(new)})
         if not t.exists():
-            return model(read_bronze(spark, lake.bronze(ds)))  # empty bronze: empty model
+            return model(read_bronze(spark, lake.bronze(ds), batches=[]))  # empty bronze: empty model
         return t.read()
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -140,19 +153,27 @@ def _utcnow() -> dt.datetime:
 
 
 def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
-          review_mode: str = "strict", run_tests: bool = True,
-          threads: int = 4, daily_mode: str = "full",
-          silver_mode: str = "view") -> tuple[list[RunResult], list[CheckResult]]:
-    """Run every model in dependency order, then the data tests; log each model.
-
-    ``silver_mode="view"`` recomputes silver from all of bronze (the
-    reference's views, materialized once per run); ``"incremental"`` merges
-    only new bronze batches into silver tables. ``daily_mode="touched"``
-    recomputes only the days that received new rows.
+          review_mode: str = "loaded_at", run_tests: bool = True,
+          threads: int = 4, daily_mode: str = "touched",
+          silver_mode: str = "incremental", batches: Batches | None = None) -> tuple[list[RunResult], list[CheckResult]]:
+    """Run every model in dependency order, each layer followed by its data tests.
+
+    A failing test stops what depends on the model: the run is logged and
+    ``ChecksFailed`` is raised, so an arrival stream keeps its offset and comes
+    back to the same batch.
+
+    By default a build follows the new data: ``silver_mode="incremental"`` merges
+    new bronze batches into silver tables, ``daily_mode="touched"`` recomputes
+    the days that received new rows, ``review_mode="loaded_at"`` merges late
+    files too. ``"view"``, ``"full"`` and ``"strict"`` (skip files that carry an
+    already seen stamp) are the reference's behaviour. ``batches`` is a listing made
+    earlier (``bronze_batches``); batches committed since are left to the next build.
     """
     ensure_session(spark)
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
+    batches = bronze_batches(spark, lake) if batches is None else batches
     results: list[RunResult] = []
+    checks: list[CheckResult] = []
 
     def step(model: str, fn):
         t0 = _utcnow()
@@ -160,25 +181,36 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
             rows = fn()
             results.append(RunResult(model, "SUCCEEDED", rows, t0, _utcnow()))
         except Exception as e:  # noqa: BLE001 - logged, then re-raised
-            results.append(RunResult(model, "FAILED", None, t0, _utcnow(), str(e)[:500]))
+            results.append(RunResult(model, "FAILED", None, t0, _utcnow(), str(e)))
             _log_run(spark, lake, run_id, results)
             raise
 
-    mat: dict[str, DataFrame] = {}
-    if silver_mode == "incremental":
+    def tested(layer: str, tables: dict[str, DataFrame], of: set[str]) -> None:
+        """The data tests of the tables ``of`` this layer; a failure ends the build."""
+        if not run_tests:
+            return
         t0 = _utcnow()
-        s = incremental_silver(spark, lake, threads)
-        results.append(RunResult("silver (incremental)", "SUCCEEDED", None, t0, _utcnow()))
-        mat = {n: s[n] for n in ("silver_most_played", "silver_reviews")}
+        found = run_checks([c for c in model_checks() if c.table in of and c.table in tables], tables, threads=threads)
+        checks.extend(found)
+        failed = [c for c in found if not c.passed]
+        results.append(RunResult(f"tests ({layer})", "FAILED" if failed else "SUCCEEDED", len(found), t0, _utcnow(),
+                                 ",".join(c.name for c in failed)))
+        if failed:
+            _log_run(spark, lake, run_id, results)
+            raise ChecksFailed(failed)
+
+    if silver_mode == "incremental":
+        s: dict[str, DataFrame] = {}
+        step("silver (incremental)", lambda: s.update(incremental_silver(spark, lake, threads, batches)))
     else:
-        s = silver_models(spark, lake)
-        with ThreadPoolExecutor(max_workers=threads) as pool:  # two consumers each
-            futures = [pool.submit(step, n, lambda n=n: mat.setdefault(
-                n, _materialize(spark, s[n], lake.silver(n, run_id))).count())
-                for n in ("silver_most_played", "silver_reviews")]
+        s = silver_models(spark, lake, batches)
+        with ThreadPoolExecutor(max_workers=threads) as pool:  # read by models and tests: written once
+            futures = [pool.submit(step, n, lambda n=n: s.update(
+                {n: _materialize(spark, s[n], lake.silver(n, run_id))}) or s[n].count()) for n in list(s)]
             for f in futures:
                 f.result()
-    most_played, reviews = mat["silver_most_played"], mat["silver_reviews"]
+    tested("silver", s, set(s))
+    most_played, reviews = s["silver_most_played"], s["silver_reviews"]
 
     dim_t = SnapshotTable(spark, lake.gold("dim_game"))
     fr_t = SnapshotTable(spark, lake.gold("fact_review"), key="review_id", partition_by="review_date")
@@ -186,25 +218,24 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
                          partition_by="activity_date")
     if review_mode == "strict":
         fr_src = gold.fact_review(reviews)
-        # a review's creation day never changes: merges touch only the source's days
-        fr_job = lambda: fr_t.upsert(fr_src, mode="strict", stable_partitions=True)["rows"]
+        fr_job = lambda: fr_t.upsert(fr_src, mode="strict")["rows"]
     else:
         # Only bronze batches not yet consumed are deduplicated and merged; a
         # stored review is replaced only by a newer version, so late files count.
         cur = fr_t.current()
         last = cur["meta"].get("bronze_batch", -1) if cur else -1
-        new = [b for b in committed_batches(spark, lake.bronze("reviews")) if b > last]
+        new = [b for b in batches["reviews"] if b > last]
         fr_src = gold.fact_review(silver.silver_reviews(
             read_bronze(spark, lake.bronze("reviews"), batches=new)))
         fr_job = lambda: fr_t.upsert(
             fr_src, mode="newer", order=[("updated_at", "desc"), ("extracted_at", "desc")],
-            meta_update={"bronze_batch": max(new)} if new else None, stable_partitions=True)["rows"]
+            meta_update={"bronze_batch": max(new)} if new else None)["rows"]
     jobs = {
         "dim_game": lambda: dim_t.replace(gold.dim_game(most_played, s["silver_app_details"]))
         and dim_t.read().count(),
         "fact_review": fr_job,
         "fact_daily_game_performance": lambda: _build_daily(
-            spark, lake, fd_t, most_played, s["silver_player_counts"], reviews, daily_mode),
+            spark, lake, fd_t, most_played, s["silver_player_counts"], reviews, daily_mode, batches),
     }
     # independent models run side by side (dbt's ``threads``); Spark schedules
     # their jobs concurrently on the cluster
@@ -212,18 +243,13 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
         futures = [pool.submit(step, name, fn) for name, fn in jobs.items()]
         for f in futures:
             f.result()
-
-    checks: list[CheckResult] = []
-    if run_tests:
-        tables = dict(s)
-        tables.update(mat)
-        tables.update(gold_tables(spark, lake))
-        checks = run_checks(model_checks(), tables)
-        t = _utcnow()
-        failed = [c.name for c in checks if not c.passed]
-        results.append(RunResult("tests", "FAILED" if failed else "SUCCEEDED", len(checks), t, t,
-                                 ",".join(failed)))
+    made = gold_tables(spark, lake)
+    tested("gold", made, set(jobs))
+    tested("report", made, set(made) - set(jobs))
     _log_run(spark, lake, run_id, results)
+    if silver_mode != "incremental":  # this run's copies have served
+        for n in s:
+            fs.delete(spark, lake.silver(n, run_id))
     return results, checks
 
 
@@ -236,7 +262,7 @@ _DAILY_INPUTS = {
 
 
 def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_played: DataFrame,
-                 player_counts: DataFrame, reviews: DataFrame, mode: str) -> int:
+                 player_counts: DataFrame, reviews: DataFrame, mode: str, listed: Batches) -> int:
     """Daily fact: a full rebuild, or (``mode="touched"``) only the days that
     received new bronze rows since the last build.
 
@@ -245,7 +271,7 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
     recomputing the touched days gives the same table as a full rebuild
     while the work follows the new data.
     """
-    batches = {ds: committed_batches(spark, lake.bronze(ds)) for ds in _DAILY_INPUTS}
+    batches = {ds: listed[ds] for ds in _DAILY_INPUTS}
     consumed = {ds: max(b) if b else -1 for ds, b in batches.items()}
     cur = table.current()
     last = (cur or {}).get("meta", {}).get("bronze_batch")

@@ -1,10 +1,13 @@
-"""The extraction job over landed API responses (one run, every dataset).
+"""The extraction job over landed API responses (one or more runs, every dataset).
 
-Input: ``responses(dataset, appid, page_no, run_ts, cursor, body VARIANT, error)``
-for one or more runs. Output: the stamped raw records of each dataset,
-written to the landing folder as NDJSON in the raw layout with a chunk
-number per fanned-out worker. The chart decides the scope: only charted
-apps are kept for the other datasets.
+Input: ``responses(dataset, appid, page_no, run_ts, cursor, body VARIANT, error)``.
+Output: the stamped raw records of each dataset, written to the landing folder
+as NDJSON in the raw layout with a chunk number per fanned-out worker. Each
+run's own chart decides its scope: only apps on that chart are kept for the
+run's other datasets.
+
+A record is ``map<string,variant>``: the stamps first, then the record's own
+fields, which win over them.
 """
 
 from __future__ import annotations
@@ -12,65 +15,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.constants import CHUNK_SIZE, DATASETS, REVIEW_LOOKBACK_HOURS, SOURCE_NAMES, TOP_N
+from strata.functions.variant import vget
 from strata.operators.responses import (chart_work_list, details_envelope, flatten_chart,
                                         flatten_review_pages, project_player_counts,
-                                        scope_to_chart)
-from strata.constants import CHUNK_SIZE, REVIEW_LOOKBACK_HOURS, SOURCE_NAMES, TOP_N
+                                        scope_to_chart, spread)
 from strata.sources.catalog import Lake
-from strata.sources.ndjson import write_ndjson
+from strata.sources.ndjson import JSON_OPTIONS, write_ndjson
+
+_RUN_APP = ["run_ts", "appid"]
+
 
+def _fields(*columns: Column | str) -> Column:
+    """Columns as an untyped record; a NULL stays as a JSON null."""
+    text = F.to_json(F.struct(*columns), {**JSON_OPTIONS, "ignoreNullFields": "false"})
+    return F.variant_get(F.parse_json(text), "$", "map<string,variant>")
 
 
-def _iso(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+def _stamped(df: DataFrame, dataset: str, record: Column, *first: str) -> DataFrame:
+    """``run_ts``, ``part`` and the ``record`` under its stamps (and ``first`` columns)."""
+    at = F.date_format("run_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("_extracted_at")
+    stamps = _fields(at, F.lit(SOURCE_NAMES[dataset]).alias("_source"), *first)
+    return df.select("run_ts", "part", spread(stamps, record).alias("record"))
 
 
 def shape_run(responses: DataFrame, top_n: int = TOP_N, chunk_size: int = CHUNK_SIZE,
-              lookback_hours: int = REVIEW_LOOKBACK_HOURS) -> dict[str, DataFrame]:
-    """Per dataset: ``(part, record columns..., _extracted_at, _source)``."""
+              lookback_hours: int = REVIEW_LOOKBACK_HOURS,
+              datasets: tuple[str, ...] = DATASETS) -> dict[str, DataFrame]:
+    """Per selected dataset: ``(run_ts, part, record)`` over all runs in ``responses``."""
     chart = flatten_chart(responses.where(F.col("dataset") == "most_played"), top_n=top_n)
-    scoped = scope_to_chart(responses.where(F.col("dataset") != "most_played"),
-                            chart.select("run_ts", "appid").distinct(), key="appid")
-    parts = chart_work_list(chart.select("appid", "pos"), chunk_size).where(F.col("dataset") == "reviews") \
-        .select("appid", "part")
-    stamp = [_iso(F.col("run_ts")).alias("_extracted_at")]
-
-    def with_part(df: DataFrame) -> DataFrame:
-        return df.join(parts, "appid", "left")
-
-    most_played = chart.select(F.lit(None).cast("int").alias("part"), "appid", "rank", "last_week_rank",
-                               "peak_in_game", "rollup_date", *stamp,
-                               F.lit(SOURCE_NAMES["most_played"]).alias("_source"))
-    counts = with_part(project_player_counts(scoped.where(F.col("dataset") == "player_counts"))) \
-        .select("part", "appid", "player_count", "result", *stamp,
-                F.lit(SOURCE_NAMES["player_counts"]).alias("_source"))
-    reviews = with_part(flatten_review_pages(scoped.where(F.col("dataset") == "reviews"),
-                                             lookback_hours=lookback_hours)) \
-        .select("part", "appid", F.col("review").alias("r"), *stamp,
-                F.lit(SOURCE_NAMES["reviews"]).alias("_source"))
-    details = with_part(details_envelope(scoped.where(F.col("dataset") == "app_details"))) \
-        .select("part", "appid", "success", "data", "error", *stamp,
-                F.lit(SOURCE_NAMES["app_details"]).alias("_source"))
-    return {"most_played": most_played, "player_counts": counts, "reviews": reviews,
-            "app_details": details}
+    parts = chart_work_list(chart, chunk_size, datasets=("reviews",)).groupBy(*_RUN_APP).agg(F.min("part").alias("part"))
+
+    def of(dataset: str) -> DataFrame:
+        return scope_to_chart(responses.where(F.col("dataset") == dataset), parts, _RUN_APP)
+
+    def charted() -> DataFrame:
+        return _stamped(chart.withColumn("part", F.lit(None).cast("int")), "most_played", F.col("record"))
+
+    def counts() -> DataFrame:
+        found = project_player_counts(of("player_counts")).join(parts, _RUN_APP)
+        return _stamped(found, "player_counts", _fields("appid", "player_count", "result"))
+
+    def reviews() -> DataFrame:
+        found = flatten_review_pages(of("reviews"), lookback_hours=lookback_hours).join(parts, _RUN_APP)
+        return _stamped(found, "reviews", vget("review", "$", "map<string,variant>"), "appid")
+
+    def details() -> DataFrame:
+        found = details_envelope(of("app_details")).join(parts, _RUN_APP)
+        # the error is a field of failed requests only
+        record = spread(_fields("appid", "success", "data"), F.when(
+            F.col("error").isNotNull(), _fields("error")).otherwise(F.map_from_arrays(
+                F.array().cast("array<string>"), F.array().cast("array<variant>"))))
+        return _stamped(found, "app_details", record)
+
+    shaped = {"most_played": charted, "player_counts": counts, "reviews": reviews, "app_details": details}
+    return {name: shaped[name]() for name in DATASETS if name in datasets}
 
 
 def land_run(lake: Lake, records: dict[str, DataFrame]) -> dict[str, str | None]:
     """Write each dataset's records as NDJSON under the landing folder (skip empty)."""
-    out = {}
-    for ds, df in records.items():
-        df = df.withColumn("_ts", F.col("_extracted_at").cast("timestamp"))
-        if ds == "reviews":
-            # {"_extracted_at", "_source", "appid", **review}: the review's own
-            # fields are spread into the record (they never collide)
-            head = F.to_json(F.struct("_extracted_at", "_source", "appid"))
-            text = F.concat(F.expr("substr(_head, 1, length(_head) - 1)"), F.lit(","),
-                            F.expr("substr(to_json(r), 2)"))
-            df = df.withColumn("_head", head)
-            out[ds] = write_ndjson(df.withColumn("_line", text), lake.landing, ds, "_ts",
-                                   part="part", json_text="_line")
-        else:
-            cols = [c for c in df.columns if c not in ("part", "_ts")]
-            out[ds] = write_ndjson(df, lake.landing, ds, "_ts", cols,
-                                   part=None if ds == "most_played" else "part")
-    return out
+    return {name: write_ndjson(df.withColumn("_line", F.to_json("record")), lake.landing, name, "run_ts",
+                               part=None if name == "most_played" else "part", json_text="_line")
+            for name, df in records.items()}

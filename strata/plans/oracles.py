@@ -98,11 +98,13 @@ items2 AS (
   SELECT *, 'c' || CAST(page_no AS VARCHAR) AS cursor,
          CASE WHEN page_no < 30 THEN 'c' || CAST(page_no + 1 AS VARCHAR) END AS next_cursor,
          coalesce(created, 0) AS c0,
-         CAST(epoch_us(TIMESTAMP '2024-01-31 06:00:00') // 1000000 AS BIGINT) - 168 * 3600 AS cutoff
+         CAST(epoch_us(TIMESTAMP '2024-01-31 06:00:00') // 1000000 AS BIGINT) - 168 * 3600 AS cutoff,
+         rid IS NOT NULL AND row_number() OVER (
+           PARTITION BY appid, rid ORDER BY page_no ASC NULLS LAST, pos ASC NULLS LAST) = 1 AS first_seen
   FROM items),
 pages AS (
   SELECT appid, page_no, count_if(rid IS NOT NULL) AS n,
-         count_if(rid IS NOT NULL AND c0 < cutoff) AS old,
+         count_if(first_seen AND c0 < cutoff) AS old,
          bool_or(error IS NOT NULL) AS failed,
          bool_or(next_cursor IS NULL OR next_cursor = cursor) AS last_page
   FROM items2 GROUP BY appid, page_no),
@@ -112,12 +114,10 @@ stops AS (
   FROM pages GROUP BY appid),
 kept AS (
   SELECT i.* FROM items2 i JOIN stops s ON s.appid = i.appid
-  WHERE i.rid IS NOT NULL AND i.page_no < 100
+  WHERE i.first_seen
     AND (s.stop_incl IS NULL OR i.page_no <= s.stop_incl)
     AND (s.stop_excl IS NULL OR i.page_no < s.stop_excl)),
-firsts AS (
-  SELECT * FROM kept
-  QUALIFY row_number() OVER (PARTITION BY appid, rid ORDER BY page_no ASC NULLS LAST, pos ASC NULLS LAST) = 1)
+firsts AS (SELECT * FROM kept)
 SELECT appid, CAST(page_no AS BIGINT) AS page_no, rid AS recommendationid, created
 FROM firsts WHERE c0 >= cutoff"""
 
@@ -229,7 +229,7 @@ GROUP BY o_custkey, o_orderdate HAVING count(*) > 1""",
     "union_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNTED),
     "scalar_counts": "SELECT " + ", ".join(f"(SELECT count(*) FROM {t}) AS n_{t}" for t in _COUNTED),
-    "freshness": "SELECT count(*) AS row_count, max(ts) AS latest_ts FROM events",
+    "freshness": "SELECT count(*) AS row_count, max(ts) AS latest FROM events",
     "topk_day": _with("""
 SELECT activity_date, chart_rank, game_name, reviews_total FROM rpt
 WHERE activity_date = DATE '2024-01-15'
@@ -275,7 +275,7 @@ SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS inge
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderstatus,
        TIMESTAMP '2024-01-31 06:00:00' AS extracted_at,
        'raw/orders/ingest_date=2024-01-31/orders_20240131T060000_part'
-         || lpad(CAST(CAST(floor(o_orderkey / 5000) AS INTEGER) AS VARCHAR), 2, '0') || '.ndjson' AS object_key,
+         || printf('%02d', CAST(floor(o_orderkey / 500) AS INTEGER)) || '.ndjson' AS object_key,
        DATE '2024-01-31' AS ingest_date
 FROM orders""",
     "medallion_report": _with("SELECT * FROM rpt"),

@@ -19,40 +19,40 @@ _TIES = [("_file", "desc"), ("_loaded_at", "desc")]
 # The silver column <- (raw JSON path, type) contract of each
 # model, in the order of the models' columns. ---------------------------------
 MOST_PLAYED = {
-    "appid": ("$.appid", "bigint"),
-    "chart_rank": ("$.rank", "bigint"),
-    "last_week_rank": ("$.last_week_rank", "bigint"),
-    "peak_in_game": ("$.peak_in_game", "bigint"),
+    "appid": ("$.appid", "bigint_half_up"),
+    "chart_rank": ("$.rank", "bigint_half_up"),
+    "last_week_rank": ("$.last_week_rank", "bigint_half_up"),
+    "peak_in_game": ("$.peak_in_game", "bigint_half_up"),
     "rollup_date": ("$.rollup_date", "epoch"),
     "extracted_at": ("$._extracted_at", "timestamp"),
 }
 
 PLAYER_COUNTS = {
-    "appid": ("$.appid", "bigint"),
-    "player_count": ("$.player_count", "bigint"),
-    "api_result": ("$.result", "bigint"),
+    "appid": ("$.appid", "bigint_half_up"),
+    "player_count": ("$.player_count", "bigint_half_up"),
+    "api_result": ("$.result", "bigint_half_up"),
     "extracted_at": ("$._extracted_at", "timestamp"),
     "snapshot_date": ("$._extracted_at", "date"),
 }
 
 REVIEWS = {
     "review_id": ("$.recommendationid", "string"),
-    "appid": ("$.appid", "bigint"),
+    "appid": ("$.appid", "bigint_half_up"),
     "author_steamid": ("$.author.steamid", "string"),
-    "author_num_games_owned": ("$.author.num_games_owned", "bigint"),
-    "author_num_reviews": ("$.author.num_reviews", "bigint"),
-    "author_playtime_forever_min": ("$.author.playtime_forever", "bigint"),
-    "playtime_at_review_min": ("$.author.playtime_at_review", "bigint"),
-    "playtime_last_two_weeks_min": ("$.author.playtime_last_two_weeks", "bigint"),
+    "author_num_games_owned": ("$.author.num_games_owned", "bigint_half_up"),
+    "author_num_reviews": ("$.author.num_reviews", "bigint_half_up"),
+    "author_playtime_forever_min": ("$.author.playtime_forever", "bigint_half_up"),
+    "playtime_at_review_min": ("$.author.playtime_at_review", "bigint_half_up"),
+    "playtime_last_two_weeks_min": ("$.author.playtime_last_two_weeks", "bigint_half_up"),
     "review_language": ("$.language", "string"),
     "review_text": ("$.review", "string"),
     "created_at": ("$.timestamp_created", "epoch"),
     "updated_at": ("$.timestamp_updated", "epoch"),
     "voted_up": ("$.voted_up", "boolean"),
-    "votes_up": ("$.votes_up", "bigint"),
-    "votes_funny": ("$.votes_funny", "bigint"),
+    "votes_up": ("$.votes_up", "bigint_half_up"),
+    "votes_funny": ("$.votes_funny", "bigint_half_up"),
     "weighted_vote_score": ("$.weighted_vote_score", "double"),
-    "comment_count": ("$.comment_count", "bigint"),
+    "comment_count": ("$.comment_count", "bigint_half_up"),
     "steam_purchase": ("$.steam_purchase", "boolean"),
     "received_for_free": ("$.received_for_free", "boolean"),
     "written_during_early_access": ("$.written_during_early_access", "boolean"),
@@ -61,7 +61,7 @@ REVIEWS = {
 }
 
 APP_DETAILS = {
-    "appid": ("$.appid", "bigint"),
+    "appid": ("$.appid", "bigint_half_up"),
     "fetch_success": ("$.success", "boolean"),
     "game_name": ("$.data.name", "string"),
     "app_type": ("$.data.type", "string"),
@@ -71,10 +71,10 @@ APP_DETAILS = {
     "genres": ("$.data.genres", "variant"),
     "categories": ("$.data.categories", "variant"),
     "price_currency": ("$.data.price_overview.currency", "string"),
-    "discount_percent": ("$.data.price_overview.discount_percent", "bigint"),
+    "discount_percent": ("$.data.price_overview.discount_percent", "bigint_half_up"),
     "release_date_raw": ("$.data.release_date.date", "string"),
-    "metacritic_score": ("$.data.metacritic.score", "bigint"),
-    "total_recommendations": ("$.data.recommendations.total", "bigint"),
+    "metacritic_score": ("$.data.metacritic.score", "bigint_half_up"),
+    "total_recommendations": ("$.data.recommendations.total", "bigint_half_up"),
     "required_age": ("$.data.required_age", "string"),
     "short_description": ("$.data.short_description", "string"),
     "extracted_at": ("$._extracted_at", "timestamp"),
@@ -107,7 +107,7 @@ def silver_app_details(bronze: DataFrame, strict: bool = True, keep_file: bool =
     """Successful detail fetches only (filter *before* dedup), one per (appid, day)."""
     src = (bronze.select(
         *[vget("payload", p, t, strict).alias(n) for n, (p, t) in APP_DETAILS.items()],
-        minor_units_to_amount(vget("payload", "$.data.price_overview.final", "bigint", strict))
+        minor_units_to_amount(vget("payload", "$.data.price_overview.final", "bigint_half_up", strict))
         .alias("price_final"),
         "_file", "_loaded_at"))
     src = src.where(F.col("fetch_success"))

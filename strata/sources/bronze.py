@@ -14,7 +14,6 @@ quarantine table and loads the rest.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,9 +42,14 @@ class IngestResult:
 
 
 def relative_file(path_col, stage_root: str):
-    """``_metadata.file_path`` relative to the stage root (scheme stripped)."""
-    tail = stage_root.rstrip("/").split("/")[-1]
-    return F.regexp_replace(path_col, r"^.*?/" + re.escape(tail) + "/", "")
+    """``_metadata.file_path`` relative to the stage root.
+
+    Scheme and authority are stripped from both, then exactly the root's path.
+    """
+    bare = lambda c: F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?/*", "/")
+    root = bare(F.lit(stage_root.rstrip("/") + "/"))
+    path = bare(path_col)
+    return F.when(F.startswith(path, root), F.substring(path, F.length(root) + 1, F.length(path))).otherwise(path)
 
 
 def _parse(lines: DataFrame, strict: bool) -> DataFrame:

@@ -10,9 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata import fs
 from strata.constants import LANDING_DATE_FORMAT, LANDING_STAMP_FORMAT, PART_DIGITS
 
 
+def part_number(part: Column) -> Column:
+    """A chunk number with at least ``PART_DIGITS`` digits, never cut."""
+    return F.format_string(f"%0{PART_DIGITS}d", part.cast("bigint"))
+
+
 def object_key(dataset: str, ts: Column | str, part: Column | str | None = None) -> Column:
     """The landing object key for a record extracted at ``ts`` (UTC)."""
     t = F.col(ts) if isinstance(ts, str) else ts
@@ -20,7 +26,7 @@ def object_key(dataset: str, ts: Column | str, part: Column | str | None = None)
     if part is not None:
         p = F.col(part) if isinstance(part, str) else part
         suffix = F.when(p.isNull(), F.lit("")).otherwise(
-            F.concat(F.lit("_part"), F.lpad(p.cast("string"), PART_DIGITS, "0")))
+            F.concat(F.lit("_part"), part_number(p)))
     return F.concat(F.lit(f"raw/{dataset}/ingest_date="), F.date_format(t, LANDING_DATE_FORMAT),
                     F.lit(f"/{dataset}_"), F.date_format(t, LANDING_STAMP_FORMAT), suffix,
                     F.lit(".ndjson"))
@@ -51,18 +57,20 @@ def write_ndjson(df: DataFrame, root: str, dataset: str, ts: str,
     optional chunk number of a fanned-out run. ``json_text`` names a column
     that already holds each record's JSON text (written as is).
     """
-    if df.isEmpty():
-        return None
     cols = columns or df.columns
     out = f"{root.rstrip('/')}/{dataset}"
     folders = [F.date_format(F.col(ts), LANDING_DATE_FORMAT).alias("ingest_date")]
     if part:
-        folders.append(F.lpad(F.col(part).cast("string"), PART_DIGITS, "0").alias("part"))
+        folders.append(F.when(F.col(part).isNotNull(), part_number(F.col(part))).alias("part"))
     names = ["ingest_date", "part"][:len(folders)]
     body = F.col(json_text) if json_text else record_json(cols)
     lines = df.select(*folders, body.alias("value"))
-    # Range-partition by (folder, line): each folder gets few files, while a
-    # folder holding most of the rows is still split over several writers.
-    (lines.repartitionByRange(*names, "value")
+    # Range-partition by (folder, hash of the line): each folder gets few files,
+    # while a folder holding most of the rows is still split over several
+    # writers, and the sampled keys are narrow.
+    (lines.repartitionByRange(*names, F.xxhash64("value"))
           .write.mode("append").partitionBy(*names).text(out))
-    return out
+    landed = any(n.startswith("ingest_date=") for n in fs.list_dirs(df.sparkSession, out))
+    if not landed:  # nothing has ever been written: leave no empty folder behind
+        fs.delete(df.sparkSession, out)
+    return out if landed else None

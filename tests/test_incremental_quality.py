@@ -80,20 +80,38 @@ def test_quality_checks_pass_and_fail(spark):
     assert quality.grain(child.union(child.where("id = 1")), ["id", "fk"]).count() == 1
     nc = quality.null_counts(child, ["id", "fk"]).first()
     assert (nc.id_nulls, nc.fk_nulls) == (0, 1)
-    res = quality.run_checks([quality.Check("nn", lambda ts: quality.not_null(ts["c"], "fk"))], {"c": child})
+    res = quality.run_checks([quality.Check("nn", "c", lambda ts: quality.not_null(ts["c"], "fk"), "fk")], {"c": child})
     assert res[0].failures == 1 and not res[0].passed and len(res[0].sample) == 1
 
 
-def test_stable_partitions_merge_matches_full_scan(spark, tmp_path):
-    """When keys never change partition, merging from the source's partitions
-    only gives the same table as finding matches over every key."""
-    def run(stable):
-        t = SnapshotTable(spark, str(tmp_path / f"t{stable}"), key="id", partition_by="d")
-        b1 = spark.createDataFrame([(f"k{i}", dt.date(2024, 1, 1 + i % 5), i, None, T("2024-01-02"), None)
-                                    for i in range(50)], SCHEMA).drop("_loaded_at")
-        t.upsert(b1, hw_column="ext", stable_partitions=stable)
-        b2 = spark.createDataFrame([(f"k{i}", dt.date(2024, 1, 1 + i % 5), -i, None, T("2024-01-03"), None)
-                                    for i in range(0, 60, 7)], SCHEMA).drop("_loaded_at")
-        t.upsert(b2, hw_column="ext", stable_partitions=stable)
-        return rows(t)
-    assert run(True) == run(False)
+def test_key_that_moves_partition_stays_one_row(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), key="id", partition_by="d", keep_versions=2)
+    row = lambda i, day, v, ext: (i, day, v, None, T(ext), None)
+    for step in range(1, 6):
+        t.upsert(spark.createDataFrame([row("a", dt.date(2024, 1, step), step, f"2024-01-0{step + 1}"),
+                                        row(f"k{step}", dt.date(2024, 1, 1), step, f"2024-01-0{step + 1}")], SCHEMA)
+                 .drop("_loaded_at"), hw_column="ext")
+    got = {r[0]: r for r in rows(t)}
+    assert got["a"][1:3] == (5, 5) and len(got) == 6 and len(rows(t)) == 6
+    from strata import fs
+    assert not fs.list_dirs(spark, f"{t.root}/_staging")
+    assert len(fs.list_dirs(spark, t.root)) <= 2 + 4  # superseded versions are gone
+
+
+def test_second_writer_of_a_version_fails(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), key="id", partition_by="d")
+    t.upsert(spark.createDataFrame([("a", dt.date(2024, 1, 1), 1, None, T("2024-01-02"), None)], SCHEMA).drop("_loaded_at"), hw_column="ext")
+    from strata import fs
+    version = t._claim()
+    with pytest.raises(Exception):
+        fs.write_text(spark, f"{t._manifest_dir()}/v={version:06d}.claim", "", overwrite=False)
+    assert t._claim() == version + 1 and len(rows(t)) == 1
+
+
+def test_whole_number_high_water(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), key="id")
+    up = lambda *r: t.upsert(spark.createDataFrame(list(r), "id string, v int, n bigint"), hw_column="n")
+    up(("a", 1, 9), ("b", 1, 10))
+    up(("a", 2, 10), ("b", 2, 11), ("c", 2, 100))
+    up(("a", 3, 20))
+    assert sorted((r.id, r.v) for r in t.read().collect()) == [("a", 1), ("b", 2), ("c", 2)]

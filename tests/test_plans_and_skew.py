@@ -16,7 +16,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in E.queries() if not n.startswith(("medallion", "stream",
+@pytest.mark.parametrize("name", sorted(n for n in E.QUERIES if not n.startswith(("medallion", "stream",
                                                                                      "load_", "export",
                                                                                      "incremental"))))
 def test_no_python_in_plans(spark, name):
@@ -47,6 +47,6 @@ def test_hot_app_paging(spark):
     items = (spark.createDataFrame(rows, "appid long, page_no int, pos long, cursor string, next_cursor string, "
                                          "error string, recommendationid string, timestamp_created long")
              .withColumn("run_ts", F.lit(run).cast("timestamp")))
-    kept = keep_reviews(items, lookback_hours=24, max_pages=1000)
+    kept = keep_reviews(items, lookback_hours=24)
     # reviews newer than the cutoff: i <= 100000; all 30000 are, none older -> no stop
     assert kept.count() == 30000

@@ -24,12 +24,14 @@ def test_chart_flatten_top_n_and_guard(spark):
     r = resp(spark, [(0, 0, None, body, None)])
     out = flatten_chart(r, top_n=2).collect()
     assert [(x.pos, x.appid, x.rank, x.rollup_date) for x in out] == [(0, 7, 1, 1700000000), (1, 3, 2, 1700000000)]
-    with pytest.raises(RuntimeError):
-        flatten_chart(resp(spark, [(0, 0, None, '{"response": {"ranks": []}}', None)]))
+    assert json.loads(flatten_chart(r, top_n=1).select(F.to_json("record").alias("j")).first().j) == {
+        "appid": 7, "rank": 1, "last_week_rank": -1, "peak_in_game": 5, "rollup_date": 1700000000}
+    with pytest.raises(Exception, match="no ranks"):
+        flatten_chart(resp(spark, [(0, 0, None, '{"response": {"ranks": []}}', None)]), top_n=2).collect()
     work = chart_work_list(flatten_chart(r, top_n=3), chunk_size=2).collect()
     assert sorted((w.dataset, w.part, w.appid) for w in work if w.dataset == "reviews") == [
         ("reviews", 0, 3), ("reviews", 0, 7), ("reviews", 1, 9)]
-    scoped = scope_to_chart(spark.createDataFrame([(3,), (4,)], "appid long"), flatten_chart(r))
+    scoped = scope_to_chart(spark.createDataFrame([(3,), (4,)], "appid long"), flatten_chart(r, top_n=3))
     assert [x.appid for x in scoped.collect()] == [3]
 
 
