@@ -105,7 +105,8 @@ def test_report_view(spark, built):
 
 def test_run_history(spark, built):
     h = run_history(spark, built[0]).collect()
-    assert {r.model for r in h} >= {"dim_game", "fact_review", "fact_daily_game_performance", "tests"}
+    assert {r.model for r in h} >= {"dim_game", "fact_review", "fact_daily_game_performance",
+                                    "tests (silver)", "tests (gold)", "tests (report)"}
 
 
 def test_rebuild_is_idempotent(spark, built):
@@ -285,7 +286,8 @@ def test_duplicate_and_reordered_files_do_not_change_gold(spark, tmp_path, modes
             shutil.copy(f, dst.replace(".ndjson", "_copy.ndjson"))
         if i % 4 == 3 or i == len(files) - 1:
             load_raw(spark, lake)
-            build(spark, lake, **modes)
+            # until all have arrived, reviews may lack their game: a test rightly stops such a build
+            build(spark, lake, run_tests=i == len(files) - 1, **modes)
 
     def snap(l):
         # float sums depend on row order: compare doubles to 12 decimals

@@ -70,3 +70,25 @@ def test_debounced_arrival_mode(spark, tmp_path):
     log = trigger_log(spark, lake).collect()
     assert sum(r.new_reviews for r in log) == 8 and len(built) == len(log) >= 1
     assert gold_tables(spark, lake)["fact_review"].count() == 6
+
+
+def test_failed_data_test_keeps_the_offset(spark, tmp_path):
+    """A build whose tests fail raises: what depends on the model is not built, and the
+    arrival stream comes back to the same batch."""
+    from strata.operators.quality import ChecksFailed
+    from strata.plans.build import run_history
+    lake = Lake(str(tmp_path / "lake"))
+    write_pipeline_fixture(lake.landing)
+    write(lake.landing, "most_played", "2024-03-03 06:00:00", [
+        {"_extracted_at": "2024-03-03T06:00:00+00:00", "_source": "x", "rank": 1}])  # no appid
+    load_raw(spark, lake)
+    tried = []
+    for _ in range(2):
+        with pytest.raises(Exception):
+            run_on_arrival(spark, lake, lambda s, l, run_id: tried.append(run_id) or build(s, l, run_id))
+    assert len(tried) == 2 and tried[0] == tried[1]
+    assert "fact_review" not in gold_tables(spark, lake)
+    with pytest.raises(ChecksFailed, match="silver_most_played.appid"):
+        build(spark, lake, "by-hand")
+    assert {(r.model, r.status) for r in run_history(spark, lake).collect() if r.run_id == "by-hand"} == {
+        ("silver (incremental)", "SUCCEEDED"), ("tests (silver)", "FAILED")}
