@@ -11,13 +11,15 @@ frequent entries stay in the skipped rest of both and are counted afterwards, by
 whole signatures of pairs that met.
 
 A posting list can be as long as a group of near copies, so its pairs are never listed.
-Each list first meets through one member, its hub; pairs that agree on MATCHES coordinates
-are confirmed on their full sets, and confirmed links make components. Members that are
-not in their list's largest component yet meet it through other hubs, again and again
-while that joins many. What is still apart then is compared without exception: lists are
-cut into blocks, blocks meet, and only pairs of different components that agree on
-MATCHES coordinates leave the meeting. So no link is left out, and pairs inside a
-component are not looked at.
+Each list first meets through one member, its hub. A member's best pair with a hub, if it
+agrees on MATCHES coordinates, is confirmed on the full sets, and confirmed links make
+components. Members that are not in their list's largest component yet meet it through
+other hubs, again and again while that confirms many. What is still apart then is compared
+without exception: lists are cut into blocks, blocks meet, and only pairs of different
+components that agree on MATCHES coordinates leave the meeting. So no link is left out,
+and pairs inside a component are not looked at. Sets whose sizes alone forbid the overlap
+never meet, and counting works on one byte of each coordinate, which can only let more
+pairs through to the confirmation.
 """
 
 from __future__ import annotations
@@ -40,8 +42,8 @@ COORDINATES, MATCHES = 64, 40
 COUNTERS = 1 << 18
 #: Members of a block of a long list.
 BLOCK = 512
-#: Hub rounds go on while one settles this share of the lists' unsettled members.
-ENOUGH = 0.3
+#: Hub rounds go on while one confirms this share of its pairs, and has so many.
+ENOUGH, FEW_PAIRS = 0.3, 100
 MEMO = 1 << 17
 
 _RNG = np.random.Generator(np.random.PCG64(8))
@@ -149,7 +151,8 @@ def _frequencies(classes: DataFrame) -> np.ndarray:
 
 
 def _postings(classes: DataFrame, frequencies: np.ndarray) -> DataFrame:
-    """``entry`` and ``id``: the rarest entries of each class, enough for any pair to meet."""
+    """``entry``, ``id`` and set size ``n``: the rarest entries of each class, enough for any
+    pair to meet."""
     sent = classes.sparkSession.sparkContext.broadcast(frequencies)
     most = COORDINATES - MATCHES + 1
 
@@ -160,25 +163,59 @@ def _postings(classes: DataFrame, frequencies: np.ndarray) -> DataFrame:
                 entries = _entries(piece.column("sig").to_pylist())
                 order = np.lexsort((entries, sent.value[_counter(entries)]), axis=1)[:, :most]
                 entry = np.take_along_axis(entries, order, 1).ravel().view(np.int64)
-                ids = np.repeat(piece.column("id").to_numpy(), most)
-                yield pa.RecordBatch.from_arrays([pa.array(entry), pa.array(ids)], ["entry", "id"])
+                own = [pa.array(np.repeat(piece.column(c).to_numpy(), most)) for c in ("id", "n")]
+                yield pa.RecordBatch.from_arrays([pa.array(entry), *own], ["entry", "id", "n"])
 
-    return classes.select("id", "sig").mapInArrow(run, "entry bigint, id bigint")
+    return classes.select("id", "n", "sig").mapInArrow(run, "entry bigint, id bigint, n int")
 
 
-def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose signatures agree on MATCHES coordinates."""
-    sig = classes.select("id", "sig")
-    both = pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b")
+def _narrowed(classes: DataFrame) -> DataFrame:
+    """``id`` and one byte of each coordinate of its signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                same = _entries(batch.column("sig_a").to_pylist()) == _entries(batch.column("sig_b").to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]) \
-                    .filter(pa.array(same.sum(axis=1) >= MATCHES))
+                low = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, COORDINATES, 4)[:, :, 0]
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in low], pa.binary())], ["id", "sig"])
 
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint")
+    return classes.select("id", "sig").mapInArrow(run, "id bigint, sig binary")
+
+
+def _narrow(sig: list[bytes]) -> np.ndarray:
+    """One byte of each coordinate."""
+    return np.frombuffer(b"".join(sig), np.uint8).reshape(-1, COORDINATES)
+
+
+def _agreeing(pairs: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The pairs (``a``, ``b``) that agree on MATCHES coordinates or more, and on how many."""
+    both = pairs.join(narrow.toDF("a", "sig_a"), "a").join(narrow.toDF("b", "sig_b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                same = (_narrow(batch.column("sig_a").to_pylist()) == _narrow(batch.column("sig_b").to_pylist())).sum(axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same, pa.int32())], ["a", "b", "same"]) \
+                    .filter(pa.array(same >= MATCHES))
+
+    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint, same int")
+
+
+class Sets:
+    """Full sets of the texts that have come to a confirmation so far, each made once."""
+
+    def __init__(self, docs: DataFrame, size: int, unique_ids: bool) -> None:
+        self.docs, self.size, self.unique_ids, self.known = docs, size, unique_ids, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        spark = pairs.sparkSession
+        ids = stored(spark, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "minhash-needed")
+        new = ids if self.known is None else ids.join(self.known.select("id"), "id", "left_anti")
+        new = stored(spark, new.select(F.col("id").alias("doc_id")), "minhash-new")
+        if self.known is None or not new.isEmpty():
+            made = _sets(with_few(self.docs, new, "doc_id"), self.size)
+            made = stored(spark, made if self.unique_ids else made.groupBy("id").agg(F.min("set").alias("set")), "minhash-sets")
+            self.known = made if self.known is None else self.known.unionByName(made)
+        return with_few(self.known, ids, "id")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -215,58 +252,63 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return labels
 
 
-def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings with each member's component (its own id, if it has no link)."""
-    if labels is None:
-        return postings.withColumn("label", F.col("id"))
-    return postings.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")).select("entry", "id", "label")
-
+def _unsettled(spark: SparkSession, postings: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Members (``entry``, ``id``, ``n``) of lists that hold more than one component, with
+    their ``label`` and the list's ``main`` component: its largest, or the smallest label of these."""
+    postings = postings.select("entry", "id", "n")
+    named = postings.withColumn("label", F.col("id")) if labels is None else \
+        postings.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    sizes = named.groupBy("entry", "label").agg(F.count("*").alias("k"))
+    lists = sizes.groupBy("entry").agg(F.max(F.struct("k", (-F.col("label")).alias("l"))).alias("top"), F.count("*").alias("labels")) \
+        .where("labels > 1").select("entry", (-F.col("top.l")).alias("main"))
+    return stored(spark, named.join(stored(spark, lists, "minhash-lists"), "entry"), "minhash-open")
 
-def _unsettled(spark: SparkSession, postings: DataFrame) -> DataFrame:
-    """Members of lists that hold more than one component; ``main`` is the list's largest.
 
-    Of equally large ones the smallest label is the main one."""
-    sizes = postings.groupBy("entry", "label").agg(F.count("*").alias("n"))
-    lists = sizes.groupBy("entry").agg(F.max(F.struct("n", (-F.col("label")).alias("l"))).alias("top"), F.count("*").alias("k")) \
-        .where("k > 1").select("entry", (-F.col("top.l")).alias("main"))
-    lists = stored(spark, lists, "minhash-lists")
-    return stored(spark, postings.join(lists, "entry"), "minhash-open")
+def _may_overlap(n: str, m: str, percent: int) -> Column:
+    """Whether sets of these sizes can overlap by ``percent`` of their union."""
+    return (100 * F.col(n) >= percent * F.col(m)) & (100 * F.col(m) >= percent * F.col(n))
 
 
-def _through_hubs(spark: SparkSession, postings: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each member outside its list's main component with the list's hub: the
-    member of the main component that is least by this turn's order."""
+def _through_hubs(spark: SparkSession, postings: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of each member outside its list's main component (``a``) with the list's hub
+    (``b``): the member of the main component that is least by this turn's order."""
     order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
     hubs = stored(spark, postings.where(F.col("label") == F.col("main")).groupBy("entry")
-                  .agg(F.min(F.struct(order.alias("o"), "id")).getField("id").alias("hub")), "minhash-hubs")
-    met = postings.where(F.col("label") != F.col("main")).select("entry", "id").join(hubs, "entry").where("id <> hub")
-    return met.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+                  .agg(F.min(F.struct(order.alias("o"), "id", "n")).alias("hub"))
+                  .select("entry", F.col("hub.id").alias("b"), F.col("hub.n").alias("m")), "minhash-hubs")
+    met = postings.where(F.col("label") != F.col("main")).select("entry", F.col("id").alias("a"), "n").join(hubs, "entry")
+    return met.where(_may_overlap("n", "m", percent)).select("a", "b").distinct()
 
 
-def _in_blocks(spark: SparkSession, postings: DataFrame, classes: DataFrame) -> DataFrame:
+def _in_blocks(spark: SparkSession, postings: DataFrame, narrow: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components that share a list and agree on MATCHES coordinates.
 
     Lists are cut into blocks by hash; two blocks of a list, or one with itself, meet in
     one group, whose size is bounded; only agreeing pairs come out."""
     sizes = stored(spark, postings.groupBy("entry").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "minhash-blocks")
-    rows = postings.join(classes.select("id", "sig"), "id").join(sizes, "entry") \
+    rows = postings.join(narrow, "id").join(sizes, "entry") \
         .withColumn("block", F.pmod(F.xxhash64("id", "entry"), F.col("blocks")).cast("int"))
     meetings = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least("block", other).alias("x"), F.greatest("block", other).alias("y"))))
     # short lists share groups, so that groups are of one order of size
     groups = max(1, postings.count() // (8 * BLOCK))
-    dealt = rows.withColumn("m", meetings).select("entry", "m.x", "m.y", "block", "id", "label", "sig") \
-        .withColumn("group", F.when((F.col("x") == 0) & (F.col("y") == 0), F.pmod(F.xxhash64("entry"), F.lit(groups)))
-                    .otherwise(F.xxhash64("entry", "x", "y")))
+    dealt = rows.withColumn("m", meetings).select("entry", "m.x", "m.y", "block", "id", "n", "label", "sig", "blocks") \
+        .withColumn("group", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("entry"), F.lit(groups)))
+                    .otherwise(F.xxhash64("entry", "x", "y"))).drop("blocks")
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["entry", "x", "y"], kind="stable")
+        key = pdf[["entry", "x", "y"]].to_numpy()
+        cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
+        ids, n, label, block, sig = pdf.id.to_numpy(), pdf.n.to_numpy(), pdf.label.to_numpy(), pdf.block.to_numpy(), _narrow([*pdf.sig])
         a, b = [], []
-        for (_, x, y), held in pdf.groupby(["entry", "x", "y"]):
-            ids, label, block = held.id.to_numpy(), held.label.to_numpy(), held.block.to_numpy()
-            sig = _entries([*held.sig])
-            for i in range(len(held)):
-                other = (label != label[i]) & (block == y) & ((ids > ids[i]) if x == y else True) & (block[i] == x)
-                at = np.flatnonzero(other)
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            x, y = key[lo, 1], key[lo, 2]
+            for i in range(lo, hi):
+                if block[i] != x:
+                    continue
+                at = np.arange(i + 1 if x == y else lo, hi)
+                at = at[(block[at] == y) & (label[at] != label[i]) & (100 * n[at] >= percent * n[i]) & (100 * n[i] >= percent * n[at])]
                 if len(at):
                     at = at[(sig[at] == sig[i]).sum(axis=1) >= MATCHES]
                     a.extend([ids[i]] * len(at))
@@ -291,28 +333,30 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = stored(spark, _signed(docs, size), "minhash-rows")
     usable = rows.where("k1 IS NOT NULL AND doc_id IS NOT NULL")
-    classes = stored(spark, usable.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "sig")).alias("least"))
-                     .select("k1", "k2", F.col("least.doc_id").alias("id"), F.col("least.sig").alias("sig")), "minhash-classes")
-    postings = stored(spark, _postings(classes, _frequencies(classes)), "minhash-postings")
-    labels, links, sets = None, None, None
-    open_lists, turn = _unsettled(spark, _labelled(postings, None)), 0
-    waiting = open_lists.where("label <> main").count()
-    while waiting:
-        if sets is None:
-            ids = open_lists.select(F.col("id").alias("doc_id")).distinct()
-            sets = _sets(with_few(docs, stored(spark, ids, "minhash-met"), "doc_id"), size)
-            if not usable.groupBy("doc_id").count().where("count > 1").isEmpty():
-                sets = sets.groupBy("id").agg(F.min("set").alias("set"))
-            sets = stored(spark, sets, "minhash-sets")
-        last = turn and waiting > (1 - ENOUGH) * before
-        pairs = _in_blocks(spark, open_lists, classes) if last else _agreeing(_through_hubs(spark, open_lists, turn), classes)
-        found = stored(spark, _confirmed(pairs, sets, percent), "minhash-links")
+    classes = stored(spark, usable.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "sig", "n_shingles")).alias("least"))
+                     .select("k1", "k2", F.col("least.doc_id").alias("id"), F.col("least.sig").alias("sig"),
+                             F.col("least.n_shingles").cast("int").alias("n")), "minhash-classes")
+    narrow = stored(spark, _narrowed(classes), "minhash-narrow")
+    unique_ids = usable.groupBy("doc_id").count().where("count > 1").isEmpty()
+    sets, links, labels, turn, last = Sets(docs, size, unique_ids), None, None, 0, False
+    open_lists = _unsettled(spark, stored(spark, _postings(classes, _frequencies(classes)), "minhash-postings"), None)
+    while not last and not open_lists.isEmpty():
+        met = _agreeing(_through_hubs(spark, open_lists, turn, percent), narrow)
+        best = F.max(F.struct("same", "b")).getField("b").alias("b")  # one hub for a member and turn
+        pairs = stored(spark, met.groupBy("a").agg(best), "minhash-pairs")
+        tried = pairs.count()
+        found = stored(spark, _confirmed(pairs, sets.of(pairs), percent), "minhash-links")
         links = found if links is None else links.unionByName(found)
+        joined = found.count()
+        last = tried < FEW_PAIRS or joined < ENOUGH * tried
+        if joined:
+            labels = components(spark, links)
+            open_lists = _unsettled(spark, open_lists, labels)
+        turn += 1
+    if last and not open_lists.isEmpty():
+        pairs = stored(spark, _in_blocks(spark, open_lists, narrow, percent), "minhash-pairs")
+        links = links.unionByName(stored(spark, _confirmed(pairs, sets.of(pairs), percent), "minhash-links"))
         labels = components(spark, links)
-        if last:
-            break
-        open_lists, turn, before = _unsettled(spark, _labelled(open_lists.select("entry", "id"), labels)), turn + 1, waiting
-        waiting = open_lists.where("label <> main").count()
     named = rows.join(classes.select("k1", "k2", "id"), ["k1", "k2"], "left")
     if labels is not None:
         named = named.join(labels, "id", "left").withColumn("id", F.coalesce("label", "id"))
