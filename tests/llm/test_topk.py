@@ -29,7 +29,7 @@ def test_top_k_is_the_plain_one(spark, monkeypatch, part, chunk, block):
     rng = np.random.default_rng(2)
     rows = [(int(i), [float(np.float32(c)) for c in rng.normal(0, 0.2, 6)]) for i in rng.permutation(200)]
     rows += [(1000 + i, [0.5] * 6) for i in range(60)] + [(3, [0.1] * 6), (3, [0.1] * 6), (-20, [-1.0] * 6)]
-    rows += [(None, [1.0] * 6), (2000, None), (2020, [1.0, None, 0, 0, 0, 0]), (2040, [float("nan")] + [0.0] * 5), (2060, [float("inf")] + [0.0] * 5)]
+    rows += [(None, [1.0] * 6), (2000, None), (2020, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2040, [float("nan")] + [0.0] * 5), (2060, [float("inf")] + [0.0] * 5)]
     df = spark.createDataFrame([(i, x, 1, 2) for i, x in rows], "vec_id bigint, embedding array<float>, score int, part int")
     got = {}
     for r in topk.top_k(df, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
