@@ -28,8 +28,8 @@ from strata.llm.common import U64, fold_is, mix64, pieces, stored, texts_of, wit
 #: Lengths of the n-grams and bits of their bucket.
 ORDERS, BITS = (3, 4, 5), 18
 #: The classifier is fitted on at most this many rows of each label (all rows count
-#: towards the ratios), and on at most so many n-grams of one of these rows.
-SAMPLE_PER_LABEL, SAMPLE_GRAMS = 1500, 20_000
+#: towards the ratios), and on at most so many telling n-grams of one of these rows.
+SAMPLE_PER_LABEL, SAMPLE_GRAMS = 1200, 2_000
 #: A count that every bucket starts from, the weight of the squared penalty, and the
 #: log-count ratio below which a bucket tells too little to get a weight.
 PRIOR, PENALTY, LEAST_RATIO = 1.0, 1.0, 0.5
@@ -84,7 +84,8 @@ def train(labelled: DataFrame, label: str) -> Model:
         return Model(np.zeros(1 << BITS), float(np.log((1 + sizes.get(1, 0)) / (1 + sizes.get(0, 0)))))
     order = F.xxhash64("text")
     ones, zeros = (rows.where(F.col("y") == y).orderBy(order, "text").limit(SAMPLE_PER_LABEL) for y in (1, 0))
-    sample = ones.union(zeros).mapInArrow(_features, "y int, buckets array<int>, counts array<int>").toPandas()
+    telling = rows.sparkSession.sparkContext.broadcast(np.abs(ratio) >= LEAST_RATIO)
+    sample = ones.union(zeros).mapInArrow(_features(telling), "y int, buckets array<int>, counts array<float>").toPandas()
     return _fit(sample, ratio, sizes[1] / (sizes[0] + sizes[1]))
 
 
@@ -108,17 +109,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(seen[y, part])], ["bucket", "y", "n"])
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sampled rows as sparse features; beyond SAMPLE_GRAMS buckets, those of smallest hash."""
-    for batch in pieces(batches):
-        buckets, counts = [], []
-        for text in texts_of(batch):
-            words = sorted(distinct_words(text))
-            at, n = np.unique(grams(words)[0], return_counts=True) if words else (np.array([], int), np.array([], int))
-            buckets.append(at[:SAMPLE_GRAMS].astype(np.int32))
-            counts.append(n[:SAMPLE_GRAMS].astype(np.int32))
-        yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(buckets, pa.list_(pa.int32())),
-                                          pa.array(counts, pa.list_(pa.int32()))], ["y", "buckets", "counts"])
+def _features(telling):
+    """Sampled rows as sparse features of telling buckets; beyond SAMPLE_GRAMS, the most held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = telling.value
+        for batch in pieces(batches):
+            buckets, counts = [], []
+            for text in texts_of(batch):
+                words = sorted(distinct_words(text))
+                found = grams(words)[0] if words else np.array([], int)
+                at, n = np.unique(found[known[found]], return_counts=True)
+                most = np.sort(np.argsort(-n, kind="stable")[:SAMPLE_GRAMS])
+                buckets.append(at[most].astype(np.int32))
+                counts.append(n[most].astype(np.float32))
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(buckets, pa.list_(pa.int32())),
+                                              pa.array(counts, pa.list_(pa.float32()))], ["y", "buckets", "counts"])
+    return run
 
 
 def _fit(rows, ratio: np.ndarray, share: float, rounds: int = 100) -> Model:
@@ -127,10 +134,8 @@ def _fit(rows, ratio: np.ndarray, share: float, rounds: int = 100) -> Model:
     y = rows.y.to_numpy(float)
     size = np.array([len(b) for b in rows.buckets])
     at = np.concatenate([np.asarray(b, np.int64) for b in rows.buckets])
-    x = np.concatenate([np.asarray(c, float) for c in rows.counts]) * ratio[at]
+    x = np.concatenate([np.asarray(c, np.float32) for c in rows.counts]) * ratio[at]
     row = np.repeat(np.arange(len(y)), size)
-    telling = np.abs(ratio[at]) >= LEAST_RATIO
-    at, x, row = at[telling], x[telling], row[telling]
     used, at = np.unique(at, return_inverse=True)
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
     top = 0.25 * (weight * np.bincount(row, x * x, len(y))).sum() + PENALTY / len(y)
