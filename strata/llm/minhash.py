@@ -370,9 +370,13 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest ``doc_id`` of each group of near copies, all its columns."""
+    """The document of smallest ``doc_id`` of each group of near copies, all its columns.
+
+    A row without a ``doc_id`` is linked with nothing and kept; such rows don't go through
+    the join, where all of them would meet in one task."""
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return named.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 ORACLE = r"""

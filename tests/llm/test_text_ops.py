@@ -147,6 +147,14 @@ def test_near_duplicates_edge_rows(spark, edge, nothing):
     assert stage.columns == edge.columns
 
 
+def test_near_dedup_stage_keeps_rows_without_an_id(spark, edge):
+    rows = edge.unionByName(edge.where("doc_id IS NULL"))
+    of = {r.doc_id: r.kept for r in minhash.near_duplicates(rows).collect()}
+    want = Counter((r.doc_id, r.text, r.rest) for r in rows.collect() if of[r.doc_id])
+    got = Counter((r.doc_id, r.text, r.rest) for r in minhash.near_dedup_stage(spark, rows, SF).collect())
+    assert got == want and got[None, "a text without a number", "r"] == 2
+
+
 def test_components_of_a_long_path(spark):
     rows = [(i, i + 1) for i in range(1, 200)] + [(1000 - i, 1001 - i) for i in range(1, 50)] + [(5000, 4000)]
     got = {r.id: r.label for r in minhash.components(spark, spark.createDataFrame(rows, "a bigint, b bigint")).collect()}
