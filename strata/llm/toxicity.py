@@ -5,9 +5,13 @@ at both ends, hashed into buckets; a feature is a bucket's presence counted over
 the text's distinct words, scaled by the bucket's naive Bayes log-count ratio (how
 much more often it occurs in texts of label 1). The ratios come from counts over
 all training rows; a logistic regression on the scaled features is then fitted to
-a bounded sample. The scaling lets the penalty hold uninformative n-grams near
+a bounded sample of rows, each with all its telling n-grams, so that a text is fitted on
+what it is scored on. The scaling lets the penalty hold uninformative n-grams near
 zero, so long clean texts don't drift and a few telling words decide.
 
+The sampled rows' features are stored once and stay with the executors; a step of the
+fit sends them the weights and gets a sum for each bucket from each of FIT_PARTS tasks.
+
 Linearity makes scoring cheap: a word's share of the score is fixed, so workers
 keep it in a bounded memo.
 """
@@ -17,6 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +33,8 @@ from strata.llm.common import U64, fold_is, mix64, pieces, stored, texts_of, wit
 #: Lengths of the n-grams and bits of their bucket.
 ORDERS, BITS = (3, 4, 5), 18
 #: The classifier is fitted on at most this many rows of each label (all rows count
-#: towards the ratios), and on at most so many telling n-grams of one of these rows.
-SAMPLE_PER_LABEL, SAMPLE_GRAMS = 1200, 2_000
+#: towards the ratios), in so many tasks.
+SAMPLE_PER_LABEL, FIT_PARTS = 1200, 8
 #: A count that every bucket starts from, the weight of the squared penalty, and the
 #: log-count ratio below which a bucket tells too little to get a weight.
 PRIOR, PENALTY, LEAST_RATIO = 1.0, 1.0, 0.5
@@ -69,9 +74,10 @@ class Model:
 
 
 def train(labelled: DataFrame, label: str) -> Model:
-    """Fit on rows of ``text`` and an integer ``label`` (0 or 1, others are left out)."""
+    """Fit on rows of ``doc_id``, ``text`` and an integer ``label`` (0 or 1, others are left out)."""
     rows = stored(labelled.sparkSession, labelled.where(F.col(label).isin(0, 1)).select(
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col(label).cast("int").alias("y")), "labelled")
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col(label).cast("int").alias("y"),
+        F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("pick")), "labelled")
     counts = rows.mapInArrow(_count, "bucket int, y int, n double").groupBy("bucket", "y").agg(F.sum("n").alias("n")) \
         .toPandas()  # at most 2 ** BITS buckets of 2 labels
     seen = np.full((2, 1 << BITS), PRIOR)
@@ -79,16 +85,36 @@ def train(labelled: DataFrame, label: str) -> Model:
         of = counts[counts.y == y]
         seen[y, of.bucket.to_numpy()] += of.n.to_numpy()
     ratio = np.log(seen[1] / seen[1].sum()) - np.log(seen[0] / seen[0].sum())
-    sizes = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    sizes = _sizes(rows)
     if len(sizes) < 2:
         return Model(np.zeros(1 << BITS), float(np.log((1 + sizes.get(1, 0)) / (1 + sizes.get(0, 0)))))
-    order = F.xxhash64("text")
-    ones, zeros = (rows.where(F.col("y") == y).orderBy(order, "text").limit(SAMPLE_PER_LABEL) for y in (1, 0))
     telling = rows.sparkSession.sparkContext.broadcast(np.abs(ratio) >= LEAST_RATIO)
-    sample = ones.union(zeros).mapInArrow(_features(telling), "y int, buckets array<int>, counts array<float>").toPandas()
+    features = "y int, buckets binary, counts binary"
+    sample = stored(rows.sparkSession, _sample(rows, sizes).repartition(FIT_PARTS).mapInArrow(_features(telling), features), "toxicity-sample")
     return _fit(sample, ratio, sizes[1] / (sizes[0] + sizes[1]))
 
 
+def _sizes(rows: DataFrame) -> dict[int, int]:
+    return {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+
+
+def _sample(rows: DataFrame, sizes: dict[int, int]) -> DataFrame:
+    """At most SAMPLE_PER_LABEL rows of each label, those whose ``pick`` (a hash of the
+    doc_id, so a text's copies don't come together) is smallest. A threshold that about
+    twice as many rows pass comes first, so the ordered limit gets few rows of any input."""
+    parts = []
+    for y, n in sizes.items():
+        some, share = rows.where(F.col("y") == y), 2 * SAMPLE_PER_LABEL / n
+        while share < 1:
+            below = some.where(F.col("pick") < int(share * (1 << 63)))
+            if below.count() >= SAMPLE_PER_LABEL:
+                some = below
+                break
+            share *= 4  # ids with many rows lie above
+        parts.append(some.orderBy("pick", F.xxhash64("text"), "text").limit(SAMPLE_PER_LABEL))
+    return parts[0].union(parts[1]).select("text", "y")
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many distinct words of texts of each label hold each bucket, in this partition."""
     seen = np.zeros((2, 1 << BITS))
@@ -110,7 +136,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _features(telling):
-    """Sampled rows as sparse features of telling buckets; beyond SAMPLE_GRAMS, the most held."""
+    """Sampled rows as sparse features: all their telling buckets (int32) and counts (float32)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = telling.value
@@ -120,37 +146,76 @@ def _features(telling):
                 words = sorted(distinct_words(text))
                 found = grams(words)[0] if words else np.array([], int)
                 at, n = np.unique(found[known[found]], return_counts=True)
-                most = np.sort(np.argsort(-n, kind="stable")[:SAMPLE_GRAMS])
-                buckets.append(at[most].astype(np.int32))
-                counts.append(n[most].astype(np.float32))
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(buckets, pa.list_(pa.int32())),
-                                              pa.array(counts, pa.list_(pa.float32()))], ["y", "buckets", "counts"])
+                buckets.append(at.astype(np.int32).tobytes())
+                counts.append(n.astype(np.float32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())],
+                                             ["y", "buckets", "counts"])
     return run
 
 
-def _fit(rows, ratio: np.ndarray, share: float, rounds: int = 100) -> Model:
+def _rows_of(batches: Iterator[pa.RecordBatch], ratio: np.ndarray) -> Iterator[tuple]:
+    """Labels, and the features' buckets, scaled values and rows, of a few sampled rows at a time."""
+    for batch in pieces(batches, "buckets"):
+        buckets, counts = batch.column("buckets").to_pylist(), batch.column("counts").to_pylist()
+        at = np.frombuffer(b"".join(buckets), np.int32)
+        x = np.frombuffer(b"".join(counts), np.float32) * ratio[at]
+        yield batch.column("y").to_numpy().astype(float), at, x, np.repeat(np.arange(len(buckets)), [len(b) // 4 for b in buckets])
+
+
+def _sums(sample: DataFrame, of, size: int) -> np.ndarray:
+    """The sum over the sample's tasks of the ``size`` numbers that ``of(batches)`` gives."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = next(batches, None)
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([of(chain([first], batches)).tobytes()], pa.binary())], ["sums"])
+
+    out = np.zeros(size)
+    for r in sample.mapInArrow(run, "sums binary").collect():  # one row for each of FIT_PARTS tasks
+        out += np.frombuffer(r.sums)
+    return out
+
+
+def _fit(sample: DataFrame, ratio: np.ndarray, share: float, rounds: int = 100) -> Model:
     """Logistic regression by accelerated gradient steps, labels in balance; then the
     margin is put on the scale of probabilities, with the labels' true shares."""
-    y = rows.y.to_numpy(float)
-    size = np.array([len(b) for b in rows.buckets])
-    at = np.concatenate([np.asarray(b, np.int64) for b in rows.buckets])
-    x = np.concatenate([np.asarray(c, np.float32) for c in rows.counts]) * ratio[at]
-    row = np.repeat(np.arange(len(y)), size)
-    used, at = np.unique(at, return_inverse=True)
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-    top = 0.25 * (weight * np.bincount(row, x * x, len(y))).sum() + PENALTY / len(y)
-    w, b = np.zeros(len(used)), 0.0
+    context, size, sizes = sample.sparkSession.sparkContext, len(ratio), _sizes(sample)
+    n = sizes[0] + sizes[1]
+    scales = context.broadcast(ratio)
+    half = np.array([0.5 / sizes[0], 0.5 / sizes[1]])  # the weight of a row of each label
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+        return np.array([sum((half[y.astype(int)] * np.bincount(row, x * x, len(y))).sum() for y, _, x, row in _rows_of(batches, scales.value))])
+
+    def slope_at(sent):
+        def run(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
+            (w, b), out = sent.value, np.zeros(size + 1)
+            for y, at, x, row in _rows_of(batches, scales.value):
+                err = half[y.astype(int)] * (_chance(np.bincount(row, x * w[at], len(y)) + b) - y)
+                out[:-1] += np.bincount(at, err[row] * x, size)
+                out[-1] += err.sum()
+            return out
+        return run
+
+    top = 0.25 * _sums(sample, bound, 1)[0] + PENALTY / n
+    w, b = np.zeros(size), 0.0
     look_w, look_b = w, b
     for k in range(rounds):
-        err = weight * (_chance(np.bincount(row, x * look_w[at], len(y)) + look_b) - y)
-        new_w = look_w - (np.bincount(at, err[row] * x, len(used)) + PENALTY / len(y) * look_w) / top
-        new_b = look_b - err.sum()
+        sent = context.broadcast((look_w, look_b))  # 2 ** BITS weights
+        slopes = _sums(sample, slope_at(sent), size + 1)
+        sent.destroy()
+        new_w, new_b = look_w - (slopes[:-1] + PENALTY / n * look_w) / top, look_b - slopes[-1]
         look_w, look_b = new_w + k / (k + 3) * (new_w - w), new_b + k / (k + 3) * (new_b - b)
         w, b = new_w, new_b
-    slope, shift = _on_scale(np.bincount(row, x * w[at], len(y)), y, share)
-    weights = np.zeros(len(ratio))
-    weights[used] = slope * w * ratio[used]
-    return Model(weights, shift)
+    sent = context.broadcast(w)
+
+    def margins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for y, at, x, row in _rows_of(batches, scales.value):
+            yield pa.RecordBatch.from_arrays([pa.array(y), pa.array(np.bincount(row, x * sent.value[at], len(y)))], ["y", "margin"])
+
+    found = sample.mapInArrow(margins, "y double, margin double").toPandas()  # at most SAMPLE_PER_LABEL rows of each label
+    slope, shift = _on_scale(found.margin.to_numpy(), found.y.to_numpy(), share)
+    return Model(slope * w * ratio, shift)
 
 
 def _chance(z: np.ndarray) -> np.ndarray:

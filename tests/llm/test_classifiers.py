@@ -22,6 +22,24 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit[0] > 0.75 and hit[1] < 0.01, hit
 
 
+def test_toxicity_fits_all_telling_grams_of_a_long_text(spark):
+    long = lambda c: " ".join(f"{c}{i * 7919 % 100_003}{c}" for i in range(3000))
+    rows = [(1, long("x"), 1), (2, "x1x", 1), (3, long("y"), 0), (4, "y1y", 0)]
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id bigint, text string, y int"), "y")
+    here = set(toxicity.grams(list(toxicity.distinct_words(rows[0][1])))[0])
+    there = set(toxicity.grams(list(toxicity.distinct_words(rows[2][1])))[0])
+    assert len(here - there) > 5_000  # each held by one label, so each tells
+    assert (model.weights[list(here - there)] > 0).all() and (model.weights[list(there - here)] < 0).all()
+
+
+def test_toxicity_sample_is_not_filled_by_copies(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_PER_LABEL", 100)
+    rows = spark.range(3000).selectExpr("id AS doc_id", "int(id % 2) AS y", "IF(id % 6 < 4, concat('t', id), 'a copy') AS text") \
+        .withColumn("pick", F.shiftrightunsigned(F.xxhash64("doc_id"), 1))
+    taken = toxicity._sample(rows, toxicity._sizes(rows)).toPandas()
+    assert taken.y.value_counts().to_dict() == {0: 100, 1: 100} and 30 < (taken.text == "a copy").sum() < 110
+
+
 def test_quality_on_held_out_rows(spark):
     got = quality.op2_quality(spark, BIG).join(spark.read.parquet(f"{BIG}/labels.parquet"), "doc_id").where("held_out").toPandas()
     good, bad = got[got.quality == 1].predicted.mean(), got[got.quality == 0].predicted.mean()
