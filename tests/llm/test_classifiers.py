@@ -46,6 +46,24 @@ def test_quality_on_held_out_rows(spark):
     assert good > 0.95 and bad < 0.1, (good, bad)
 
 
+def test_quality_takes_all_unlabelled_rows(spark, monkeypatch):
+    """Many copies of one row don't hide the others from cuts and prior, however few the trusted rows."""
+    monkeypatch.setattr(quality, "SAMPLE", 600)
+    rng, m = np.random.default_rng(0), len(quality.MEASURES)
+    good, bad = rng.normal(1, 1, (2400, m)), rng.normal(-1, 1, (1200, m))
+    rows = np.concatenate([good, bad, np.repeat(bad[:1], 1800, axis=0)])
+    schema = "doc_id bigint, measures array<float>"
+    held = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], schema)
+    trusted = spark.createDataFrame([(10_000 + i, r.tolist()) for i, r in enumerate(rng.normal(1, 1, (900, m)))], schema)
+    model = quality.train(trusted, held)
+    assert abs(model.prior - 2400 / 5400) < 0.1
+    for k in (0, 7):  # cuts are quantiles of all rows, to the rank's accuracy
+        ranks = [(rows[:, k] <= c + 1e-6).mean() for c in model.cuts[k]]
+        distinct = [r for r, c in zip(ranks, model.cuts[k]) if abs(c - bad[0, k]) > 1e-4]
+        assert all(min(abs(r - q) for q in np.linspace(0, 1, quality.bins_of(600) + 1)) < 0.01 for r in distinct)
+    assert model.chance(good.astype(np.float32)).mean() > 0.9 > 0.2 > model.chance(bad.astype(np.float32)).mean()
+
+
 def test_quality_prior_and_edge_texts():
     rng = np.random.default_rng(0)
     positive, negative = rng.normal(1, 1, (4000, len(quality.MEASURES))), rng.normal(-1, 1, (1200, len(quality.MEASURES)))
