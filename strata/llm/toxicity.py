@@ -88,10 +88,15 @@ def train(labelled: DataFrame, label: str) -> Model:
     sizes = _sizes(rows)
     if len(sizes) < 2:
         return Model(np.zeros(1 << BITS), float(np.log((1 + sizes.get(1, 0)) / (1 + sizes.get(0, 0)))))
-    telling = rows.sparkSession.sparkContext.broadcast(np.abs(ratio) >= LEAST_RATIO)
+    used = np.flatnonzero((np.abs(ratio) >= LEAST_RATIO) & (seen.sum(axis=0) > 2 * PRIOR))  # telling, and in some training row
+    number = np.full(1 << BITS, -1, np.int32)
+    number[used] = np.arange(len(used))
     features = "y int, buckets binary, counts binary"
-    sample = stored(rows.sparkSession, _sample(rows, sizes).repartition(FIT_PARTS).mapInArrow(_features(telling), features), "toxicity-sample")
-    return _fit(sample, ratio, sizes[1] / (sizes[0] + sizes[1]))
+    sample = stored(rows.sparkSession, _sample(rows, sizes).repartition(FIT_PARTS)
+                    .mapInArrow(_features(rows.sparkSession.sparkContext.broadcast(number)), features), "toxicity-sample")
+    weights = np.zeros(1 << BITS)
+    weights[used], bias = _fit(sample, ratio[used], sizes[1] / (sizes[0] + sizes[1]))
+    return Model(weights, bias)
 
 
 def _sizes(rows: DataFrame) -> dict[int, int]:
@@ -135,17 +140,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(seen[y, part])], ["bucket", "y", "n"])
 
 
-def _features(telling):
-    """Sampled rows as sparse features: all their telling buckets (int32) and counts (float32)."""
+def _features(number):
+    """Sampled rows as sparse features: the numbers of all their telling buckets (int32) and counts (float32)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = telling.value
+        known = number.value
         for batch in pieces(batches):
             buckets, counts = [], []
             for text in texts_of(batch):
                 words = sorted(distinct_words(text))
                 found = grams(words)[0] if words else np.array([], int)
-                at, n = np.unique(found[known[found]], return_counts=True)
+                found = known[found]
+                at, n = np.unique(found[found >= 0], return_counts=True)
                 buckets.append(at.astype(np.int32).tobytes())
                 counts.append(n.astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(buckets, pa.binary()), pa.array(counts, pa.binary())],
@@ -176,7 +182,7 @@ def _sums(sample: DataFrame, of, size: int) -> np.ndarray:
     return out
 
 
-def _fit(sample: DataFrame, ratio: np.ndarray, share: float, rounds: int = 100) -> Model:
+def _fit(sample: DataFrame, ratio: np.ndarray, share: float, rounds: int = 100) -> tuple[np.ndarray, float]:
     """Logistic regression by accelerated gradient steps, labels in balance; then the
     margin is put on the scale of probabilities, with the labels' true shares."""
     context, size, sizes = sample.sparkSession.sparkContext, len(ratio), _sizes(sample)
@@ -201,7 +207,7 @@ def _fit(sample: DataFrame, ratio: np.ndarray, share: float, rounds: int = 100)
     w, b = np.zeros(size), 0.0
     look_w, look_b = w, b
     for k in range(rounds):
-        sent = context.broadcast((look_w, look_b))  # 2 ** BITS weights
+        sent = context.broadcast((look_w, look_b))  # 2 ** BITS weights at most
         slopes = _sums(sample, slope_at(sent), size + 1)
         sent.destroy()
         new_w, new_b = look_w - (slopes[:-1] + PENALTY / n * look_w) / top, look_b - slopes[-1]
@@ -215,7 +221,7 @@ def _fit(sample: DataFrame, ratio: np.ndarray, share: float, rounds: int = 100)
 
     found = sample.mapInArrow(margins, "y double, margin double").toPandas()  # at most SAMPLE_PER_LABEL rows of each label
     slope, shift = _on_scale(found.margin.to_numpy(), found.y.to_numpy(), share)
-    return Model(slope * w * ratio, shift)
+    return slope * w * ratio, shift
 
 
 def _chance(z: np.ndarray) -> np.ndarray:
