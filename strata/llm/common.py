@@ -87,3 +87,11 @@ def with_few(rows: DataFrame, narrow: DataFrame, key: str) -> DataFrame:
     """Inner join on ``key``; ``narrow`` is counted, and broadcast only if it is small,
     which spares the shuffle of whole texts. Otherwise it is an ordinary shuffled join."""
     return rows.join(F.broadcast(narrow) if narrow.count() <= FEW_ROWS else narrow, key)
+
+
+def finite_vectors(vectors: DataFrame) -> DataFrame:
+    """``vec_id`` and ``x``, the components in double precision, of every row whose vector
+    and components are neither null nor non-finite; repeated rows and null ids stay."""
+    finite = F.forall("x", lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.lit(False)))
+    return vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x")) \
+        .where(F.col("x").isNotNull() & finite)
