@@ -6,15 +6,17 @@ becomes its number of terms and the counts of the batch's terms, written as a na
 from which come the corpus figures (documents, terms, document frequencies). A second map
 turns the counts into weights and searches.
 
-The search gathers ``PART`` documents, orders them by their heaviest coordinate and puts a
-hierarchy over them: leaves of ``LEAF`` documents, nodes of ``FAN`` children, each with the
-largest value of every coordinate below it (at least 0). The items of the batch have such a
-hierarchy too. For a pair of nodes, the sum over coordinates of the product of maxima is a
-bound on every score between the two; if it lies below the weakest kth score of the item
-node's items, the pair is dropped with all that is below it. Otherwise the larger node is
-opened, the best bound first, and two leaves are scored as a block. The kth scores go on
-from part to part of a task. All arithmetic on scores is in 64-bit whole numbers, so the
-pruning is exact; equal bounds are kept, since a tie may have the smaller ``doc_id``.
+The search gathers up to ``PART`` documents, orders them by their heaviest coordinates and
+puts a hierarchy over them: leaves of ``LEAF`` documents, nodes of ``FAN`` children, each
+with the largest value of every coordinate below it (at least 0). The items of the batch
+have such a hierarchy too, whose leaves are items. For a pair of nodes, the sum over
+coordinates of the product of maxima is a bound on every score between the two; if it lies
+below the weakest kth score of the item node's items, the pair is dropped with all that is
+below it. Otherwise both nodes are opened, an item node with all document nodes of a level
+at once. An item scores the leaves that are left in order of their bounds, until a bound
+falls below its kth score. The kth scores go on from part to part of a task. All arithmetic
+on scores is in 64-bit whole numbers, so the pruning is exact; equal bounds are kept, since
+a tie may have the smaller ``doc_id``.
 
 No document is shuffled, and a task returns at most ``k`` rows for an item. What reaches
 the driver are the items of one batch and a number for each of its terms.
@@ -38,9 +40,15 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import pieces, stored
 
-#: A batch of items; a part of the documents; leaves of documents and items; children of a node.
+#: A batch of items; a part of the documents and its leaves; children of a node.
 ITEMS, CHARS = 256, 1 << 17
-PART, LEAF, ITEM_LEAF, FAN = 8192, 32, 8, 8
+PART, LEAF, FAN = 8192, 4, 8
+#: The first part of a task is small, so that kth scores are there when the first large one comes.
+FIRST_PART = 512
+#: Coordinates times leaves of a part.
+CELLS = 1 << 23
+#: Leaves that are scored at once, at first.
+FIRST_LEAVES = 16
 #: A long text is split into words in steps of so many bytes.
 STEP = 1 << 20
 NO_ID = np.iinfo(np.int64).max
@@ -121,40 +129,22 @@ def coordinates(n: np.ndarray, owner: np.ndarray, term: np.ndarray, times: np.nd
     return weight[term] * ((1_000_000_000 * times) // (1000 * times + 12 * length[owner]))
 
 
-class Node:
-    """A range of leaves with its coordinate maxima; a leaf has no children."""
-
-    __slots__ = ("top", "children", "rows", "columns")
-
-    def __init__(self, top: np.ndarray, children: list[Node], rows: tuple[int, int]):
-        self.top, self.children, self.rows = top, children, rows
-        self.columns = np.flatnonzero(top)
-
-
-def _over(leaves: list[Node]) -> Node | None:
-    """Nodes of ``FAN`` children, level by level, up to the root."""
-    while len(leaves) > 1:
-        groups = [leaves[i:i + FAN] for i in range(0, len(leaves), FAN)]
-        leaves = [g[0] if len(g) == 1 else Node(np.maximum.reduce([c.top for c in g]), g, (g[0].rows[0], g[-1].rows[1]))
-                  for g in groups]
-    return leaves[0] if leaves else None
-
-
 class Items:
     """The items of a batch as rows of term counts, ordered by heaviest coordinate, and
-    their hierarchy; the k best documents found so far for each."""
+    the levels of their hierarchy, single items first; the k best found for each so far."""
 
     def __init__(self, counts: np.ndarray, weight: np.ndarray, k: int):
-        self.order = np.lexsort((np.arange(len(counts)), (counts * weight).argmax(axis=1))) if counts.size else np.arange(0)
+        heavy = np.argsort(-(counts * weight), axis=1, kind="stable")
+        self.order = np.lexsort((heavy[:, 1 % heavy.shape[1]], heavy[:, 0]))
         self.counts, self.k = counts[self.order], k
-        self.root = _over([Node(self.counts[a:a + ITEM_LEAF].max(axis=0), [], (a, min(a + ITEM_LEAF, len(counts))))
-                           for a in range(0, len(counts), ITEM_LEAF)])
+        self.levels = _levels(self.counts.T, axis=1)
         self.score = [np.zeros(0, np.int64) for _ in counts]
         self.ids = [np.zeros(0, np.int64) for _ in counts]
         self.least = np.ones(len(counts), np.int64)  # only scores above 0 count
 
-    def weakest(self, node: Node) -> int:
-        return self.least[node.rows[0]:node.rows[1]].min()
+    def weakest(self, level: int, node: int) -> int:
+        width = FAN ** level
+        return self.least[node * width:(node + 1) * width].min()
 
     def take(self, i: int, score: np.ndarray, ids: np.ndarray) -> None:
         score, ids = np.concatenate([self.score[i], score]), np.concatenate([self.ids[i], ids])
@@ -164,83 +154,101 @@ class Items:
             self.least[i] = max(1, score[pick[-1]])
 
 
+def _levels(top: np.ndarray, axis: int) -> list[np.ndarray]:
+    """Coordinate maxima (coordinates x nodes) of each level, ``FAN`` children to a node."""
+    levels = [top]
+    while levels[-1].shape[axis] > 1:
+        levels.append(np.maximum.reduceat(levels[-1], np.arange(0, levels[-1].shape[axis], FAN), axis=axis))
+    return levels
+
+
 class Documents:
-    """A part of the documents with its hierarchy."""
+    """A part of the documents, ordered by heaviest coordinates, with its hierarchy."""
 
     def __init__(self, ids: np.ndarray, starts: np.ndarray, term: np.ndarray, value: np.ndarray, width: int):
         owner = np.repeat(np.arange(len(ids)), np.diff(starts))
+        down = np.lexsort((-value, owner))  # a document's coordinates, the largest first
+        sizes = np.diff(starts)
+        some = sizes > 0
+        first = np.full((3, len(ids)), -1)
+        for j in range(3):
+            has = sizes > j
+            first[j, has] = term[down[starts[:-1][has] + j]]
         top = np.zeros(len(ids), np.int64)
-        np.maximum.at(top, owner, value)
-        at = np.flatnonzero(value == top[owner])[::-1]
-        heaviest = np.zeros(len(ids), np.int64)
-        heaviest[owner[at]] = term[at]
-        order = np.lexsort((-top, heaviest))
+        top[some] = value[down[starts[:-1][some]]]
+        order = np.lexsort((-top, first[2], first[1], first[0]))
         order = order[top[order] > 0]  # without a positive coordinate there is no score above 0
-        sizes = np.diff(starts)[order]
+        sizes = sizes[order]
         self.ids, self.starts = ids[order], np.concatenate([[0], np.cumsum(sizes)])
         entry = np.repeat(starts[:-1][order] - self.starts[:-1], sizes) + np.arange(self.starts[-1])
         self.term, self.value = term[entry], value[entry]
-        leaves = []
-        for a in range(0, len(order), LEAF):
-            z = min(a + LEAF, len(order))
-            own = slice(self.starts[a], self.starts[z])
-            most = np.zeros(width, np.int64)
-            np.maximum.at(most, self.term[own], self.value[own])
-            leaves.append(Node(most, [], (a, z)))
-        self.root = _over(leaves)
-
-    def block(self, counts: np.ndarray, leaf: Node) -> np.ndarray:
-        """Scores of item rows (term counts) against a leaf's documents."""
-        a, z = leaf.rows
-        own = slice(self.starts[a], self.starts[z])
-        return np.add.reduceat(counts[:, self.term[own]] * self.value[own], self.starts[a:z] - self.starts[a], axis=1)
-
+        most = np.zeros((width, -(-len(order) // LEAF)), np.int64)
+        np.maximum.at(most, (self.term, np.repeat(np.arange(len(order)), sizes) // LEAF), self.value)
+        self.levels = _levels(most, axis=1) if len(order) else []
 
-def _bounds(one: Node, others: list[Node]) -> np.ndarray:
-    at = one.columns
-    return np.array([one.top[at] @ o.top[at] for o in others], np.int64)
+    def scores(self, item: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of an item (term counts) against all documents of some leaves, and their ids."""
+        rows = (leaves[:, None] * LEAF + np.arange(LEAF)).ravel()
+        rows = rows[rows < len(self.ids)]
+        sizes = self.starts[rows + 1] - self.starts[rows]
+        ends = np.cumsum(sizes)
+        entry = np.repeat(self.starts[rows] - (ends - sizes), sizes) + np.arange(ends[-1])
+        return np.add.reduceat(item[self.term[entry]] * self.value[entry], ends - sizes), self.ids[rows]
 
 
 def search(items: Items, docs: Documents) -> int:
     """Brings the items' best up to date with a part; the number of (item, document)
     pairs that were scored."""
-    scored = 0
-    if not (items.root and docs.root):
+    if not docs.levels:
         return 0
-    stack = [(int(_bounds(items.root, [docs.root])[0]), items.root, docs.root)]
-    while stack:
-        bound, i, d = stack.pop()
-        if bound < items.weakest(i):
-            continue
-        if not i.children and not d.children:
-            a, z = i.rows
-            score = docs.block(items.counts[a:z], d)
-            scored += score.size
-            for r, row in zip(range(a, z), score):
-                good = np.flatnonzero(row >= items.least[r])
-                if len(good):
-                    items.take(r, row[good], docs.ids[d.rows[0] + good])
+    scored = 0
+    tall, high = len(items.levels) - 1, len(docs.levels) - 1
+    todo = [(tall, 0, high, np.array([0]))]  # an item node, and document nodes of one level
+    while todo:
+        i_level, i, d_level, nodes = todo.pop()
+        top = items.levels[i_level][:, i]
+        at = np.flatnonzero(top)
+        bound = top[at] @ docs.levels[d_level][np.ix_(at, nodes)]
+        nodes, bound = (x[bound >= items.weakest(i_level, i)] for x in (nodes, bound))
+        if not len(nodes):
             continue
-        if d.children and (not i.children or d.rows[1] - d.rows[0] >= i.rows[1] - i.rows[0]):
-            pairs = [(int(b), i, c) for b, c in zip(_bounds(i, d.children), d.children)]
+        if d_level:  # open the documents' side
+            below = (nodes[:, None] * FAN + np.arange(FAN)).ravel()
+            below, down = below[below < docs.levels[d_level - 1].shape[1]], d_level - 1
         else:
-            pairs = [(int(b), c, d) for b, c in zip(_bounds(d, i.children), i.children)]
-        stack += sorted((p for p in pairs if p[0] >= items.weakest(p[1])), key=lambda p: p[0])  # the best is popped first
+            below, down = nodes, 0
+        if i_level:  # and the items' side
+            last = min((i + 1) * FAN, items.levels[i_level - 1].shape[1])
+            todo += [(i_level - 1, c, down, below) for c in range(i * FAN, last)]
+        elif d_level:
+            todo.append((0, i, down, below))
+        else:  # one item and leaves: the best bound first, until no bound reaches the kth score
+            best = np.argsort(-bound, kind="stable")
+            nodes, bound, step, done = nodes[best], bound[best], FIRST_LEAVES, 0
+            while done < len(nodes) and bound[done] >= items.least[i]:
+                some = nodes[done:done + step][bound[done:done + step] >= items.least[i]]
+                score, ids = docs.scores(items.counts[i], some)
+                scored += len(score)
+                good = score >= items.least[i]
+                if good.any():
+                    items.take(i, score[good], ids[good])
+                done, step = done + step, step * 2
     return scored
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of ``PART``."""
-    held, n = [], 0
+def _parts(batches: Iterator[pa.RecordBatch], coordinates: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in parts whose leaves' maxima fit in ``CELLS``."""
+    whole = max(FIRST_PART, min(PART, LEAF * CELLS // max(1, coordinates)))
+    held, n, most = [], 0, FIRST_PART
     for batch in batches:
         while batch.num_rows:
-            some = batch.slice(0, PART - n)
+            some = batch.slice(0, most - n)
             batch = batch.slice(some.num_rows)
             held.append(some)
             n += some.num_rows
-            if n == PART:
+            if n == most:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, n = [], 0
+                held, n, most = [], 0, whole
     if n:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
@@ -248,7 +256,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _searched(counted: DataFrame, counts: np.ndarray, item_ids: list, weight: np.ndarray, n_docs: int, n_terms: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(counts, weight, k)
-        for part in _parts(batches):
+        for part in _parts(batches, len(weight)):
             ids = part.column("doc_id").fill_null(NO_ID).to_numpy()
             sizes = part.column("terms").value_lengths().to_numpy(zero_copy_only=False)
             starts = np.concatenate([[0], np.cumsum(sizes)])

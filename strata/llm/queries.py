@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import line_dedup, minhash, mixing, topk
+from strata.llm import clusters, dual_tree, line_dedup, minhash, mixing, topk
 from strata.llm.bpe import op10_bpe
+from strata.llm.clusters import op11_clusters
+from strata.llm.collisions import op12_neighbours
+from strata.llm.dual_tree import op13_lexical
 from strata.llm.fingerprints import op4_fingerprints
 from strata.llm.html_main import op7_html
 from strata.llm.langid import op9_language_id
@@ -29,6 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_language_id": op9_language_id,
     "op10_bpe": op10_bpe,
+    "op11_clusters": op11_clusters,
+    "op12_neighbours": op12_neighbours,
+    "op13_lexical": op13_lexical,
 }
 
 ORACLES: dict[str, str] = {
@@ -36,4 +42,6 @@ ORACLES: dict[str, str] = {
     "op5_mixing": mixing.ORACLE,
     "op6_topk": topk.ORACLE,
     "op8_minhash": minhash.ORACLE,
+    "op11_clusters": clusters.ORACLE,
+    "op13_lexical": dual_tree.ORACLE,
 }
