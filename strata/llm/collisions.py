@@ -5,7 +5,8 @@ projected on ``m`` random lines. The vectors are dealt into parts of about ``PAR
 and in a part each line has a sorted array of projections. A query's window on each line
 is centred at its own projection; the window's half width is ``WIDTH`` times a radius that
 grows step by step (virtual rehashing: no array is ever rebuilt, a wider window only adds
-entries at its two ends). A vector in the window *collides* on that line. One that collides
+entries at its two ends). It starts at a share of the kth best distance among a few
+vectors of the part, or at the kth best distance known from other parts. A vector in the window *collides* on that line. One that collides
 on at least ``least_hits`` lines is verified: its cosine is computed from the original
 vectors. A query is done with a part when its kth best, found here or before, is within the
 radius, or when the part has no vector left.
@@ -42,8 +43,10 @@ from strata.llm.common import finite_vectors, stored
 
 #: Rows of a part, and queries that are counted at once.
 PART, BATCH = 16384, 512
-#: Lines, half width of a window at radius 1, first radius and its growth.
-LINES, WIDTH, FIRST, GROWTH = 128, 1.36, 0.05, 1.1
+#: Lines, half width of a window at radius 1, growth of the radius.
+LINES, WIDTH, GROWTH = 128, 1.36, 1.1
+#: The first radius: this share of the kth best distance among so many vectors of the part.
+START, PROBES, LEAST = 0.8, 256, 1e-6
 SIGMAS = 1.0
 #: Two unit vectors are at most 2 apart.
 FARTHEST = 2.0
@@ -77,51 +80,78 @@ class Part:
         self.rows, self.ids, self.x, self.lines = rows, ids, x, lines
         self.norm = np.sqrt(_dot(x, x))
         at = (x / self.norm[:, None]) @ lines
-        self.order = np.argsort(at, axis=0, kind="stable").T.astype(np.int32)
+        self.order = np.argsort(at, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(at, self.order.T, 0).T.copy()
 
+    def _score(self, places: np.ndarray, q: np.ndarray, norm: float) -> np.ndarray:
+        return _dot(self.x[places], q[None]) / (self.norm[places] * norm)
+
+    def _count(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """Collisions of every vector with one query's windows, from the smaller side:
+        the entries inside of the windows, or those outside."""
+        n, m = len(self.rows), len(lo)
+        inside = (hi - lo).sum() * 2 <= n * m
+        spans = [(j, a, z) for j in range(m) for a, z in (((lo[j], hi[j]),) if inside else ((0, lo[j]), (hi[j], n))) if a < z]
+        if not spans:
+            return np.full(n, 0 if inside else m)
+        found = np.bincount(np.concatenate([self.order[j, a:z] for j, a, z in spans]), minlength=n)
+        return found if inside else m - found
+
     def search(self, own: np.ndarray, q: np.ndarray, near: np.ndarray, k: int) -> tuple[list, int]:
         """The k best of the part for each query, best first; ``near`` is the distance of
         the kth best known before. Also the number of vectors verified."""
         n, m, hits = len(self.rows), self.lines.shape[1], least_hits(self.lines.shape[1])
         norm = np.sqrt(_dot(q, q))
         at = (q / norm[:, None]) @ self.lines
-        centre = np.stack([np.searchsorted(self.values[j], at[:, j]) for j in range(m)], 1)
-        lo, hi = centre.copy(), centre.copy()
-        count = np.zeros((len(q), n), np.int16)
+        # a few vectors are verified at once: they tell from which radius on a search is worthwhile
+        probe = np.arange(0, n, -(-n // PROBES))
+        first = np.array([_kth(self._score(probe[self.rows[probe] != own[i]], q[i], norm[i]), k) for i in range(len(q))])
+        radius = np.maximum(np.where(near < np.inf, near, START * first), LEAST)
+        lo, hi = np.zeros((2, len(q), m), np.int64)
+        count = [None] * len(q)
         best = [(np.zeros(0), np.zeros(0, np.int64)) for _ in q]  # scores and places
-        live, radius, verified = np.arange(len(q)), FIRST, 0
+        live, verified = np.arange(len(q)), 0
         while len(live):
-            half = WIDTH * radius
+            half = WIDTH * radius[live]
             below = np.stack([np.searchsorted(self.values[j], at[live, j] - half, "left") for j in range(m)], 1)
             above = np.stack([np.searchsorted(self.values[j], at[live, j] + half, "right") for j in range(m)], 1)
             going = []
             for i, left, right in zip(live, below, above):
-                left, right = np.minimum(left, lo[i]), np.maximum(right, hi[i])
-                new = [self.order[j, a:b] for j in range(m) for a, b in ((left[j], lo[i, j]), (hi[i, j], right[j])) if a < b]
-                lo[i], hi[i] = left, right
-                if new:
+                if count[i] is None:
+                    was = False
+                    count[i] = self._count(left, right)
+                else:  # a wider window adds entries at its two ends
                     was = count[i] >= hits
-                    count[i] += np.bincount(np.concatenate(new), minlength=n).astype(np.int16)
-                    fresh = np.flatnonzero((count[i] >= hits) & ~was)
-                    fresh = fresh[self.rows[fresh] != own[i]]
-                    if len(fresh):
-                        verified += len(fresh)
-                        score = np.concatenate([best[i][0], _dot(self.x[fresh], q[i][None]) / (self.norm[fresh] * norm[i])])
-                        place = np.concatenate([best[i][1], fresh])
-                        pick = np.lexsort((self.ids[place], -score))[:k]
-                        best[i] = score[pick], place[pick]
-                limit = near[i]
-                if len(best[i][0]) == k:
-                    limit = min(limit, math.sqrt(max(0.0, 2 - 2 * best[i][0][-1])))
-                if limit > radius and (right - left < n).any():
+                    new = [self.order[j, a:z] for j in range(m) for a, z in ((left[j], lo[i, j]), (hi[i, j], right[j])) if a < z]
+                    if new:
+                        count[i] += np.bincount(np.concatenate(new), minlength=n)
+                lo[i], hi[i] = left, right
+                fresh = np.flatnonzero((count[i] >= hits) & ~np.bool_(was))
+                fresh = fresh[self.rows[fresh] != own[i]]
+                if len(fresh):
+                    verified += len(fresh)
+                    score = np.concatenate([best[i][0], self._score(fresh, q[i], norm[i])])
+                    place = np.concatenate([best[i][1], fresh])
+                    if len(score) > k:  # ties with the kth stay for the order by id
+                        high = score >= np.partition(score, -k)[-k]
+                        score, place = score[high], place[high]
+                    pick = np.lexsort((self.ids[place], -score))[:k]
+                    best[i] = score[pick], place[pick]
+                if min(near[i], _kth(best[i][0], k)) > radius[i] and (right - left < n).any():
                     going.append(i)
+                else:
+                    count[i] = None
             live = np.array(going, np.int64)
             # past the farthest distance only whole windows are left to take
-            radius = radius * GROWTH if radius < FARTHEST else float("inf")
+            radius = np.where(radius < FARTHEST, radius * GROWTH, np.inf)
         return [(self.ids[p], s) for s, p in best], verified
 
 
+def _kth(score: np.ndarray, k: int) -> float:
+    """Distance of the kth best cosine; infinite if there are fewer."""
+    return math.sqrt(max(0.0, 2 - 2 * np.partition(score, -k)[-k])) if len(score) >= k else math.inf
+
+
 #: A null id stands after all others.
 NO_ID = np.iinfo(np.int64).max
 
