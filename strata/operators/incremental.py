@@ -8,11 +8,17 @@ value, e.g. per review date).
 Layout::
 
     root/snapshot_version=000003/review_date=2024-01-05/part-....parquet
-    root/_manifest/v=000003.json   {"partitions": {"2024-01-05": 3, ...}, ...}
+    root/_manifest/v=000003.claim  the folder number 3 is taken
+    root/_manifest/v=000003.json   the third commit: {"version": 3, "partitions": {"2024-01-05": 3, ...}, ...}
 
 A version is visible only once its manifest exists, so a failed or retried
 job never exposes half-written data, and the table being read is never
-overwritten in place. Two high-water modes:
+overwritten in place. Manifests are numbered by commit, and a commit creates
+the file that follows the one it started from: of two writers that started from
+the same one, only the first can. The second one's upsert is done again on
+the new state; its ``replace`` and ``replace_partitions`` fail with
+``ConcurrentUpdate``, since what they were computed from is out of date.
+Two high-water modes:
 
 * ``strict``: only source rows with ``hw_column > max(target.hw_column)``
   (default 1970-01-01) are merged; a matched key is replaced by the source
@@ -21,25 +27,43 @@ overwritten in place. Two high-water modes:
 * ``loaded_at``: only source rows loaded after the last consumed load time
   are merged, and a target row is replaced only when the source row is
   newer by ``order``; late files are kept.
+
+Where a key may have moved to another partition, the target's key column is
+searched through a Bloom filter of the source's keys and their range: the range
+reaches the Parquet scan, the filter drops other keys before anything is
+shuffled.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import fs
 from strata.constants import HIGH_WATER_DEFAULT as _EPOCH
+from strata.operators.bloom import key_filter
 from strata.operators.dedup import latest_by
 
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 _VDIR = "snapshot_version"
 
 
+def _number(path: str) -> int:
+    """The number in a manifest's or claim's name."""
+    return int(path.rsplit("v=", 1)[1].split(".")[0])
+
+
+class ConcurrentUpdate(RuntimeError):
+    """Another writer committed since this one started; nothing was changed."""
+
+
 class SnapshotTable:
+    #: Times that an upsert is done again after another writer's commit.
+    REBASES = 5
+
     def __init__(self, spark: SparkSession, root: str, key: str | list[str] | None = None,
                  partition_by: str | None = None, keep_versions: int = 3):
         self.spark, self.root, self.part = spark, root.rstrip("/"), partition_by
@@ -55,13 +79,16 @@ class SnapshotTable:
         names = fs.list_dirs(self.spark, self.root)
         return sorted(int(n[len(_VDIR) + 1:]) for n in names if n.startswith(_VDIR + "="))
 
+    def _manifests(self) -> list[str]:
+        return sorted(fs.glob(self.spark, f"{self._manifest_dir()}/v=*.json"))
+
     def current(self) -> dict | None:
         """The newest committed manifest, or None before the first run."""
-        for v in sorted(self._versions(), reverse=True):
-            text = fs.read_text(self.spark, f"{self._manifest_dir()}/v={v:06d}.json")
+        for path in reversed(self._manifests()):
+            text = fs.read_text(self.spark, path)
             if text:
                 try:
-                    return json.loads(text)
+                    return {"commit": _number(path), **json.loads(text)}
                 except ValueError:
                     continue
         return None
@@ -70,8 +97,9 @@ class SnapshotTable:
         return self.current() is not None
 
     # -- reads --------------------------------------------------------------
-    def read(self, partitions: list[str] | None = None) -> DataFrame:
-        m = self.current()
+    def read(self, partitions: list[str] | None = None, at: dict | None = None) -> DataFrame:
+        """The table, or some of its partitions; ``at`` is a manifest from ``current``."""
+        m = at or self.current()
         if m is None:
             raise FileNotFoundError(f"no committed version under {self.root}")
         schema = T.StructType.fromJson(json.loads(m["schema"]))
@@ -88,58 +116,75 @@ class SnapshotTable:
 
     # -- writes -------------------------------------------------------------
     def _claim(self) -> int:
-        """The next version number, taken by creating its claim file: of two
-        builds that want the same number, the second one fails here, before it
-        has written anything."""
-        taken = [int(p.rsplit("v=", 1)[1].split(".")[0]) for p in fs.glob(self.spark, f"{self._manifest_dir()}/v=*")]
+        """The next folder number, taken by creating its claim file."""
+        taken = [_number(p) for p in fs.glob(self.spark, f"{self._manifest_dir()}/v=*.claim")]
         version = max([0, *self._versions(), *taken]) + 1
         fs.write_text(self.spark, f"{self._manifest_dir()}/v={version:06d}.claim", "", overwrite=False)
         return version
 
-    def _write_version(self, df: DataFrame, version: int) -> list[str]:
+    def _write_version(self, df: DataFrame, version: int) -> tuple[list[str], int]:
+        """The partitions written and the number of rows, observed while they were written."""
         path = f"{self.root}/{_VDIR}={version:06d}"
+        seen = Observation()
         if self.part is None:
-            df.write.mode("overwrite").parquet(path)
-            return [""]
+            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+            return [""], seen.get["rows"]
         # Range-partition on (partition value, key): a hot date is split over
-        # several writers instead of landing in one task.
+        # several writers instead of landing in one task. Observed after the
+        # exchange, whose sampling reads the rows once more.
         order = [F.col(self.part)] + [F.col(k) for k in self.keys]
-        (df.repartitionByRange(*order)
+        (df.repartitionByRange(*order).observe(seen, F.count(F.lit(1)).alias("rows"))
            .write.mode("overwrite").partitionBy(self.part).parquet(path))
         prefix = f"{self.part}="
-        return [n[len(prefix):] for n in fs.list_dirs(self.spark, path) if n.startswith(prefix)]
+        return [n[len(prefix):] for n in fs.list_dirs(self.spark, path) if n.startswith(prefix)], seen.get["rows"]
 
-    def _commit(self, version: int, partitions: dict, schema: T.StructType, meta: dict) -> None:
+    def _commit(self, version: int, base: dict | None, partitions: dict, schema: T.StructType, meta: dict) -> None:
+        """Create the manifest that follows ``base``; fails if another writer has."""
         fs.mkdirs(self.spark, f"{self.root}/{_VDIR}={version:06d}")  # a version may hold no files
         body = {"version": version, "partitions": partitions, "schema": schema.json(), "meta": meta}
-        fs.write_text(self.spark, f"{self._manifest_dir()}/v={version:06d}.json", json.dumps(body), overwrite=False)
+        number = base["commit"] + 1 if base else 1
+        path = f"{self._manifest_dir()}/v={number:06d}.json"
+        taken = [p for p in self._manifests() if _number(p) >= number]
+        try:
+            if taken:
+                raise ConcurrentUpdate(taken[-1])
+            fs.write_text(self.spark, path, json.dumps(body), overwrite=False)
+        except Exception as e:
+            if isinstance(e, ConcurrentUpdate) or fs.exists(self.spark, path):
+                fs.delete(self.spark, f"{self.root}/{_VDIR}={version:06d}")
+                raise ConcurrentUpdate(f"{path} was committed meanwhile") from e
+            raise
         self._drop_superseded()
 
     def _drop_superseded(self) -> None:
-        """Remove the folders that none of the newest ``keep_versions`` manifests refers to."""
-        committed = sorted(fs.glob(self.spark, f"{self._manifest_dir()}/v=*.json"))
-        wanted: set[tuple[int, str]] = set()
-        kept = committed[-self.keep_versions:]
-        for path in kept:
-            body = json.loads(fs.read_text(self.spark, path))
-            wanted |= {(v, p) for p, v in body["partitions"].items()} | {(body["version"], None)}
-        for path in committed[:-self.keep_versions]:
-            version = int(path.rsplit("v=", 1)[1].split(".")[0])
-            folder = f"{self.root}/{_VDIR}={version:06d}"
-            if not any(v == version for v, _ in wanted):
-                fs.delete(self.spark, folder)
-            elif self.part is not None:
-                prefix = f"{self.part}="
-                for name in fs.list_dirs(self.spark, folder):
-                    if name.startswith(prefix) and (version, name[len(prefix):]) not in wanted:
-                        fs.delete(self.spark, f"{folder}/{name}")
+        """Remove manifests older than the newest ``keep_versions``, their claims, and the
+        folders that only they refer to (found in the manifests, without a listing)."""
+        committed = self._manifests()
+        old, kept = committed[:-self.keep_versions], committed[-self.keep_versions:]
+        if not old:
+            return
+        body = lambda path: json.loads(fs.read_text(self.spark, path) or '{"partitions": {}, "version": 0}')
+        wanted = {(v, p) for m in map(body, kept) for p, v in [*m["partitions"].items(), (None, m["version"])]}
+        used = {v for v, _ in wanted}
+        for path in old:
+            m = body(path)
+            for p, v in [*m["partitions"].items(), (None, m["version"])]:
+                if v not in used:
+                    fs.delete(self.spark, f"{self.root}/{_VDIR}={v:06d}")
+                elif p and (v, p) not in wanted:
+                    fs.delete(self.spark, f"{self.root}/{_VDIR}={v:06d}/{self.part}={p}")
+            fs.delete(self.spark, path)
+        for path in fs.glob(self.spark, f"{self._manifest_dir()}/v=*.claim"):
+            if _number(path) < min(used):
+                fs.delete(self.spark, path)
 
     def replace(self, df: DataFrame, meta: dict | None = None) -> dict:
         """Full rebuild: a new version holding exactly ``df``."""
+        base = self.current()
         version = self._claim()
-        written = self._write_version(df, version)
-        self._commit(version, {p: version for p in written}, df.schema, meta or {})
-        return {"version": version, "partitions": written}
+        written, rows = self._write_version(df, version)
+        self._commit(version, base, {p: version for p in written}, df.schema, meta or {})
+        return {"version": version, "partitions": written, "rows": rows}
 
     def replace_partitions(self, df: DataFrame, partitions: list[str], meta: dict | None = None) -> dict:
         """Rewrite only ``partitions`` with the rows of ``df`` (which must lie in
@@ -149,12 +194,12 @@ class SnapshotTable:
         if cur is None:
             return self.replace(df, meta)
         version = self._claim()
-        written = self._write_version(df, version)
+        written, rows = self._write_version(df, version)
         drop = set(partitions)
         parts = {p: v for p, v in cur["partitions"].items() if p not in drop}
         parts.update({p: version for p in written})
-        self._commit(version, parts, df.schema, meta if meta is not None else cur["meta"])
-        return {"version": version, "partitions": sorted(drop)}
+        self._commit(version, cur, parts, df.schema, meta if meta is not None else cur["meta"])
+        return {"version": version, "partitions": sorted(drop), "rows": rows}
 
     def upsert(self, source: DataFrame, mode: str = "strict", hw_column: str = "extracted_at",
                loaded_column: str = "_loaded_at", order: list | None = None,
@@ -172,6 +217,15 @@ class SnapshotTable:
         """
         if mode not in ("strict", "loaded_at", "newer"):
             raise ValueError(f"unknown mode {mode}")
+        for turn in range(self.REBASES + 1):
+            try:
+                return self._upsert(source, mode, hw_column, loaded_column, order, meta_update)
+            except ConcurrentUpdate:  # another writer came first: merge into what it left
+                if turn == self.REBASES:
+                    raise
+
+    def _upsert(self, source: DataFrame, mode: str, hw_column: str, loaded_column: str, order: list | None,
+                meta_update: dict | None) -> dict:
         keys = self.keys
         cur = self.current()
         meta = dict(cur["meta"]) if cur else {}
@@ -223,11 +277,11 @@ class SnapshotTable:
             parts, schema = ({}, src_rows.schema) if cur is None else \
                 (cur["partitions"], T.StructType.fromJson(json.loads(cur["schema"])))
             if cur is None or new_meta != meta:
-                self._commit(version, parts, schema, new_meta)
+                self._commit(version, cur, parts, schema, new_meta)
             return {"version": version if cur is None else cur["version"], "rows": 0, "partitions": []}
         if cur is None:
-            written = self._write_version(src_rows, version)
-            self._commit(version, {p: version for p in written}, src_rows.schema, new_meta)
+            written, _ = self._write_version(src_rows, version)
+            self._commit(version, cur, {p: version for p in written}, src_rows.schema, new_meta)
             return {"version": version, "rows": n, "partitions": written}
 
         src_keys = src_rows.select(*keys)
@@ -237,11 +291,11 @@ class SnapshotTable:
             part_str = F.coalesce(F.col(self.part).cast("string"), F.lit(_NULL_PART))
             parts_df = src_rows.select(part_str)
             if self.part not in keys:  # matched keys may sit in any partition: find theirs
-                hit = self.read().select(*keys, self.part).join(src_keys, keys, "left_semi")
+                hit = self.candidates(src_keys, n, cur).join(src_keys, keys, "left_semi")
                 parts_df = parts_df.union(hit.select(part_str))
             affected = [r[0] for r in parts_df.distinct().collect()]  # partition names only
         touched = [p for p in affected if p in cur["partitions"]]
-        target_aff = self.read(touched)
+        target_aff = self.read(touched, at=cur)
         kept = target_aff.join(src_keys, keys, "left_anti")
         if mode == "strict":
             winners = src_rows
@@ -249,8 +303,13 @@ class SnapshotTable:
             old = target_aff.join(src_keys, keys, "left_semi").withColumn("_src", F.lit(0))
             cand = old.unionByName(src_rows.withColumn("_src", F.lit(1)))
             winners = latest_by(cand, keys, list(order or []) + [("_src", "desc")]).drop("_src")
-        written = self._write_version(kept.unionByName(winners), version)
+        written, _ = self._write_version(kept.unionByName(winners), version)
         parts = {p: v for p, v in cur["partitions"].items() if p not in set(affected)}
         parts.update({p: version for p in written})
-        self._commit(version, parts, src_rows.schema, new_meta)
+        self._commit(version, cur, parts, src_rows.schema, new_meta)
         return {"version": version, "rows": n, "partitions": sorted(affected)}
+
+    def candidates(self, src_keys: DataFrame, n: int, at: dict | None = None) -> DataFrame:
+        """Key and partition columns of the target rows that may match one of ``n`` source
+        keys: none that matches is missing, few others are left."""
+        return self.read(at=at).where(key_filter(src_keys, self.keys, n)).select(*self.keys, self.part)

@@ -231,8 +231,7 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
             fr_src, mode="newer", order=[("updated_at", "desc"), ("extracted_at", "desc")],
             meta_update={"bronze_batch": max(new)} if new else None)["rows"]
     jobs = {
-        "dim_game": lambda: dim_t.replace(gold.dim_game(most_played, s["silver_app_details"]))
-        and dim_t.read().count(),
+        "dim_game": lambda: dim_t.replace(gold.dim_game(most_played, s["silver_app_details"]))["rows"],
         "fact_review": fr_job,
         "fact_daily_game_performance": lambda: _build_daily(
             spark, lake, fd_t, most_played, s["silver_player_counts"], reviews, daily_mode, batches),
@@ -276,9 +275,8 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
     cur = table.current()
     last = (cur or {}).get("meta", {}).get("bronze_batch")
     if mode == "full" or last is None:
-        table.replace(gold.fact_daily_game_performance(most_played, player_counts, reviews),
-                      meta={"bronze_batch": consumed})
-        return table.read().count()
+        return table.replace(gold.fact_daily_game_performance(most_played, player_counts, reviews),
+                             meta={"bronze_batch": consumed})["rows"]
     days = None
     for ds, ids in batches.items():
         new = read_bronze(spark, lake.bronze(ds), batches=[b for b in ids if b > last.get(ds, -1)])
@@ -292,8 +290,7 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
         player_counts.where(F.col("snapshot_date").isin(touched)),
         reviews.where((F.col("created_date") if "created_date" in reviews.columns
                        else F.to_date("created_at")).isin(touched)))
-    table.replace_partitions(fact, [str(d) for d in touched], meta={"bronze_batch": consumed})
-    return fact.count()
+    return table.replace_partitions(fact, [str(d) for d in touched], meta={"bronze_batch": consumed})["rows"]
 
 
 def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:

@@ -4,7 +4,7 @@ import os
 import pytest
 
 from strata.operators import quality
-from strata.operators.incremental import SnapshotTable
+from strata.operators.incremental import ConcurrentUpdate, SnapshotTable
 
 SCHEMA = "id string, d date, v int, upd timestamp, ext timestamp, _loaded_at timestamp"
 
@@ -67,6 +67,95 @@ def test_null_partition_value(spark, tmp_path):
     assert rows(t) == [("a", None, 2)]
 
 
+def _write(spark, ids, day=1, v=1):
+    return spark.createDataFrame([(i, dt.date(2024, 1, day), v, None, T("2024-01-02"), None) for i in ids], SCHEMA)
+
+
+def test_interleaved_writers_lose_nothing(spark, tmp_path, monkeypatch):
+    """B commits between A's read of the table and A's commit: both merges are kept."""
+    t = SnapshotTable(spark, str(tmp_path / "t"), key="id", partition_by="d")
+    t.upsert(_write(spark, ["a"]), mode="newer")
+    plain, done = SnapshotTable._write_version, []
+
+    def slow(self, df, version):
+        if not done:
+            done.append(1)
+            SnapshotTable(spark, t.root, key="id", partition_by="d").upsert(_write(spark, ["c"]), mode="newer")
+        return plain(self, df, version)
+
+    monkeypatch.setattr(SnapshotTable, "_write_version", slow)
+    t.upsert(_write(spark, ["b"]), mode="newer")
+    assert [r[0] for r in rows(t)] == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("how", ["replace", "replace_partitions"])
+def test_a_rebuild_on_an_old_state_fails(spark, tmp_path, monkeypatch, how):
+    t = SnapshotTable(spark, str(tmp_path / "t"), key="id", partition_by="d")
+    t.upsert(_write(spark, ["a"]), mode="newer")
+    plain, done = SnapshotTable._write_version, []
+
+    def slow(self, df, version):
+        if not done:
+            done.append(1)
+            SnapshotTable(spark, t.root, key="id", partition_by="d").upsert(_write(spark, ["c"]), mode="newer")
+        return plain(self, df, version)
+
+    monkeypatch.setattr(SnapshotTable, "_write_version", slow)
+    with pytest.raises(ConcurrentUpdate):
+        t.replace(_write(spark, ["z"])) if how == "replace" else t.replace_partitions(_write(spark, ["z"]), ["2024-01-01"])
+    assert [r[0] for r in rows(t)] == ["a", "c"]
+    t.replace(_write(spark, []))
+    assert rows(t) == []
+
+
+def test_superseded_manifests_claims_and_folders_go(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), key="id", partition_by="d", keep_versions=2)
+    for n in range(6):
+        t.upsert(_write(spark, [f"k{n}"], day=1 + n % 2, v=n), mode="newer")
+    names = sorted(os.listdir(tmp_path / "t" / "_manifest"))
+    assert [n for n in names if n.endswith(".json")] == ["v=000005.json", "v=000006.json"]
+    assert len([n for n in names if n.endswith(".claim")]) <= 3
+    folders = sorted(n for n in os.listdir(tmp_path / "t") if n.startswith("snapshot"))
+    assert folders == [f"snapshot_version={v:06d}" for v in (4, 5, 6)]
+    assert sorted(r[0] for r in rows(t)) == [f"k{n}" for n in range(6)]
+
+
+def test_written_rows_are_observed(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "t"), key="id", partition_by="d")
+    assert t.replace(_write(spark, ["a", "b", "c"]))["rows"] == 3
+    assert t.replace_partitions(_write(spark, ["x"]), ["2024-01-01"])["rows"] == 1
+    assert t.replace(_write(spark, []))["rows"] == 0
+    one = SnapshotTable(spark, str(tmp_path / "u"))
+    assert one.replace(_write(spark, ["a", "b"]))["rows"] == 2 and one.replace(_write(spark, []))["rows"] == 0
+
+
+def test_a_merge_shuffles_few_keys_of_the_table(spark, tmp_path):
+    """The keys of a small batch are looked for behind a range and a Bloom filter at the scan."""
+    t = SnapshotTable(spark, str(tmp_path / "t"), key="id", partition_by="d")
+    big = spark.range(20_000).selectExpr("concat('k', id) AS id", "date_add(date'2024-01-01', cast(id % 5 as int)) AS d", "1 AS v",
+                                         "cast(null as timestamp) AS upd", "timestamp'2024-01-02' AS ext", "cast(null as timestamp) AS _loaded_at")
+    t.upsert(big, mode="newer")
+    batch = big.where("id in ('k7', 'k4321', 'k19999')").selectExpr("id", "date'2024-01-09' AS d", "2 AS v", "upd", "ext", "_loaded_at")
+    found = t.candidates(batch.select("id"), 3)
+    assert {"k7", "k4321", "k19999"} <= {r.id for r in found.collect()} and found.count() < 40
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,k19999)" in plan and "LessThanOrEqual(id,k7)" in plan and "Exchange" not in plan
+    t.upsert(batch, mode="newer")
+    assert t.read().count() == 20_000 and t.read().where("d = date'2024-01-09'").count() == 3
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint", "date", "timestamp", "decimal(20,3)", "double", "boolean"])
+def test_key_filter_keeps_every_key(spark, kind):
+    from strata.operators.bloom import key_filter
+    to = {"date": "date_add(date'1969-12-01', cast(id as int))", "timestamp": "timestamp_seconds(id * 1000 - 500)",
+          "boolean": "id % 2 = 0"}.get(kind, f"cast(id as {kind})")
+    rows_ = spark.range(500).selectExpr(f"{to} AS k", "cast(id % 3 as int) AS j")
+    keys = rows_.where("j = 1").unionByName(rows_.limit(1).selectExpr(f"cast(null as {kind}) AS k", "j"))
+    kept = rows_.where(key_filter(keys, ["k", "j"], 170))
+    assert kept.join(keys, ["k", "j"], "left_semi").count() == rows_.join(keys, ["k", "j"], "left_semi").count()
+    assert rows_.where(key_filter(keys.limit(0), ["k", "j"], 0)).count() == 0
+
+
 def test_quality_checks_pass_and_fail(spark):
     child = spark.createDataFrame([(1, 10), (2, 99), (3, None), (3, 10)], "id int, fk int")
     parent = spark.createDataFrame([(10,), (11,), (None,)], "k int")
