@@ -27,6 +27,7 @@ from strata.plans import gold, silver
 from strata.session import ensure_session
 from strata.sources.bronze import IngestResult, committed_batches, ingest, read_bronze
 from strata.sources.catalog import DATASETS, Lake
+from strata.streaming.status import log_status, run_status
 
 RUN_LEDGER_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
@@ -55,7 +56,7 @@ def load_raw(spark: SparkSession, lake: Lake, datasets=DATASETS, strict: bool =
     ``archive`` moves loaded files to ``<root>/archive/<dataset>`` so the
     landing listing stays proportional to new files.
     """
-    started = {}
+    started, at = {}, _utcnow()
     for ds in datasets:
         fs.mkdirs(spark, lake.raw(ds))
         started[ds] = ingest(spark, lake.raw(ds), lake.bronze(ds), lake.ingest_checkpoint(ds),
@@ -64,12 +65,14 @@ def load_raw(spark: SparkSession, lake: Lake, datasets=DATASETS, strict: bool =
                              ledger=lake.load_ledger(ds), max_files_per_trigger=max_files_per_trigger,
                              wait=False, archive_dir=f"{lake.root}/archive/{ds}" if archive else None)
     # the four tables ingest concurrently; every query is awaited (errors surface)
-    errors = []
+    errors, states = [], []
     for ds, (q, _) in started.items():
         try:
             q.awaitTermination()
         except Exception as e:  # noqa: BLE001
             errors.append(e)
+        states.append(run_status(ds, q, at))
+    log_status(spark, lake, states)
     if errors:
         raise errors[0]
     return {ds: get() for ds, (_, get) in started.items()}

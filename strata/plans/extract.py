@@ -12,7 +12,10 @@ fields, which win over them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.constants import CHUNK_SIZE, DATASETS, REVIEW_LOOKBACK_HOURS, SOURCE_NAMES, TOP_N
@@ -74,6 +77,36 @@ def shape_run(responses: DataFrame, top_n: int = TOP_N, chunk_size: int = CHUNK_
 
 def land_run(lake: Lake, records: dict[str, DataFrame]) -> dict[str, str | None]:
     """Write each dataset's records as NDJSON under the landing folder (skip empty)."""
-    return {name: write_ndjson(df.withColumn("_line", F.to_json("record")), lake.landing, name, "run_ts",
-                               part=None if name == "most_played" else "part", json_text="_line")
-            for name, df in records.items()}
+    return {name: _land(lake, name, df) for name, df in records.items()}
+
+
+def _land(lake: Lake, name: str, df: DataFrame, **kw) -> str | None:
+    return write_ndjson(df.withColumn("_line", F.to_json("record")), lake.landing, name, "run_ts",
+                        part=None if name == "most_played" else "part", json_text="_line", **kw)
+
+
+EXTRACT_SCHEMA = "run_ts timestamp, dataset string, records bigint, path string"
+
+
+def land_counted(lake: Lake, records: dict[str, DataFrame], runs: list[dt.datetime]) -> list[tuple]:
+    """``land_run`` with the run summary: (run, dataset, records, path) for each of ``runs``
+    and dataset, counted while the records are written, and added to the extraction log.
+
+    A run without records of a dataset is listed with 0; its ``path`` is the dataset's
+    landing folder, or null if nothing was ever landed.
+    """
+    summary = []
+    for name, df in records.items():
+        seen = Observation()
+        counts = {f"n{i}": F.count_if(F.col("_ts") == F.lit(r).cast("timestamp")) for i, r in enumerate(runs)}
+        path = _land(lake, name, df, counts=counts, seen=seen)
+        summary += [(r, name, seen.get[f"n{i}"], path) for i, r in enumerate(runs)]
+    if summary:
+        spark = next(iter(records.values())).sparkSession
+        spark.createDataFrame(summary, EXTRACT_SCHEMA).coalesce(1).write.parquet(f"{lake.extract_log}/run={uuid.uuid4().hex}")
+    return summary
+
+
+def extract_log(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The summaries of all extraction runs."""
+    return spark.read.schema(EXTRACT_SCHEMA).option("recursiveFileLookup", "true").parquet(lake.extract_log)

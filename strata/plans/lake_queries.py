@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,32 +79,41 @@ def object_key_wide_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.groupBy("object_key").agg(F.count("*").alias("n"))
 
 
+#: Charted apps of one landed chart response, and reviews of one landed page.
+_CHARTED, _PAGE = 64, 20
+
+
 def _two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed responses of two runs with overlapping charts and reviews whose fields
-    collide with the stamps."""
-    ev = table(spark, sf_dir, "events").where("event_type in ('purchase', 'click') and user_id % 5 = 0")
-    per_app = ev.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))).alias("e"))
+    collide with the stamps. Every user is in one run at least, a third is in both; a
+    run's chart comes in responses of ``_CHARTED`` ids, an app's reviews in pages."""
+    ev = table(spark, sf_dir, "events").where("event_type in ('purchase', 'click')")
+    number = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    pages = ev.select("user_id", "event_id", "event_type", F.floor(number / _PAGE).cast("int").alias("page_no")) \
+        .groupBy("user_id", "page_no").agg(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))).alias("e"))
+    apps = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     runs = F.explode(F.array(*[F.struct(F.lit(i).alias("run"), F.lit(f"2024-03-0{i} 06:00:00").cast("timestamp").alias("run_ts")) for i in (1, 2)]))
-    apps = per_app.select("user_id", "e", runs.alias("r")).select("user_id", "e", "r.run", "r.run_ts") \
-        .where((F.col("user_id") % 10 == 0) | (F.col("user_id") % 15 == F.col("run") * 5))
+
+    def in_runs(df: DataFrame) -> DataFrame:
+        return df.select("*", runs.alias("r")).select("*", "r.run", "r.run_ts").where(F.col("user_id") % 3 != F.col("run"))
+
+    none = F.lit(None).cast("string")
+    landed = lambda df, ds, app, page, cursor, body: df.select(
+        F.lit(ds).alias("dataset"), app.cast("bigint").alias("appid"), page.cast("int").alias("page_no"), "run_ts",
+        cursor.alias("cursor"), F.parse_json(F.to_json(body)).alias("body"), none.alias("error"))
     epoch = F.unix_seconds("run_ts")
-    one = lambda ds, body, cursor=None: apps.select(
-        F.lit(ds).alias("dataset"), F.col("user_id").alias("appid"), F.lit(0).alias("page_no"), "run_ts",
-        F.lit(cursor).cast("string").alias("cursor"), F.parse_json(F.to_json(body)).alias("body"), F.lit(None).cast("string").alias("error"))
-    reviews = F.transform("e", lambda x: F.when(x.event_type == "click", F.struct(
+    reviews = F.transform("e", lambda x: F.struct(
         x.event_id.cast("string").alias("recommendationid"), epoch.alias("timestamp_created"),
-        F.lit("own").alias("_source"), F.lit(-1).alias("appid")))
-        .otherwise(F.struct(x.event_id.cast("string").alias("recommendationid"), epoch.alias("timestamp_created"),
-                            F.lit(None).cast("string").alias("_source"), F.lit(None).cast("int").alias("appid"))))
-    pages = one("reviews", F.struct(reviews.alias("reviews")), "*")
-    counts = one("player_counts", F.struct(F.struct(F.size("e").alias("player_count"), F.lit(1).alias("result")).alias("response")))
-    ranks = apps.groupBy("run_ts").agg(F.sort_array(F.collect_list(F.struct(
+        F.when(x.event_type == "click", F.lit("own")).alias("_source"), F.when(x.event_type == "click", F.lit(-1)).alias("appid")))
+    at = lambda page: F.concat(F.lit("c"), page.cast("string"))
+    read = landed(in_runs(pages), "reviews", F.col("user_id"), F.col("page_no"), at(F.col("page_no")),
+                  F.struct(reviews.alias("reviews"), at(F.col("page_no") + 1).alias("cursor")))
+    counts = landed(in_runs(apps), "player_counts", F.col("user_id"), F.lit(0), none,
+                    F.struct(F.struct(F.col("n").alias("player_count"), F.lit(1).alias("result")).alias("response")))
+    ranks = in_runs(apps).groupBy("run_ts", F.floor(F.col("user_id") / _CHARTED).alias("g")).agg(F.sort_array(F.collect_list(F.struct(
         F.col("user_id").alias("appid"), F.col("user_id").alias("rank"), F.lit("kept").alias("extra")))).alias("ranks"))
-    chart = ranks.select(F.lit("most_played").alias("dataset"), F.lit(0).cast("bigint").alias("appid"), F.lit(0).alias("page_no"), "run_ts",
-                         F.lit(None).cast("string").alias("cursor"),
-                         F.parse_json(F.to_json(F.struct(F.struct("ranks", F.lit(7).alias("rollup_date")).alias("response")))).alias("body"),
-                         F.lit(None).cast("string").alias("error"))
-    return chart.unionByName(pages).unionByName(counts)
+    chart = landed(ranks, "most_played", F.lit(0), F.lit(0), none, F.struct(F.struct("ranks", F.lit(7).alias("rollup_date")).alias("response")))
+    return chart.unionByName(read).unionByName(counts)
 
 
 def extract_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,13 +249,13 @@ QUERIES = {
     "cast_lenient_null": cast_lenient_null,
 }
 
-_RUNS = """
+_RUNS = f"""
 WITH app AS (
   SELECT user_id, run, count(*) AS n
   FROM events, (SELECT unnest([1, 2]) AS run) r
-  WHERE event_type IN ('purchase', 'click') AND user_id % 5 = 0 AND (user_id % 10 = 0 OR user_id % 15 = run * 5)
+  WHERE event_type IN ('purchase', 'click') AND user_id % 3 <> run
   GROUP BY user_id, run),
-placed AS (SELECT *, (row_number() OVER (PARTITION BY run ORDER BY user_id) - 1) // 3 AS part FROM app)"""
+placed AS (SELECT *, (row_number() OVER (PARTITION BY run, user_id // {_CHARTED} ORDER BY user_id) - 1) // 3 AS part FROM app)"""
 
 _CHECKS = ", ".join(f"('{n}', {k})" for n, k in [
     ("not_null:silver_most_played.appid", "0"), ("not_null:silver_most_played.chart_rank", "0"),

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,15 +91,16 @@ def ingest(spark: SparkSession, landing: str, bronze: str, checkpoint: str,
                 (bad.select(F.col("value").alias("line"), "_file", "_loaded_at")
                     .write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}"))
             parsed = parsed.where(F.col("payload").isNotNull())
-        good = parsed.select("payload", "_file", "_loaded_at")
+        seen = Observation()
+        good = parsed.select("payload", "_file", "_loaded_at").observe(seen, F.count(F.lit(1)).alias("rows"))
         good.write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
-        written = spark.read.parquet(f"{bronze}/batch_id={batch_id}")
-        if ledger:
+        if ledger:  # reads the two narrow columns of what was written
+            written = spark.read.schema(BRONZE_SCHEMA).parquet(f"{bronze}/batch_id={batch_id}")
             (written.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"),
                                           F.max("_loaded_at").alias("_loaded_at"))
                     .write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}"))
         stats["batches"] += 1
-        stats["rows"] += written.count()
+        stats["rows"] += seen.get["rows"]
 
     w = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if processing_time:

@@ -6,7 +6,7 @@ One root folder (on shared storage) holds every layer::
     bronze/<dataset>/batch_id=N/                      VARIANT documents
     silver/<model>/run=<id>/                          materialized once per build
     gold/<model>/snapshot_version=N/ + _manifest/     versioned gold tables
-    ops/{load_ledger,quarantine,run_ledger,trigger_log}/
+    ops/{load_ledger,quarantine,run_ledger,trigger_log,pipe_status,extract_log}/
     _checkpoints/{ingest/<dataset>,arrival}/          stream offsets
 """
 
@@ -59,6 +59,14 @@ class Lake:
     def gold(self, model: str) -> str:
         return f"{self.root}/gold/{model}"
 
+    @property
+    def status_log(self) -> str:
+        return f"{self.root}/ops/pipe_status"
+
+    @property
+    def extract_log(self) -> str:
+        return f"{self.root}/ops/extract_log"
+
     @property
     def run_ledger(self) -> str:
         return f"{self.root}/ops/run_ledger"

@@ -7,7 +7,7 @@ object per line. An empty result writes nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata import fs
@@ -50,12 +50,14 @@ def to_ndjson(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def write_ndjson(df: DataFrame, root: str, dataset: str, ts: str,
                  columns: list[str] | None = None, part: str | None = None,
-                 json_text: str | None = None) -> str | None:
+                 json_text: str | None = None, counts: dict[str, Column] | None = None,
+                 seen: Observation | None = None) -> str | None:
     """Write records under ``root/<dataset>/ingest_date=...[/part=NN]/``; skip when empty.
 
     ``ts`` is the extraction stamp that names the date folder; ``part`` the
     optional chunk number of a fanned-out run. ``json_text`` names a column
-    that already holds each record's JSON text (written as is).
+    that already holds each record's JSON text (written as is). ``counts`` are aggregates
+    over ``ts``, observed in ``seen`` while the records are written.
     """
     cols = columns or df.columns
     out = f"{root.rstrip('/')}/{dataset}"
@@ -64,12 +66,14 @@ def write_ndjson(df: DataFrame, root: str, dataset: str, ts: str,
         folders.append(F.when(F.col(part).isNotNull(), part_number(F.col(part))).alias("part"))
     names = ["ingest_date", "part"][:len(folders)]
     body = F.col(json_text) if json_text else record_json(cols)
-    lines = df.select(*folders, body.alias("value"))
+    lines = df.select(*folders, body.alias("value"), F.col(ts).alias("_ts"))
     # Range-partition by (folder, hash of the line): each folder gets few files,
     # while a folder holding most of the rows is still split over several
     # writers, and the sampled keys are narrow.
-    (lines.repartitionByRange(*names, F.xxhash64("value"))
-          .write.mode("append").partitionBy(*names).text(out))
+    dealt = lines.repartitionByRange(*names, F.xxhash64("value"))
+    if counts:  # after the exchange, whose sampling reads the rows once more
+        dealt = dealt.observe(seen, *[c.alias(n) for n, c in counts.items()])
+    dealt.drop("_ts").write.mode("append").partitionBy(*names).text(out)
     landed = any(n.startswith("ingest_date=") for n in fs.list_dirs(df.sparkSession, out))
     if not landed:  # nothing has ever been written: leave no empty folder behind
         fs.delete(df.sparkSession, out)
