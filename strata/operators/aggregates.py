@@ -21,11 +21,16 @@ from strata.session import scratch_path
 
 def exact_median(df: DataFrame, keys: list[str], value: str | Column, out: str = "median") -> DataFrame:
     """``median(value)`` per ``keys`` (NULLs ignored; groups of only NULLs vanish)."""
-    spark = df.sparkSession
     v = F.col(value) if isinstance(value, str) else value
-    base = (df.where(v.isNotNull())
-              .groupBy(*keys, v.cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
+    return weighted_median(df.where(v.isNotNull())
+                             .groupBy(*keys, v.cast("double").alias("_v"))
+                             .agg(F.count(F.lit(1)).alias("_c")), keys, out)
+
+
+def weighted_median(base: DataFrame, keys: list[str], out: str = "median") -> DataFrame:
+    """``exact_median`` of values that are already counted: one row (``keys``, ``_v``,
+    ``_c``) for each value of a group."""
+    spark = base.sparkSession
     # written, so that both reads below see one dealing; lost executors reread it
     path = scratch_path(spark, "median")
     base.repartitionByRange(*keys, "_v").withColumn("_piece", F.spark_partition_id()).write.parquet(path)

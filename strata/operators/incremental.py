@@ -93,6 +93,12 @@ class SnapshotTable:
                     continue
         return None
 
+    def manifest(self, commit: int) -> dict | None:
+        """The manifest of an earlier commit, if it is still kept."""
+        path = f"{self._manifest_dir()}/v={commit:06d}.json"
+        text = fs.read_text(self.spark, path)
+        return {"commit": commit, **json.loads(text)} if text else None
+
     def exists(self) -> bool:
         return self.current() is not None
 

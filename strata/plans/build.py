@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from strata import fs
 from strata.functions.variant import vget
+from strata.operators.daily_state import DailyState
 from strata.operators.incremental import SnapshotTable
 from strata.operators.quality import CheckResult, ChecksFailed, model_checks, run_checks
 from strata.plans import gold, silver
@@ -167,11 +168,14 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
 
     By default a build follows the new data: ``silver_mode="incremental"`` merges
     new bronze batches into silver tables, ``daily_mode="touched"`` recomputes
-    the days that received new rows, ``review_mode="loaded_at"`` merges late
-    files too. ``"view"``, ``"full"`` and ``"strict"`` (skip files that carry an
+    the days that received new rows (``"state"`` does so from merged partial
+    aggregates, without reading a day's reviews again; it needs incremental silver),
+    ``review_mode="loaded_at"`` merges late files too. ``"view"``, ``"full"`` and ``"strict"`` (skip files that carry an
     already seen stamp) are the reference's behaviour. ``batches`` is a listing made
     earlier (``bronze_batches``); batches committed since are left to the next build.
     """
+    if daily_mode == "state" and silver_mode != "incremental":
+        raise ValueError('daily_mode="state" follows the incremental silver tables')
     ensure_session(spark)
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:6]
     batches = bronze_batches(spark, lake) if batches is None else batches
@@ -266,7 +270,8 @@ _DAILY_INPUTS = {
 def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_played: DataFrame,
                  player_counts: DataFrame, reviews: DataFrame, mode: str, listed: Batches) -> int:
     """Daily fact: a full rebuild, or (``mode="touched"``) only the days that
-    received new bronze rows since the last build.
+    received new bronze rows since the last build, or (``mode="state"``) the same
+    days from stored review aggregates, into which the new batches are merged.
 
     A day's fact row depends only on chart, snapshot and review rows of that
     same day (reviews by creation day; a re-extracted review keeps it), so
@@ -277,6 +282,8 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
     consumed = {ds: max(b) if b else -1 for ds, b in batches.items()}
     cur = table.current()
     last = (cur or {}).get("meta", {}).get("bronze_batch")
+    if mode == "state" and last is None:
+        _daily_state(spark, lake).follow(_silver_reviews(spark, lake))
     if mode == "full" or last is None:
         return table.replace(gold.fact_daily_game_performance(most_played, player_counts, reviews),
                              meta={"bronze_batch": consumed})["rows"]
@@ -286,6 +293,9 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
         d = new.select(_DAILY_INPUTS[ds](new).alias("d"))
         days = d if days is None else days.union(d)
     touched = sorted(r.d for r in days.where(F.col("d").isNotNull()).distinct().collect())  # days only
+    if mode == "state":
+        return _merge_daily(spark, lake, table, most_played, player_counts, touched,
+                            [b for b in batches["reviews"] if b > last.get("reviews", -1)], consumed)
     if not touched:
         return 0
     fact = gold.fact_daily_game_performance(
@@ -296,6 +306,32 @@ def _build_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
     return table.replace_partitions(fact, [str(d) for d in touched], meta={"bronze_batch": consumed})["rows"]
 
 
+def _silver_reviews(spark: SparkSession, lake: Lake) -> SnapshotTable:
+    _, _, keys, part, _ = SILVER_TABLES["silver_reviews"]
+    return SnapshotTable(spark, lake.silver_table("silver_reviews"), key=keys, partition_by=part)
+
+
+def _daily_state(spark: SparkSession, lake: Lake) -> DailyState:
+    return DailyState(spark, lake.daily_state)
+
+
+def _merge_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_played: DataFrame, player_counts: DataFrame,
+                 touched: list, review_batches: list[int], consumed: dict) -> int:
+    """The touched days of the daily fact from merged review state: the new batches'
+    reviews are the only ones that are read."""
+    new = read_bronze(spark, lake.bronze("reviews"), batches=review_batches)
+    keys = new.select(vget("payload", "$.recommendationid", "string").alias("review_id")).where("review_id is not null").distinct()
+    state = _daily_state(spark, lake)
+    moved = state.follow(_silver_reviews(spark, lake), keys)
+    days = sorted({str(d) for d in touched} | {d for d in moved if d[:1].isdigit()})
+    if not days:
+        return 0
+    as_dates = [dt.date.fromisoformat(d) for d in days]
+    fact = gold.daily_fact(most_played.where(F.col("chart_date").isin(as_dates)),
+                           player_counts.where(F.col("snapshot_date").isin(as_dates)), state.daily(days))
+    return table.replace_partitions(fact, days, meta={"bronze_batch": consumed})["rows"]
+
+
 def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """Current gold tables plus the report view (joined at read time)."""
     out = {}

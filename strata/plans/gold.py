@@ -54,13 +54,18 @@ def review_daily(reviews: DataFrame, **median_kw) -> DataFrame:
 
 def fact_daily_game_performance(most_played: DataFrame, player_counts: DataFrame,
                                 reviews: DataFrame, **median_kw) -> DataFrame:
+    return daily_fact(most_played, player_counts, review_daily(reviews, **median_kw))
+
+
+def daily_fact(most_played: DataFrame, player_counts: DataFrame, daily: DataFrame) -> DataFrame:
+    """The daily fact from reviews that are already aggregated by day."""
     chart = most_played.select(F.col("chart_date").alias("activity_date"),
                                F.col("appid").alias("game_key"),
                                "chart_rank", "last_week_rank", "peak_in_game")
     counts = player_counts.select(F.col("snapshot_date").alias("activity_date"),
                                   F.col("appid").alias("game_key"),
                                   F.col("player_count").alias("snapshot_player_count"))
-    agg = review_daily(reviews, **median_kw).select(
+    agg = daily.select(
         F.col("review_date").alias("activity_date"), F.col("appid").alias("game_key"),
         F.col("reviews_total").alias("_total"), F.col("reviews_positive").alias("_pos"),
         F.col("reviews_negative").alias("_neg"), "avg_weighted_vote_score",

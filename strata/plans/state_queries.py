@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.plans import analogs
 from strata.plans.analogs import table
 from strata.plans.lake_queries import _RUNS, _two_runs
-from strata.plans.oracles import _with
+from strata.plans.oracles import ORACLES as _PLAIN
 from strata.session import scratch_path
 from strata.sources.catalog import DATASETS, Lake
 from strata.sources.ndjson import write_ndjson
@@ -113,7 +113,36 @@ def extract_run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_log(spark, lake).select(F.to_date("run_ts").alias("run_date"), "dataset", "records")
 
 
+def daily_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily fact from partial aggregates merged over three drops. Every eleventh
+    review of the first two drops is extracted again with the third, with another vote,
+    score and playtime than before."""
+    from strata.plans.build import build, gold_tables, load_raw
+    lake, records = Lake(scratch_path(spark, "daily-state")), analogs._api_shaped(spark, sf_dir)
+    reviews = records["reviews"]
+    again = (F.col("recommendationid").cast("bigint") % 11 == 0) & (F.col("_ts") < F.lit("2024-01-21").cast("timestamp_ntz"))
+    first = reviews.where(again).withColumn("timestamp_updated", F.col("timestamp_updated") - 10) \
+        .withColumn("voted_up", ~F.coalesce("voted_up", F.lit(False))).withColumn("weighted_vote_score", F.col("weighted_vote_score") + 1) \
+        .withColumn("author", F.struct(F.col("author.steamid").alias("steamid"), (F.col("author.playtime_at_review") + 5).alias("playtime_at_review")))
+    third = lambda df: F.expr(_BASE.replace("ts <", "_ts <"))
+    for drop in (1, 2, 3):
+        own = third(reviews) == drop
+        landed = {ds: records[ds].where(own) for ds in ("most_played", "player_counts")}
+        landed["reviews"] = reviews.where(own & ~again).unionByName(first.where(own).select(reviews.columns)) if drop < 3 \
+            else reviews.where(own | again)
+        analogs._land(lake, landed)
+        load_raw(spark, lake, datasets=tuple(landed))
+        build(spark, lake, daily_mode="state", run_tests=False)
+    return gold_tables(spark, lake)["fact_daily_game_performance"].select(
+        "activity_date", "game_key", "chart_rank", "last_week_rank", "peak_in_game",
+        "snapshot_player_count", "reviews_total", "reviews_positive", "reviews_negative",
+        F.round("avg_weighted_vote_score", 6).alias("avg_weighted_vote_score"),
+        F.col("median_playtime_at_review_min").cast("double").alias("median_playtime_at_review_min"),
+        "positive_review_ratio")
+
+
 QUERIES = {
+    "daily_state_merge": daily_state_merge,
     "stream_day_bucket": stream_day_bucket,
     "stream_overlap_dedup": stream_overlap_dedup,
     "pipe_status": pipe_status_q,
@@ -126,6 +155,7 @@ m AS (SELECT run, max(date_trunc('millisecond', ts)) - INTERVAL 8 DAY AS mark FR
 k AS (SELECT d.*, coalesce(CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(mark) FROM m WHERE m.run < d.run), FALSE) AS late FROM d)"""
 
 ORACLES = {
+    "daily_state_merge": _PLAIN["daily_fact"],
     "stream_day_bucket": _DAYS + """
 SELECT 'counted' AS kind, 0 AS run, CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM k WHERE NOT late GROUP BY ALL
 UNION ALL

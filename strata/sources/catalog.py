@@ -6,6 +6,7 @@ One root folder (on shared storage) holds every layer::
     bronze/<dataset>/batch_id=N/                      VARIANT documents
     silver/<model>/run=<id>/                          materialized once per build
     gold/<model>/snapshot_version=N/ + _manifest/     versioned gold tables
+    state/daily_reviews/                              mergeable partial aggregates
     ops/{load_ledger,quarantine,run_ledger,trigger_log,pipe_status,extract_log}/
     _checkpoints/{ingest/<dataset>,arrival}/          stream offsets
 """
@@ -56,6 +57,10 @@ class Lake:
     def silver_table(self, model: str) -> str:
         return f"{self.root}/silver_tables/{model}"
 
+    @property
+    def daily_state(self) -> str:
+        return f"{self.root}/state/daily_reviews"
+
     def gold(self, model: str) -> str:
         return f"{self.root}/gold/{model}"
 
