@@ -40,6 +40,12 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return [] if found is None else sorted(st.getPath().toString() for st in found)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a folder."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder and all in it, if it is there."""
     fs, p = _fs(spark, path)

@@ -102,6 +102,11 @@ class SnapshotTable:
     def exists(self) -> bool:
         return self.current() is not None
 
+    def folder(self, version: int, partition: str | None = None) -> str:
+        """Where a version, or a partition written by it, lies."""
+        path = f"{self.root}/{_VDIR}={version:06d}"
+        return path if partition is None else f"{path}/{self.part}={partition}"
+
     # -- reads --------------------------------------------------------------
     def read(self, partitions: list[str] | None = None, at: dict | None = None) -> DataFrame:
         """The table, or some of its partitions; ``at`` is a manifest from ``current``."""

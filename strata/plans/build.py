@@ -23,7 +23,7 @@ from strata import fs
 from strata.functions.variant import vget
 from strata.operators.daily_state import DailyState
 from strata.operators.incremental import SnapshotTable
-from strata.operators.quality import CheckResult, ChecksFailed, model_checks, run_checks
+from strata.operators.quality import CheckResult, ChecksFailed, changed_rows, model_checks, run_checks, run_checks_delta
 from strata.plans import gold, silver
 from strata.session import ensure_session
 from strata.sources.bronze import IngestResult, committed_batches, ingest, read_bronze
@@ -159,7 +159,8 @@ def _utcnow() -> dt.datetime:
 def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
           review_mode: str = "loaded_at", run_tests: bool = True,
           threads: int = 4, daily_mode: str = "touched",
-          silver_mode: str = "incremental", batches: Batches | None = None) -> tuple[list[RunResult], list[CheckResult]]:
+          silver_mode: str = "incremental", batches: Batches | None = None,
+          test_mode: str = "all") -> tuple[list[RunResult], list[CheckResult]]:
     """Run every model in dependency order, each layer followed by its data tests.
 
     A failing test stops what depends on the model: the run is logged and
@@ -173,6 +174,7 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
     ``review_mode="loaded_at"`` merges late files too. ``"view"``, ``"full"`` and ``"strict"`` (skip files that carry an
     already seen stamp) are the reference's behaviour. ``batches`` is a listing made
     earlier (``bronze_batches``); batches committed since are left to the next build.
+    ``test_mode="delta"`` tests what this build has changed (``run_checks_delta``).
     """
     if daily_mode == "state" and silver_mode != "incremental":
         raise ValueError('daily_mode="state" follows the incremental silver tables')
@@ -181,6 +183,7 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
     batches = bronze_batches(spark, lake) if batches is None else batches
     results: list[RunResult] = []
     checks: list[CheckResult] = []
+    since = commits(spark, lake) if test_mode == "delta" else {}
 
     def step(model: str, fn):
         t0 = _utcnow()
@@ -197,7 +200,11 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
         if not run_tests:
             return
         t0 = _utcnow()
-        found = run_checks([c for c in model_checks() if c.table in of and c.table in tables], tables, threads=threads)
+        chosen = [c for c in model_checks() if c.table in of and c.table in tables]
+        if test_mode == "delta":
+            found = run_checks_delta(chosen, tables, {n: t for n, t in stored_models(spark, lake).items() if n in tables}, since, threads)
+        else:
+            found = run_checks(chosen, tables, threads=threads)
         checks.extend(found)
         failed = [c for c in found if not c.passed]
         results.append(RunResult(f"tests ({layer})", "FAILED" if failed else "SUCCEEDED", len(found), t0, _utcnow(),
@@ -251,6 +258,9 @@ def build(spark: SparkSession, lake: Lake, run_id: str | None = None,
             f.result()
     made = gold_tables(spark, lake)
     tested("gold", made, set(jobs))
+    if test_mode == "delta" and "rpt_daily_game_performance" in made:  # the report of the days that changed
+        daily = changed_rows(stored_models(spark, lake)["fact_daily_game_performance"], since.get("fact_daily_game_performance"))
+        made["rpt_daily_game_performance"] = gold.rpt_daily_game_performance(daily, made["dim_game"])
     tested("report", made, set(made) - set(jobs))
     _log_run(spark, lake, run_id, results)
     if silver_mode != "incremental":  # this run's copies have served
@@ -332,6 +342,22 @@ def _merge_daily(spark: SparkSession, lake: Lake, table: SnapshotTable, most_pla
     return table.replace_partitions(fact, days, meta={"bronze_batch": consumed})["rows"]
 
 
+def stored_models(spark: SparkSession, lake: Lake) -> dict[str, SnapshotTable]:
+    """The versioned tables of all models that have been built."""
+    tables = {n: SnapshotTable(spark, lake.silver_table(n), key=keys, partition_by=part)
+              for n, (_, _, keys, part, _) in SILVER_TABLES.items()}
+    tables["dim_game"] = SnapshotTable(spark, lake.gold("dim_game"), key="game_key")
+    tables["fact_review"] = SnapshotTable(spark, lake.gold("fact_review"), key="review_id", partition_by="review_date")
+    tables["fact_daily_game_performance"] = SnapshotTable(spark, lake.gold("fact_daily_game_performance"),
+                                                          key=["activity_date", "game_key"], partition_by="activity_date")
+    return {n: t for n, t in tables.items() if t.exists()}
+
+
+def commits(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """The newest commit of each stored model."""
+    return {n: t.current()["commit"] for n, t in stored_models(spark, lake).items()}
+
+
 def gold_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
     """Current gold tables plus the report view (joined at read time)."""
     out = {}

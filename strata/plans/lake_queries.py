@@ -257,7 +257,7 @@ WITH app AS (
   GROUP BY user_id, run),
 placed AS (SELECT *, (row_number() OVER (PARTITION BY run, user_id // {_CHARTED} ORDER BY user_id) - 1) // 3 AS part FROM app)"""
 
-_CHECKS = ", ".join(f"('{n}', {k})" for n, k in [
+_FAULTS = [
     ("not_null:silver_most_played.appid", "0"), ("not_null:silver_most_played.chart_rank", "0"),
     ("unique:silver_reviews.review_id", "0"), ("not_null:silver_reviews.review_id", "0"),
     ("not_null:silver_reviews.appid", "0"), ("not_null:silver_app_details.appid", "0"),
@@ -269,7 +269,9 @@ _CHECKS = ", ".join(f"('{n}', {k})" for n, k in [
      "(SELECT count(*) FROM (SELECT user_id FROM r WHERE event_id % 10 > 0 UNION ALL SELECT user_id FROM r WHERE event_id % 100 = 1) x "
      "WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'view'))"),
     ("not_null:fact_daily_game_performance.game_key", "0"), ("not_null:fact_daily_game_performance.activity_date", "0"),
-    ("not_null:rpt_daily_game_performance.game_name", "0"), ("grain:fact_daily_game_performance(activity_date,game_key)", "0")])
+    ("not_null:rpt_daily_game_performance.game_name", "0"), ("grain:fact_daily_game_performance(activity_date,game_key)", "0")]
+_CHECKS = ", ".join(f"('{n}', {k})" for n, k in _FAULTS)
+_CHECK_NAMES = [n for n, _ in _FAULTS]
 
 ORACLES = {
     "incremental_concurrent_arrival": _with("SELECT * FROM rpt"),

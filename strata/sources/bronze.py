@@ -123,32 +123,114 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def committed_batches(spark: SparkSession, bronze: str) -> list[int]:
-    """Batch ids whose folder is fully committed (``_SUCCESS`` present).
+@dataclass(frozen=True)
+class Unit:
+    """A committed bronze folder: one batch, or a compacted range of batches."""
+
+    first: int
+    last: int
+    path: str
+
+    @property
+    def compacted(self) -> bool:
+        return "/batches=" in self.path
+
+
+def committed_units(spark: SparkSession, bronze: str, covered: bool = False) -> list[Unit]:
+    """The folders that make up the table, in order of their batches (one listing).
 
-    A folder that is still being written is invisible here, so a consumer
-    that tracks the last batch it read can never skip part of a batch.
+    A folder counts once it is fully committed (``_SUCCESS`` present), so a folder still
+    being written is invisible, and a consumer that tracks the last batch it read can never
+    skip part of one. A folder within a compacted range is superseded; ``covered`` returns
+    those instead.
     """
     from strata import fs
-    found = fs.glob(spark, f"{bronze.rstrip('/')}/batch_id=*/_SUCCESS")
-    return sorted(int(p.rsplit("/", 2)[-2].split("=", 1)[1]) for p in found)
+    found = []
+    for p in fs.glob(spark, f"{bronze.rstrip('/')}/{{batch_id,batches}}=*/_SUCCESS"):
+        path = p.rsplit("/", 1)[0]
+        ends = path.rsplit("=", 1)[1].split("-")
+        found.append(Unit(int(ends[0]), int(ends[-1]), path))
+    found.sort(key=lambda u: (u.first, -u.last, not u.compacted))
+    top, under = [], []
+    for u in found:
+        (under if top and u.last <= top[-1].last else top).append(u)
+    return under if covered else top
+
+
+def committed_batches(spark: SparkSession, bronze: str) -> list[int]:
+    """Ids of all committed batches."""
+    return [b for u in committed_units(spark, bronze) for b in range(u.first, u.last + 1)]
 
 
 def read_bronze(spark: SparkSession, bronze: str, after_batch: int | None = None,
                 batches: list[int] | None = None) -> DataFrame:
     """The bronze table: every committed batch, or those after ``after_batch``.
 
-    Only the selected batch folders are listed and read (partition pruning by
-    construction).
+    Only the folders that hold selected batches are read; a compacted one is filtered by
+    ``batch_id`` if only some of its batches are wanted.
     """
-    ids = committed_batches(spark, bronze) if batches is None else batches
-    if after_batch is not None:
-        ids = [b for b in ids if b > after_batch]
-    if not ids:
-        return spark.createDataFrame([], BRONZE_SCHEMA)
-    root = bronze.rstrip("/")
-    return (spark.read.schema(BRONZE_SCHEMA).option("basePath", root)
-                 .parquet(*[f"{root}/batch_id={b}" for b in ids]))
+    units = committed_units(spark, bronze)
+    wanted = None if batches is None else set(batches)
+    chosen = lambda b: (wanted is None or b in wanted) and (after_batch is None or b > after_batch)
+    singles, out = [], None
+    for u in units:
+        ids = [b for b in range(u.first, u.last + 1) if chosen(b)]
+        if not ids:
+            continue
+        if not u.compacted:
+            singles.append(u.path)
+            continue
+        part = spark.read.schema(BRONZE_SCHEMA).parquet(u.path)
+        if len(ids) < u.last - u.first + 1:  # ids of a consumer are a run, but need not be
+            run = F.col("batch_id").between(ids[0], ids[-1])
+            part = part.where(run if len(ids) == ids[-1] - ids[0] + 1 else F.col("batch_id").isin(ids))
+        out = part if out is None else out.unionByName(part)
+    if singles:
+        part = spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze.rstrip("/")).parquet(*singles)
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], BRONZE_SCHEMA) if out is None else out
+
+
+#: A compacted folder holds about this much, in files of about that much.
+COMPACTED_BYTES, FILE_BYTES = 8 << 30, 256 << 20
+
+
+def compact_bronze(spark: SparkSession, bronze: str, keep: int = 1, most_bytes: int = COMPACTED_BYTES) -> list[Unit]:
+    """Rewrite runs of neighbouring folders into few larger ones; the newest ``keep`` batches
+    stay as they are. Returns the new folders.
+
+    Neighbours are packed in order until a folder would exceed ``most_bytes``. A new folder
+    counts from its ``_SUCCESS`` on, at which moment the folders it covers stop counting;
+    they are deleted by the next compaction, so builds that listed them before can end. So
+    a compaction that is broken off at any point loses and doubles nothing, and the next
+    one takes it up again.
+    """
+    from strata import fs
+    for u in committed_units(spark, bronze, covered=True):
+        fs.delete(spark, u.path)
+    units = committed_units(spark, bronze)
+    units = units[:max(0, len(units) - keep)]
+    bins: list[list[Unit]] = []
+    held = 0
+    for u in units:
+        size = fs.size(spark, u.path)
+        if bins and u.first == bins[-1][-1].last + 1 and held + size <= most_bytes:
+            bins[-1].append(u)
+            held += size
+        else:
+            bins.append([u])
+            held = size
+    made = []
+    for group in bins:
+        if len(group) == 1:
+            continue
+        new = Unit(group[0].first, group[-1].last, f"{bronze.rstrip('/')}/batches={group[0].first}-{group[-1].last}")
+        rows = read_bronze(spark, bronze, batches=list(range(new.first, new.last + 1)))
+        files = max(1, -(-sum(fs.size(spark, u.path) for u in group) // FILE_BYTES))
+        rows.repartitionByRange(files, "batch_id", "_file", F.xxhash64(F.to_json("payload"))) \
+            .write.mode("overwrite").parquet(new.path)
+        made.append(new)
+    return made
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
