@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -65,6 +67,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once for an application: only the driver's own
+    path tells where it was loaded from."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        home = os.path.dirname(os.path.abspath(__file__))
+        packed = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="strata-package-"), "strata"), "zip",
+                                     os.path.dirname(home), os.path.basename(home))
+        spark.sparkContext.addPyFile(packed)  # the driver serves it; nothing else reads this folder
+        _SHIPPED.add(app)
+
+
 def cluster_settings(input_bytes: int, executor_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Starting settings for a cluster run over ``input_bytes`` of input.
 
