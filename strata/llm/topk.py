@@ -31,11 +31,11 @@ FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
 def weights(vectors: DataFrame) -> DataFrame:
-    """``vec_id`` and ``w``, an array of whole numbers (as doubles), one row for each id.
+    """``vec_id`` and ``w``, an array of whole numbers (as doubles), for each usable row.
 
     Rows with a null id, and vectors that are null or hold a null or non-finite component,
-    are left out; an empty vector scores 0 with all. Of several rows with one id the
-    smallest vector counts.
+    are left out; an empty vector scores 0 with all. Rows that share an id are candidates
+    each on its own; as queries they ask together, and none is a candidate for them.
     """
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"),
                           F.col("embedding").cast("array<double>").alias("x")) \
@@ -43,7 +43,7 @@ def weights(vectors: DataFrame) -> DataFrame:
         .where(F.forall("x", lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.lit(False))))
     # floor of a large double must not pass through a long
     whole = F.transform("x", lambda c: F.when(F.abs(c) < 2.0 ** 46, F.floor(c * SCALE).cast("double")).otherwise(c * SCALE))
-    return rows.select("vec_id", whole.alias("w")).groupBy("vec_id").agg(F.min("w").alias("w"))
+    return rows.select("vec_id", whole.alias("w"))
 
 
 def _matrix(rows: pd.Series, terms: int) -> np.ndarray:

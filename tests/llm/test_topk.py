@@ -8,17 +8,12 @@ from strata.llm import topk
 
 
 def plain(rows, k, every):
-    best = {}
-    for i, x in rows:
-        if i is None or x is None or any(c is None or not math.isfinite(c) for c in x):
-            continue
-        w = [math.floor(64 * c) for c in x]
-        best[i] = min(w, best.get(i, w))
+    use = [(i, [math.floor(64 * c) for c in x]) for i, x in rows
+           if i is not None and x is not None and all(c is not None and math.isfinite(c) for c in x)]
     out = {}
-    for q in best:
-        if q % every == 0:
-            scores = sorted(((-sum(a * b for a, b in zip(best[q], best[i])), i) for i in best if i != q))
-            out[q] = [(i, -s) for s, i in scores[:k]]
+    for q in {i for i, _ in use if i % every == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(w, v)), i) for p, w in use if p == q for i, v in use if i != q)
+        out[q] = [(i, -s) for s, i in scores[:k]]
     return out
 
 
@@ -46,6 +41,12 @@ def test_nothing_and_few(spark):
         == [(1, 8192, 1), (2, 8192, 2)]
 
 
+def test_rows_that_share_an_id_are_all_candidates(spark):
+    rows = [(1, [1.0, 0.0]), (1, [5.0, 0.0]), (2, [2.0, 0.0]), (0, [1.0, 0.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), F.col("vec_id") % 20 == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 20480), (2, 8192), (1, 4096)]
+
+
 def test_huge_weights_stay_exact():
     q, block = np.array([[2.0 ** 60, 1.0]]), np.array([[4.0, 3.0], [-8.0, 1.0], [1.0, 1.0]])
     assert topk._scores(q, block).tolist() == [[4 * 2 ** 60 + 3, -(2 ** 63) + 1, 2 ** 60 + 1]]
