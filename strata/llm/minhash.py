@@ -15,15 +15,20 @@ Each list first meets through one member, its hub. A member's best pair with a h
 agrees on MATCHES coordinates, is confirmed on the full sets, and confirmed links make
 components. Members that are not in their list's largest component yet meet it through
 other hubs, again and again while that confirms many. What is still apart then is compared
-without exception: lists are cut into blocks, blocks meet, and only pairs of different
-components that agree on MATCHES coordinates leave the meeting. So no link is left out,
-and pairs inside a component are not looked at. Sets whose sizes alone forbid the overlap
-never meet, and counting works on one byte of each coordinate, which can only let more
-pairs through to the confirmation.
+without exception: lists are cut into blocks, and blocks meet, twice. First with the
+signatures, which tells who agrees with anyone of another component; then with the full
+sets of those alone and signatures that are made longer for them (LONGER more coordinates).
+There every pair that still agrees is confirmed on the spot, unless links have joined the
+two already, and only the links of a spanning forest leave the meeting. Two members with
+several common lists are compared in one of them. So no link between different
+components is left out, no pair is ever listed, and pairs inside a component are not looked
+at. Sets whose sizes alone forbid the overlap never meet, and counting works on one byte
+of each coordinate, which can only let more pairs through to the confirmation.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +40,12 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import U64, mix64, pieces, stored, texts_of, with_few
 
-#: Coordinates of a signature, and on how many of them a pair must agree to be confirmed:
-#: at a likeness of 0.8, some 51 of 64 agree, and fewer than 40 once in two thousand.
-COORDINATES, MATCHES = 64, 40
+#: Coordinates of a signature, and how many are added to it for the last comparison.
+COORDINATES, LONGER = 64, 128
+#: A pair must agree on as many coordinates as its least likeness lets expect, less so many
+#: standard deviations: at 0.8 on 40 of 64 (51 are expected, fewer than 40 agree once in
+#: two thousand) and on 134 of 192.
+SIGMAS = 3.5
 #: Counters that rank entries by frequency (they may share one: any order is right).
 COUNTERS = 1 << 18
 #: Members of a block of a long list.
@@ -49,6 +57,14 @@ MEMO = 1 << 17
 _RNG = np.random.Generator(np.random.PCG64(8))
 _TIMES = _RNG.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * U64(2) + U64(1)
 _PLUS = _RNG.integers(0, 1 << 62, COORDINATES, dtype=np.uint64)
+_TIMES_LONGER = _RNG.integers(1, 1 << 62, LONGER, dtype=np.uint64) * U64(2) + U64(1)
+_PLUS_LONGER = _RNG.integers(0, 1 << 62, LONGER, dtype=np.uint64)
+
+
+def least_matches(percent: int, coordinates: int = COORDINATES) -> int:
+    """Coordinates on which a pair of a likeness of ``percent`` agrees but for a rare chance."""
+    p = percent / 100
+    return max(1, math.floor(coordinates * p - SIGMAS * math.sqrt(coordinates * p * (1 - p))))
 
 
 class Words(dict):
@@ -74,11 +90,11 @@ def shingles(text: str, size: int, words: Words) -> np.ndarray:
     return np.unique(whole)
 
 
-def signature(found: np.ndarray) -> np.ndarray:
+def signature(found: np.ndarray, times: np.ndarray = _TIMES, plus: np.ndarray = _PLUS) -> np.ndarray:
     """The least 32-bit hash by each function."""
-    least = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
+    least = np.full(len(times), 0xFFFFFFFF, np.uint32)
     for lo in range(0, len(found), 2048):
-        hashed = (found[lo:lo + 2048, None] * _TIMES + _PLUS) >> U64(32)
+        hashed = (found[lo:lo + 2048, None] * times + plus) >> U64(32)
         np.minimum(least, hashed.min(axis=0).astype(np.uint32), out=least)
     return least
 
@@ -150,18 +166,18 @@ def _frequencies(classes: DataFrame) -> np.ndarray:
     return out
 
 
-def _postings(classes: DataFrame, frequencies: np.ndarray) -> DataFrame:
+def _postings(classes: DataFrame, frequencies: np.ndarray, matches: int) -> DataFrame:
     """``entry``, ``id`` and set size ``n``: the rarest entries of each class, enough for any
     pair to meet."""
     sent = classes.sparkSession.sparkContext.broadcast(frequencies)
-    most = COORDINATES - MATCHES + 1
+    most = COORDINATES - matches + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
                 piece = batch.slice(lo, 4096)
                 entries = _entries(piece.column("sig").to_pylist())
-                order = np.lexsort((entries, sent.value[_counter(entries)]), axis=1)[:, :most]
+                order = _prefix(entries, sent.value, matches)
                 entry = np.take_along_axis(entries, order, 1).ravel().view(np.int64)
                 own = [pa.array(np.repeat(piece.column(c).to_numpy(), most)) for c in ("id", "n")]
                 yield pa.RecordBatch.from_arrays([pa.array(entry), *own], ["entry", "id", "n"])
@@ -169,33 +185,59 @@ def _postings(classes: DataFrame, frequencies: np.ndarray) -> DataFrame:
     return classes.select("id", "n", "sig").mapInArrow(run, "entry bigint, id bigint, n int")
 
 
-def _narrowed(classes: DataFrame) -> DataFrame:
-    """``id`` and one byte of each coordinate of its signature."""
+def _prefix(entries: np.ndarray, frequencies: np.ndarray, matches: int) -> np.ndarray:
+    """The coordinates of each class's rarest entries, enough for any pair to meet."""
+    return np.lexsort((entries, frequencies[_counter(entries)]), axis=1)[:, :COORDINATES - matches + 1]
+
+
+def _narrowed(classes: DataFrame, frequencies: np.ndarray, matches: int) -> DataFrame:
+    """``id``, one byte of each coordinate of its signature, and its prefix: which
+    coordinates (bits of ``mask``) and their whole values."""
+    sent = classes.sparkSession.sparkContext.broadcast(frequencies)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                low = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, COORDINATES, 4)[:, :, 0]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([r.tobytes() for r in low], pa.binary())], ["id", "sig"])
+            for lo in range(0, batch.num_rows, 4096):
+                piece = batch.slice(lo, 4096)
+                entries = _entries(piece.column("sig").to_pylist())
+                at = np.sort(_prefix(entries, sent.value, matches), axis=1)
+                value = (entries >> U64(8)).astype("<u4")
+                mask = np.bitwise_or.reduce(U64(1) << at.astype(U64), axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("id"), pa.array([r.tobytes() for r in value.astype(np.uint8)], pa.binary()), pa.array(mask),
+                     pa.array([r.tobytes() for r in np.take_along_axis(value, at, 1)], pa.binary())], ["id", "sig", "mask", "prefix"])
 
-    return classes.select("id", "sig").mapInArrow(run, "id bigint, sig binary")
+    return classes.select("id", "sig").mapInArrow(run, "id bigint, sig binary, mask bigint, prefix binary")
 
 
 def _narrow(sig: list[bytes]) -> np.ndarray:
     """One byte of each coordinate."""
-    return np.frombuffer(b"".join(sig), np.uint8).reshape(-1, COORDINATES)
+    return np.frombuffer(b"".join(sig), np.uint8).reshape(len(sig), -1)
+
+
+def _longer(sets: DataFrame) -> DataFrame:
+    """``id``, ``set`` and one byte of each of LONGER more coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column("set")
+            more = [signature(found[i].values.to_numpy().view(U64), _TIMES_LONGER, _PLUS_LONGER).astype(np.uint8).tobytes()
+                    for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), found, pa.array(more, pa.binary())], ["id", "set", "more"])
 
+    return sets.mapInArrow(run, "id bigint, set array<bigint>, more binary")
 
-def _agreeing(pairs: DataFrame, narrow: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) that agree on MATCHES coordinates or more, and on how many."""
-    both = pairs.join(narrow.toDF("a", "sig_a"), "a").join(narrow.toDF("b", "sig_b"), "b")
+
+def _agreeing(pairs: DataFrame, narrow: DataFrame, matches: int) -> DataFrame:
+    """The pairs (``a``, ``b``) that agree on enough coordinates, and on how many."""
+    both = pairs.join(narrow.select("id", "sig").toDF("a", "sig_a"), "a").join(narrow.select("id", "sig").toDF("b", "sig_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 same = (_narrow(batch.column("sig_a").to_pylist()) == _narrow(batch.column("sig_b").to_pylist())).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same, pa.int32())], ["a", "b", "same"]) \
-                    .filter(pa.array(same >= MATCHES))
+                    .filter(pa.array(same >= matches))
 
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint, same int")
 
@@ -206,9 +248,13 @@ class Sets:
     def __init__(self, docs: DataFrame, size: int, unique_ids: bool) -> None:
         self.docs, self.size, self.unique_ids, self.known = docs, size, unique_ids, None
 
-    def of(self, pairs: DataFrame) -> DataFrame:
-        spark = pairs.sparkSession
-        ids = stored(spark, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "minhash-needed")
+    def of(self, *columns: DataFrame) -> DataFrame:
+        """``id`` and ``set`` of the ids in some columns."""
+        spark = columns[0].sparkSession
+        ids = columns[0].toDF("id")
+        for c in columns[1:]:
+            ids = ids.union(c.toDF("id"))
+        ids = stored(spark, ids.distinct(), "minhash-needed")
         new = ids if self.known is None else ids.join(self.known.select("id"), "id", "left_anti")
         new = stored(spark, new.select(F.col("id").alias("doc_id")), "minhash-new")
         if self.known is None or not new.isEmpty():
@@ -280,43 +326,103 @@ def _through_hubs(spark: SparkSession, postings: DataFrame, turn: int, percent:
     return met.where(_may_overlap("n", "m", percent)).select("a", "b").distinct()
 
 
-def _in_blocks(spark: SparkSession, postings: DataFrame, narrow: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share a list and agree on MATCHES coordinates.
+MEMBER = "entry bigint, x int, y int, block int, id bigint, n int, label bigint, sig binary, mask bigint, prefix binary, `group` bigint"
+
+
+def _whole(mask: np.ndarray, prefix: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Members x COORDINATES: whether a coordinate is in the prefix, and its value there."""
+    inside = (mask.view(U64)[:, None] >> np.arange(COORDINATES, dtype=U64) & U64(1)).astype(bool)
+    value = np.zeros(inside.shape, np.uint32)
+    value[inside] = np.frombuffer(b"".join(prefix), "<u4")
+    return inside, value
+
+
+def _pairs(pdf: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """A member's row and the rows of those of other components that agree with it enough,
+    for the meetings (entry, x, y) of one group. Two members that share several lists meet
+    in that of the lowest coordinate only."""
+    key = pdf[["entry", "x", "y"]].to_numpy()
+    cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
+    n, label, block, sig = pdf.n.to_numpy(), pdf.label.to_numpy(), pdf.block.to_numpy(), _narrow([*pdf.sig])
+    inside, value = _whole(pdf["mask"].to_numpy(), [*pdf.prefix])
+    matches = least_matches(percent, sig.shape[1])
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        x, y, own = key[lo, 1], key[lo, 2], key[lo, 0] & 0xFF
+        for i in range(lo, hi):
+            if block[i] != x:
+                continue
+            at = np.arange(i + 1 if x == y else lo, hi)
+            at = at[(block[at] == y) & (label[at] != label[i]) & (100 * n[at] >= percent * n[i]) & (100 * n[i] >= percent * n[at])]
+            if len(at):
+                at = at[(sig[at] == sig[i]).sum(axis=1) >= matches]
+                before = (inside[at, :own] & inside[i, :own] & (value[at, :own] == value[i, :own])).any(axis=1)
+                at = at[~before]
+                if len(at):
+                    yield i, at
+
+
+def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
+    return pdf.sort_values(["entry", "x", "y"], kind="stable", ignore_index=True)
+
+
+def _who_agrees(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """The members that agree with anyone of another component in their meeting."""
+    pdf = _sorted(pdf)
+    some = np.zeros(len(pdf), bool)
+    for i, at in _pairs(pdf, percent):
+        some[i] = True
+        some[at] = True
+    return pdf[some]
+
+
+def _forest(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links, confirmed on full sets, that join all components which links of this group
+    join: at most one fewer than there are components."""
+    pdf = _sorted(pdf)
+    ids, label, sets = pdf.id.to_numpy(), pdf.label.to_numpy(), pdf.set.to_numpy()
+    over: dict[int, int] = {}
+
+    def root(v: int) -> int:
+        while over.get(v, v) != v:
+            over[v] = over.get(over[v], over[v])
+            v = over[v]
+        return v
+
+    a, b = [], []
+    for i, at in _pairs(pdf, percent):
+        for j in at:
+            one, two = root(label[i]), root(label[j])
+            if one == two:
+                continue
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                over[max(one, two)] = min(one, two)
+                a.append(ids[i])
+                b.append(ids[j])
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def _in_blocks(spark: SparkSession, postings: DataFrame, narrow: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """Links that join all components which any link between members of one list joins.
 
     Lists are cut into blocks by hash; two blocks of a list, or one with itself, meet in
-    one group, whose size is bounded; only agreeing pairs come out."""
-    sizes = stored(spark, postings.groupBy("entry").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "minhash-blocks")
-    rows = postings.join(narrow, "id").join(sizes, "entry") \
+    one group, whose size is bounded."""
+    # only lists of several blocks are named; the rows stay narrow until the last exchange
+    sizes = stored(spark, postings.groupBy("entry").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1"),
+                   "minhash-blocks")
+    rows = postings.select("entry", "id", "n", "label").join(sizes, "entry", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))) \
         .withColumn("block", F.pmod(F.xxhash64("id", "entry"), F.col("blocks")).cast("int"))
     meetings = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least("block", other).alias("x"), F.greatest("block", other).alias("y"))))
     # short lists share groups, so that groups are of one order of size
     groups = max(1, postings.count() // (8 * BLOCK))
-    dealt = rows.withColumn("m", meetings).select("entry", "m.x", "m.y", "block", "id", "n", "label", "sig", "blocks") \
+    dealt = rows.withColumn("m", meetings).select("entry", "m.x", "m.y", "block", "id", "n", "label", "blocks") \
         .withColumn("group", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("entry"), F.lit(groups)))
-                    .otherwise(F.xxhash64("entry", "x", "y"))).drop("blocks")
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["entry", "x", "y"], kind="stable")
-        key = pdf[["entry", "x", "y"]].to_numpy()
-        cuts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1), True])
-        ids, n, label, block, sig = pdf.id.to_numpy(), pdf.n.to_numpy(), pdf.label.to_numpy(), pdf.block.to_numpy(), _narrow([*pdf.sig])
-        a, b = [], []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            x, y = key[lo, 1], key[lo, 2]
-            for i in range(lo, hi):
-                if block[i] != x:
-                    continue
-                at = np.arange(i + 1 if x == y else lo, hi)
-                at = at[(block[at] == y) & (label[at] != label[i]) & (100 * n[at] >= percent * n[i]) & (100 * n[i] >= percent * n[at])]
-                if len(at):
-                    at = at[(sig[at] == sig[i]).sum(axis=1) >= MATCHES]
-                    a.extend([ids[i]] * len(at))
-                    b.extend(ids[at])
-        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-
-    pairs = dealt.groupBy("group").applyInPandas(meet, "a bigint, b bigint")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+                    .otherwise(F.xxhash64("entry", "x", "y"))).drop("blocks").join(narrow, "id") \
+        .select("entry", "x", "y", "block", "id", "n", "label", "sig", "mask", "prefix", "group")
+    agree = stored(spark, dealt.groupBy("group").applyInPandas(lambda pdf: _who_agrees(pdf, percent), MEMBER), "minhash-agree")
+    met = agree.join(_longer(sets.of(agree.select("id"))), "id").withColumn("sig", F.concat("sig", "more")).drop("more")
+    return met.groupBy("group").applyInPandas(lambda pdf: _forest(pdf, percent), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -336,16 +442,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     classes = stored(spark, usable.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "sig", "n_shingles")).alias("least"))
                      .select("k1", "k2", F.col("least.doc_id").alias("id"), F.col("least.sig").alias("sig"),
                              F.col("least.n_shingles").cast("int").alias("n")), "minhash-classes")
-    narrow = stored(spark, _narrowed(classes), "minhash-narrow")
+    matches, frequencies = least_matches(percent), _frequencies(classes)
+    narrow = stored(spark, _narrowed(classes, frequencies, matches), "minhash-narrow")
     unique_ids = usable.groupBy("doc_id").count().where("count > 1").isEmpty()
     sets, links, labels, turn, last = Sets(docs, size, unique_ids), None, None, 0, False
-    open_lists = _unsettled(spark, stored(spark, _postings(classes, _frequencies(classes)), "minhash-postings"), None)
+    open_lists = _unsettled(spark, stored(spark, _postings(classes, frequencies, matches), "minhash-postings"), None)
     while not last and not open_lists.isEmpty():
-        met = _agreeing(_through_hubs(spark, open_lists, turn, percent), narrow)
+        met = _agreeing(_through_hubs(spark, open_lists, turn, percent), narrow, matches)
         best = F.max(F.struct("same", "b")).getField("b").alias("b")  # one hub for a member and turn
         pairs = stored(spark, met.groupBy("a").agg(best), "minhash-pairs")
         tried = pairs.count()
-        found = stored(spark, _confirmed(pairs, sets.of(pairs), percent), "minhash-links")
+        found = stored(spark, _confirmed(pairs, sets.of(pairs.select("a"), pairs.select("b")), percent), "minhash-links")
         links = found if links is None else links.unionByName(found)
         joined = found.count()
         last = tried < FEW_PAIRS or joined < ENOUGH * tried
@@ -354,8 +461,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             open_lists = _unsettled(spark, open_lists, labels)
         turn += 1
     if last and not open_lists.isEmpty():
-        pairs = stored(spark, _in_blocks(spark, open_lists, narrow, percent), "minhash-pairs")
-        links = links.unionByName(stored(spark, _confirmed(pairs, sets.of(pairs), percent), "minhash-links"))
+        links = links.unionByName(stored(spark, _in_blocks(spark, open_lists, narrow, sets, percent), "minhash-links"))
         labels = components(spark, links)
     named = rows.join(classes.select("k1", "k2", "id"), ["k1", "k2"], "left")
     if labels is not None:
@@ -372,9 +478,9 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest ``doc_id`` of each group of near copies, all its columns.
 
-    A row without a ``doc_id`` is linked with nothing and kept; such rows don't go through
+    Rows that share a kept ``doc_id`` all stay, even with different texts. A row without a ``doc_id`` is linked with nothing and kept; such rows don't go through
     the join, where all of them would meet in one task."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    kept = near_duplicates(docs, size=2).where("kept").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
     return named.unionByName(docs.where(F.col("doc_id").isNull()))
 
