@@ -10,35 +10,43 @@ Piece probabilities are expected counts: a forward-backward pass over every word
 every training text, starting from equal probabilities of all pieces (one step of
 expectation maximisation, more on request).
 
-Words are handled many at a time: position by position, length by length, with one
-numpy operation for all words, and a worker remembers what it has scored.
+Words of like length are handled many at a time: position by position, length by
+length, with one numpy operation for all words. Each distinct word of a language passes
+the forward-backward recursion once, weighted by how often it occurs, and a scoring
+worker remembers what it has scored. Pieces have any length and words are never cut:
+sums over words beyond LINEAR bytes are kept as logarithms, and their occurrences of
+pieces are found a stretch of positions at a time.
 """
 
 from __future__ import annotations
 
 import base64
-import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import U64, fold_is, mix64, pieces, texts_of
+from strata.llm.common import U64, fold_is, mix64, pieces, stored, texts_of
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: A word: letters (Unicode category L) with the marks that follow them.
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: Bytes that no word holds: its ASCII letters are lower-cased.
+FOREIGN = frozenset(range(128)) - frozenset(b"abcdefghijklmnopqrstuvwxyz")
 #: A count that each piece of each language starts from.
 PRIOR = 0.1
-#: Pieces of the vocabulary up to so many bytes are used (all single bytes are among them).
-LONGEST_PIECE = 8
-#: Longer words are cut into parts of so many bytes, whose probabilities multiply.
-LONGEST = 48
-#: Probabilities are kept times this for each byte, lest products vanish.
-LIFT = 16.0
+#: Products of up to so many bytes are kept as they are, times LIFT for each byte, lest they
+#: vanish; those of longer words as logarithms.
+LINEAR, LIFT = 48, 16.0
+#: Numbers in a group of words handled at once (positions x words x languages).
+AREA = 1 << 21
+#: Different words that a counting task holds before it passes them on.
+HELD = 1 << 18
 MEMO = 1 << 18
 TABLE_BITS = 20
 
@@ -47,8 +55,9 @@ class Vocabulary:
     """Pieces by hash, for looking up all substrings of one length at once."""
 
     def __init__(self, names: list[bytes]) -> None:
-        self.names = sorted({n for n in names if 0 < len(n) <= LONGEST_PIECE})
-        self.longest = max(map(len, self.names))
+        self.names = sorted({n for n in names if n})
+        #: the longest piece that a word can hold
+        self.longest = max((len(n) for n in self.names if FOREIGN.isdisjoint(n)), default=1)
         keys = np.array([self._key(n) for n in self.names], U64)
         # slots of equal high bits are filled one after the other
         self.keys = np.zeros((1 << TABLE_BITS) + 64, U64)
@@ -65,7 +74,10 @@ class Vocabulary:
 
     @staticmethod
     def _key(name: bytes) -> int:
-        return int(substring_keys(np.frombuffer(name, np.uint8).astype(U64), len(name))[-1][0])
+        key = np.zeros(1, U64)
+        for letter in name:
+            key = longer(key, np.array([letter], np.uint8))
+        return int(mix64(key + U64(len(name)))[0])
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The piece of each key, -1 if none."""
@@ -80,81 +92,121 @@ class Vocabulary:
         return out
 
 
-def substring_keys(letters: np.ndarray, longest: int) -> list[np.ndarray]:
-    """For each length from 1, the keys of all substrings, by their start."""
-    out, key = [], np.zeros(len(letters), U64)
-    for n in range(1, min(longest, len(letters)) + 1):
-        key = key[:len(letters) - n + 1] * U64(0x100000001B3) + letters[n - 1:] + U64(1)
-        out.append(mix64(key + U64(n)))
-    return out
+def longer(keys: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """The keys, before mixing, of substrings that grow by one letter."""
+    return keys * U64(0x100000001B3) + letters.astype(U64) + U64(1)
+
+
+def groups(words: list[bytes], width: int) -> Iterator[np.ndarray]:
+    """All words' numbers, longest first, in groups of about AREA numbers (at least a word)."""
+    order = np.argsort([-len(w) for w in words], kind="stable")
+    at = 0
+    while at < len(order):
+        to = at + max(1, AREA // ((len(words[order[at]]) + 1) * max(1, width)))
+        yield order[at:to]
+        at = to
 
 
 class Lattice:
-    """Occurrences of pieces in words: for each end position, those that end there.
+    """Occurrences of pieces in words, which come longest first.
 
-    Words are laid one after the other, longest first, so that the words that reach
-    a position are a prefix of all words.
+    The words that reach a position are a prefix of all words; letters lie position by
+    position, padded beyond a word's end with a letter of no piece.
     """
 
     def __init__(self, words: list[bytes], vocabulary: Vocabulary) -> None:
-        order = sorted(range(len(words)), key=lambda i: -len(words[i]))
-        self.order = np.array(order, np.int64)
-        self.lengths = np.array([len(words[i]) for i in order], np.int64)
-        self.steps: list[list[tuple[int, np.ndarray, np.ndarray]]] = []
-        joined = b"".join(words[i] for i in order)
-        letters = np.frombuffer(joined, np.uint8).astype(U64)
-        starts = np.cumsum(self.lengths) - self.lengths
-        most = int(self.lengths[0])
-        found = []
-        for n, keys in enumerate(substring_keys(letters, min(vocabulary.longest, most)), 1):
-            piece = vocabulary.find(keys)
-            found.append(piece)
-        for end in range(1, most + 1):
-            reach = int(np.searchsorted(-self.lengths, -end, side="right"))
-            step = []
-            for n in range(1, min(end, len(found)) + 1):
-                piece = found[n - 1][starts[:reach] + end - n]
-                word = np.flatnonzero(piece >= 0)
-                if len(word):
-                    step.append((n, word, piece[word]))
-            self.steps.append(step)
-
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """Lifted sums over the segmentations of each prefix: positions x words x languages."""
-        out = np.zeros((len(self.steps) + 1, len(self.lengths), p.shape[1]))
-        out[0] = 1
-        for end, step in enumerate(self.steps, 1):
+        self.vocabulary = vocabulary
+        self.lengths = np.array([len(w) for w in words], np.int64)
+        self.most = int(self.lengths[0])
+        self.linear = self.most <= LINEAR
+        padded = np.frombuffer(b"".join(w.ljust(self.most, b" ") for w in words), np.uint8).reshape(len(words), self.most)
+        self.letters = np.where(np.arange(self.most) < self.lengths[:, None], padded, np.uint16(1 << 9)).T
+        self.stretch = max(vocabulary.longest, AREA // (2 * len(words)))
+        self.kept = self._steps(0) if self.most <= self.stretch else None
+
+    def _steps(self, lo: int) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
+        """For each end position of the stretch after ``lo``: (length, words, pieces) found there."""
+        hi = min(self.most, lo + self.stretch)
+        steps: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(lo, hi)]
+        begin = max(0, lo - self.vocabulary.longest + 1)
+        keys = np.zeros((hi - begin, self.letters.shape[1]), U64)
+        for n in range(1, min(self.vocabulary.longest, hi) + 1):
+            starts = hi - n + 1 - begin  # substrings from begin on that end by hi
+            if starts <= 0:
+                break
+            reach = int(np.searchsorted(-self.lengths, -n, side="right"))
+            keys = longer(keys[:starts, :reach], self.letters[begin + n - 1:hi, :reach])
+            first = max(0, lo + 1 - n - begin)  # those that end after lo
+            piece = self.vocabulary.find(mix64(keys[first:].ravel() + U64(n)))
+            hit = np.flatnonzero(piece >= 0)
+            row, word = hit // max(1, reach), hit % max(1, reach)
+            ends, at = np.unique(row, return_index=True)
+            for end, a, b in zip(ends.tolist(), at.tolist(), [*at.tolist()[1:], len(hit)]):
+                steps[begin + first + end + n - 1 - lo].append((n, word[a:b], piece[hit[a:b]]))
+        return steps
+
+    def _walk(self, back: bool = False) -> Iterator[tuple[int, list[tuple[int, np.ndarray, np.ndarray]]]]:
+        """Each end position with its occurrences, in order or from the last to the first."""
+        starts = range(0, self.most, self.stretch)
+        for lo in reversed(starts) if back else starts:
+            steps = self.kept if self.kept is not None else self._steps(lo)
+            for i in range(len(steps) - 1, -1, -1) if back else range(len(steps)):
+                yield lo + i + 1, steps[i]
+
+    def _forward(self, of_piece) -> np.ndarray:
+        """Sums over the segmentations of each prefix: positions x words (x languages).
+
+        Lifted in linear form, else logarithms; ``of_piece(word, piece)`` gives factors alike."""
+        shape = of_piece(np.zeros(1, np.int64), np.zeros(1, np.int64)).shape[1:]
+        out = np.full((self.most + 1, len(self.lengths), *shape), 0.0 if self.linear else -np.inf)
+        out[0] = 1.0 if self.linear else 0.0
+        for end, step in self._walk():
             for n, word, piece in step:
-                out[end, word] += out[end - n, word] * p[piece] * LIFT ** n
+                if self.linear:
+                    out[end, word] += out[end - n, word] * of_piece(word, piece) * LIFT ** n
+                else:
+                    out[end, word] = np.logaddexp(out[end, word], out[end - n, word] + of_piece(word, piece))
+        return out
+
+    def log_sums(self, p: np.ndarray) -> np.ndarray:
+        """Log of the sum over each word's segmentations: words x languages."""
+        out, last = np.empty((len(self.lengths), p.shape[1])), (self.lengths, np.arange(len(self.lengths)))
+        width = max(1, AREA // (self.most * len(self.lengths))) if p.shape[1] else 1
+        for lo in range(0, p.shape[1], width):  # a very long word: a few languages at a time
+            part = p[:, lo:lo + width] if self.linear else np.log(p[:, lo:lo + width])
+            ahead = self._forward(lambda word, piece: part[piece])[last]
+            out[:, lo:lo + width] = np.log(np.maximum(ahead, 1e-300)) - self.lengths[:, None] * np.log(LIFT) if self.linear else ahead
         return out
 
-    def expected(self, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Expected counts of pieces in one language; word i of the lattice occurs ``weight[i]`` times."""
-        ahead = np.zeros((len(self.steps) + 1, len(self.lengths)))
-        ahead[0] = 1
-        for end, step in enumerate(self.steps, 1):
+    def add_expected(self, p: np.ndarray, lang: np.ndarray, weight: np.ndarray, counts: np.ndarray) -> None:
+        """Add expected counts of pieces to ``counts``, pieces x languages: word i is of language
+        ``lang[i]`` and occurs ``weight[i]`` times; its pieces have the probabilities ``p[:, lang[i]]``."""
+        column = np.minimum(lang, p.shape[1] - 1)
+        factors = p if self.linear else np.log(p)
+        of_piece = lambda word, piece: factors[piece, column[word]]
+        ahead = self._forward(of_piece)
+        last = (self.lengths, np.arange(len(self.lengths)))
+        total = ahead[last]
+        back = np.full_like(ahead, 0.0 if self.linear else -np.inf)
+        back[last] = 1.0 if self.linear else 0.0
+        share = weight / np.maximum(total, 1e-300) if self.linear else np.log(weight) - total
+        flat, width = counts.reshape(-1), counts.shape[1]
+        for end, step in self._walk(back=True):
             for n, word, piece in step:
-                ahead[end, word] += ahead[end - n, word] * p[piece] * LIFT ** n
-        total = ahead[self.lengths, np.arange(len(self.lengths))]
-        back = np.zeros_like(ahead)
-        back[self.lengths, np.arange(len(self.lengths))] = 1
-        which, mass = [], []
-        share = weight / np.maximum(total, 1e-300)
-        for end in range(len(self.steps), 0, -1):
-            for n, word, piece in self.steps[end - 1]:
-                through = p[piece] * LIFT ** n * back[end, word]
-                which.append(piece)
-                mass.append(ahead[end - n, word] * through * share[word])
-                back[end - n, word] += through
-        return np.bincount(np.concatenate(which), np.concatenate(mass), len(p))
+                if self.linear:
+                    through = of_piece(word, piece) * LIFT ** n * back[end, word]
+                    mass = ahead[end - n, word] * through * share[word]
+                    back[end - n, word] += through
+                else:
+                    through = of_piece(word, piece) + back[end, word]
+                    mass = np.exp(ahead[end - n, word] + through + share[word])
+                    back[end - n, word] = np.logaddexp(back[end - n, word], through)
+                np.add.at(flat, piece.astype(np.int64) * width + lang[word], mass)
 
 
 def words_of(text: str) -> list[bytes]:
-    """Runs of letters, lower-cased; parts of LONGEST bytes of longer ones."""
-    words = [w.encode() for w in LETTERS.findall(text.lower())]
-    if any(len(w) > LONGEST for w in words):
-        words = [w[i:i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
-    return words
+    """Runs of letters, lower-cased."""
+    return [w.encode("utf-8", "surrogatepass") for w in LETTERS.findall(text.lower())]
 
 
 def read_vocabulary(path: str | Path) -> list[bytes]:
@@ -182,9 +234,11 @@ def train(docs: DataFrame, vocabulary: str | Path, iterations: int = 1) -> Model
     names = read_vocabulary(vocabulary)
     known = Vocabulary(names)
     p = np.full((len(known.names), 1), 1.0 / len(known.names))
+    counted = stored(spark, rows.mapInArrow(_count(languages), "lang int, word binary, n bigint")
+                     .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words") if languages else None
     for _ in range(iterations if languages else 0):
-        sent = spark.sparkContext.broadcast((known.names, languages, p))
-        found = rows.mapInArrow(_expect(sent), "piece int, lang int, n double") \
+        sent = spark.sparkContext.broadcast((known.names, len(languages), p))
+        found = counted.mapInArrow(_expect(sent), "piece int, lang int, n double") \
             .groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas()  # pieces x languages at most
         counts = np.full((len(known.names), len(languages)), PRIOR)
         counts[found.piece.to_numpy(), found.lang.to_numpy()] += found.n.to_numpy()
@@ -193,26 +247,41 @@ def train(docs: DataFrame, vocabulary: str | Path, iterations: int = 1) -> Model
     return Model(languages, total / max(1.0, total.sum()), known.names, p if languages else p[:, :0])
 
 
-def _expect(sent):
+def _count(languages: list[str]):
+    """Words of each language with how often they occur, summed within a task as far as it holds them."""
+    number = {x: i for i, x in enumerate(languages)}
+
+    def batch_of(held: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int32()), pa.array([w for _, w in held], pa.binary()),
+                                           pa.array(held.values(), pa.int64())], ["lang", "word", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, languages, p = sent.value
-        vocabulary, number = Vocabulary(names), {x: i for i, x in enumerate(languages)}
-        counts = np.zeros((len(vocabulary.names), len(languages)))
+        held: Counter = Counter()
         for batch in pieces(batches):
-            seen: dict[int, Counter] = defaultdict(Counter)
+            chunks: Counter = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch)):
-                seen[number[lang]].update(text.split())
-            for lang, chunks in seen.items():
-                held: Counter = Counter()
-                for chunk, n in chunks.items():
-                    for word in words_of(chunk):
-                        held[word] += n
-                words = list(held)
-                for lo in range(0, len(words), 20_000):
-                    part = words[lo:lo + 20_000]
-                    lattice = Lattice(part, vocabulary)
-                    weight = np.array([held[w] for w in part], float)[lattice.order]
-                    counts[:, lang] += lattice.expected(p[:, min(lang, p.shape[1] - 1)], weight)
+                k = number[lang]
+                chunks.update([(k, chunk) for chunk in text.split()])
+            for (k, chunk), n in chunks.items():
+                for word in words_of(chunk):
+                    held[k, word] += n
+            if len(held) >= HELD:
+                yield batch_of(held)
+                held = Counter()
+        yield batch_of(held)
+    return run
+
+
+def _expect(sent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, languages, p = sent.value
+        vocabulary = Vocabulary(names)
+        counts = np.zeros((len(vocabulary.names), languages))
+        for batch in pieces(batches, "word"):
+            words = batch.column("word").to_pylist()
+            lang, weight = batch.column("lang").to_numpy(), batch.column("n").to_numpy().astype(float)
+            for own in groups(words, 2):
+                Lattice([words[i] for i in own], vocabulary).add_expected(p, lang[own], weight[own], counts)
         piece, lang = np.nonzero(counts)
         for lo in range(0, len(piece), 1 << 16):
             a, b = piece[lo:lo + (1 << 16)], lang[lo:lo + (1 << 16)]
@@ -229,11 +298,9 @@ def _likelihoods(chunks: list[str], vocabulary: Vocabulary, p: np.ndarray) -> np
             words.append(word)
             owner.append(i)
     out = np.zeros((len(chunks), p.shape[1] + 1))
-    for lo in range(0, len(words), 20_000):
-        lattice = Lattice(words[lo:lo + 20_000], vocabulary)
-        ahead = lattice.forward(p)[lattice.lengths, np.arange(len(lattice.lengths))]
-        value = np.log(np.maximum(ahead, 1e-300)) - lattice.lengths[:, None] * np.log(LIFT)
-        own = np.array(owner[lo:lo + 20_000])[lattice.order]
+    for group in groups(words, p.shape[1]):
+        value = Lattice([words[i] for i in group], vocabulary).log_sums(p)
+        own = np.array([owner[i] for i in group])
         for k in range(p.shape[1]):
             out[:, k] += np.bincount(own, value[:, k], len(chunks))
         out[:, -1] += np.bincount(own, minlength=len(chunks))

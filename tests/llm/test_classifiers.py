@@ -94,13 +94,76 @@ def test_forward_sums_all_segmentations():
             return np.ones(2)
         return sum((p[at[word[:n]]] * every(word[n:]) for n in range(1, len(word) + 1) if word[:n] in at), np.zeros(2))
 
-    words = [b"abcab", b"a", b"cabcabab", b"zz", b"abc"]
+    words = [b"cabcabab", b"abcab", b"abc", b"zz", b"a"]
     lattice = langid.Lattice(words, known)
-    got = lattice.forward(p)[lattice.lengths, np.arange(len(words))] / langid.LIFT ** lattice.lengths[:, None]
-    for k, i in enumerate(lattice.order):
-        assert np.allclose(got[k], every(words[i]))
-    counts = lattice.expected(p[:, 0], np.ones(len(words)))
-    assert np.isclose((counts * [len(n) for n in known.names]).sum(), sum(map(len, words)))
+    assert lattice.linear and np.allclose(np.exp(lattice.log_sums(p)), [every(w) for w in words])
+    lengths, total = [len(n) for n in known.names], sum(map(len, words))
+    counts = np.zeros((len(known.names), 2))
+    lattice.add_expected(p, np.array([0, 1, 0, 1, 0]), np.ones(len(words)), counts)
+    assert np.isclose((counts.sum(axis=1) * lengths).sum(), total)
+    assert np.isclose((counts[:, 1] * lengths).sum(), len(b"abcab") + len(b"zz"))
+
+
+def plain_sums(word, at, p):
+    """Log of the sum over segmentations, with exact scaling at each position."""
+    longest, ahead, scale = max(map(len, at)), [np.ones(p.shape[1])], [0.0]
+    for end in range(1, len(word) + 1):
+        value = sum(np.exp(scale[end - n] - scale[end - 1]) * ahead[end - n] * p[at[word[end - n:end]]]
+                    for n in range(1, min(end, longest) + 1) if word[end - n:end] in at)
+        ahead.append(value / value.max())
+        scale.append(scale[-1] + np.log(value.max()))
+    return np.log(ahead[-1]) + scale[-1]
+
+
+def test_long_words_are_not_cut(monkeypatch):
+    names = [bytes([b]) for b in range(256)] + [b"ab", b"abc" * 5, b"bc", "\u6f22".encode(), "\u6f22\u5b57\u306e\u6587".encode()]
+    known = langid.Vocabulary(names)
+    p = np.random.default_rng(1).random((len(known.names), 3))
+    p /= p.sum(axis=0)
+    at = {n: i for i, n in enumerate(known.names)}
+    words = [b"abcab" * 90, "\u6f22\u5b57\u306e\u6587".encode() * 20, b"ab" * 26, b"ab"]
+    want = [plain_sums(w, at, p) for w in words]
+    whole = np.zeros((len(known.names), 3))
+    langid.Lattice(words, known).add_expected(p, np.array([0, 1, 2, 0]), np.array([1.0, 2, 3, 4]), whole)
+    assert np.isclose((whole.sum(axis=1) * [len(n) for n in known.names]).sum(), 450 + 2 * 240 + 3 * 52 + 4 * 2)
+    for area in (langid.AREA, 200):  # one stretch, and many
+        monkeypatch.setattr(langid, "AREA", area)
+        lattice = langid.Lattice(words, known)
+        assert not lattice.linear and (lattice.kept is None) == (area == 200)
+        assert np.allclose(lattice.log_sums(p), want)
+        counts = np.zeros_like(whole)
+        lattice.add_expected(p, np.array([0, 1, 2, 0]), np.array([1.0, 2, 3, 4]), counts)
+        assert np.allclose(counts, whole)
+
+
+def test_language_model_against_plain_sums(spark):
+    """Expected counts and predictions against sums over words, one at a time."""
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = [(1, "the cat sat on the mat", "en"), (2, "le chat est sur la table", "fr"), (3, "the the dog", "en"),
+            (4, "\u0e01\u0e32\u0e23\u0e17\u0e14\u0e2a\u0e2d\u0e1a" * 12, "th"), (5, "\u00bd \u2462 \u2167 12", None), (6, "the chat", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(docs, path)
+    at = {n: i for i, n in enumerate(model.pieces)}
+    assert len(at) == len({n for n in langid.read_vocabulary(path) if n})  # pieces of every length
+    uniform = np.full((len(at), 1), 1 / len(at))
+    counts = np.full((len(at), 3), langid.PRIOR)
+    for _, text, lang in rows[:4]:
+        for word in langid.words_of(text):
+            total = plain_sums(word, at, uniform)[0]
+            for lo in range(len(word)):
+                for hi in range(lo + 1, len(word) + 1):
+                    if word[lo:hi] in at:
+                        inside = sum(plain_sums(w, at, uniform)[0] for w in (word[:lo], word[hi:]))
+                        counts[at[word[lo:hi]], model.languages.index(lang)] += np.exp(inside - np.log(len(at)) - total)
+    assert np.allclose(model.p, counts / counts.sum(axis=0))
+    said = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    assert said[5].lang_pred == "und" and said[5].score == 0
+    for k, text, _ in rows:
+        if k != 5:
+            z = np.log(model.shares) + sum(plain_sums(w, at, model.p) for w in langid.words_of(text))
+            e = np.exp(z - z.max())
+            assert said[k].lang_pred == model.languages[z.argmax()] and np.isclose(said[k].score, e.max() / e.sum())
 
 
 def test_edge_rows(spark, edge, nothing):
