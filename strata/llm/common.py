@@ -83,7 +83,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 FEW_ROWS = 500_000
 
 
-def with_few(rows: DataFrame, narrow: DataFrame, key: str) -> DataFrame:
+def with_few(rows: DataFrame, narrow: DataFrame, key: str | list[str]) -> DataFrame:
     """Inner join on ``key``; ``narrow`` is counted, and broadcast only if it is small,
     which spares the shuffle of whole texts. Otherwise it is an ordinary shuffled join."""
     return rows.join(F.broadcast(narrow) if narrow.count() <= FEW_ROWS else narrow, key)

@@ -1,5 +1,7 @@
 import hashlib
 import math
+import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -192,19 +194,88 @@ def test_fingerprints_do_not_depend_on_company_or_offset(spark):
 
 # main text
 
-def test_extraction_of_parts():
-    page = html_main.parse('''<html><head><title>x</title></head><body class="has-sidebar"><header>H <b>b</b></header>
+PAGE_SCHEMA = "page_id bigint, url string, html string, host int, template string"
+
+
+def extracted(spark, htmls, host="one.example"):
+    rows = [(i, f"http://{host}/{i}", source, i, None) for i, source in enumerate(htmls)]
+    return [r.text for r in html_main.extract(spark.createDataFrame(rows, PAGE_SCHEMA)).orderBy("page_id").collect()]
+
+
+def test_extraction_of_parts(spark):
+    page = '''<html><head><title>x</title></head><body class="has-sidebar"><header>H <b>b</b></header>
 <nav><ul><li>a<li>b</ul></nav><div class="ad">ad</div><article class="comments-open"><h1>T&eacute;st &amp; q</h1><p><b>one
 two<br>three<p>fo<i>u</i>r<div class="share-box">s</div><aside>no</aside><script>var t="</p>";</script><p>five &lt;x&gt; a < b</article>
-<section id="comments"><article>c</article></section><form>f</form><!-- c --><style>p{}</style><footer>f</footer></body>''')
-    assert html_main.main_text(page) == "Tést & q one two three four five <x> a < b"
-    assert html_main.main_text(html_main.parse("<div><a href=x>m</a> <a>n</a></div><div>Hello <b>wor</b>ld</div>x")) == "Hello world x"
+<section id="comments"><article>c</article></section><form>f</form><!-- c --><style>p{}</style><footer>f</footer></body>'''
+    assert extracted(spark, [page]) == ["Tést & q one two three four five <x> a < b"]
+    own = '<article><div class="entry-header"><h1>Title</h1></div><p>x <math>y</math> z</p><p><a href="x">a link</a></p></article>'
+    assert extracted(spark, [own, "<div><a href=x>m</a> <a>n</a></div><div>Hello <b>wor</b>ld</div>x"]) == ["Title x y z a link", "Hello world x"]
     for odd in ("", "<", "<p", "<a b='", "<!-- x", "</p>", "<script>", "<div>" * 3000 + "x", "&am &amp", "<" * 100_000):
-        html_main.main_text(html_main.parse(odd))
+        html_main.parse(odd)
+
+
+def test_long_pages_of_stray_tags():
+    import time
+    for odd in ("<div>" * 90_000 + "</p>" * 90_000, '<a b="' * 150_001 + ">", "<a '" * 150_001 + ">", "<script>" + "</script " * 90_000):
+        start = time.perf_counter()
+        html_main.parse(odd)
+        assert time.perf_counter() - start < 20
+
+
+BOILERPLATE = re.compile("<(/?)(?:nav|article|footer|main|section|aside|header)[^>]*>")
+
+
+def test_template_decides_without_names(spark):
+    """Structural tags renamed to div, class names gone: sizes over the pages of a layout decide."""
+    story = lambda i: " ".join(f"word{i * k % 97}" for k in range(1, 40))
+    page = lambda i: (f"<html><body><nav><ul><li><a href=x>menu {i}</a></li></ul></nav><div class=ad>buy {i} now</div>"
+                      f"<article><h1>Title {i}</h1>{'<p>tiny</p>' if i == 3 else f'<p>{story(i)}</p>' * (i % 3 + 1)}<p>Written by us</p></article>"
+                      f"<footer>{i} of ours, all rights reserved</footer></body></html>")
+    other = lambda i: f"<html><body><article>Teaser {i}</article><div><p>{story(i + 50)}</p><p>{story(i + 70)}</p></div></body></html>"
+    bare = [BOILERPLATE.sub(r"<\1div>", page(i)).replace(" class=ad", "") for i in range(8)]
+    want = [f"Title {i} " + ("tiny" if i == 3 else " ".join([story(i)] * (i % 3 + 1))) for i in range(8)]
+    # a page without text, a repeated row and a second layout on the host change nothing
+    layouts = bare + [None, bare[2], ""] + [other(i) for i in range(4)]
+    got = extracted(spark, layouts)
+    assert got[:8] == want and got[8] == got[10] == "" and got[9] == want[2]
+    assert got[11:] == [f"{story(i + 50)} {story(i + 70)}" for i in range(4)]
+    assert extracted(spark, [page(i) for i in range(8)]) == want
+    copies = [f"<html><body><article><h1>Same</h1><p>{story(1)}</p></article></body></html>"] * 4
+    assert extracted(spark, copies) == [f"Same {story(1)}"] * 4
+
+
+def plain_template(parsed):
+    """Texts of the template of one layout, from whole occurrence vectors."""
+    tokens = {t: w for p in parsed for t, w in p.tokens}
+    vector = {t: tuple(sum(x == t for x, _ in p.tokens) for p in parsed) for t in tokens}
+    groups = {}
+    for t, v in vector.items():
+        if min(v) > 0:
+            groups.setdefault(v, set()).add(t)
+    frame, out = groups.get((1,) * len(parsed), set()), set()
+    for v, group in groups.items():
+        firsts = [[t for t in dict.fromkeys(x for x, _ in p.tokens) if t in group] for p in parsed]
+        gaps = {sum(x in frame for x, _ in p.tokens[:at]) for p in parsed for at, (t, _) in enumerate(p.tokens) if t in group}
+        if len(group) >= 2 and all(f == firsts[0] for f in firsts) and (group == frame or len(gaps) == 1):
+            out |= {t for t in group if tokens[t] == html_main.TEXT}
+    return out
+
+
+def test_template_against_whole_vectors(spark):
+    rng = random.Random(4)
+    say = lambda: rng.choice(["one", "two", "three", "four"])
+    page = lambda: ("<body><div>" + "".join(f"<p>{say()}</p>" for _ in range(rng.randint(0, 3))) + "<h1>Head</h1><h2>Sub</h2></div><ul>"
+                    + "<li>a</li><h3>b</h3>" * rng.randint(1, 3) + "</ul>" + "".join(rng.sample(["<h4>x</h4>", "<h4>y</h4>"], 2)) + "</body>")
+    for _ in range(3):
+        htmls = [page() for _ in range(5)]
+        rows = spark.createDataFrame([("h", i, h) for i, h in enumerate(htmls)], "host string, page bigint, html string")
+        got = {r.layout: set(r.texts) for r in html_main.templates(spark, rows).collect()}
+        parsed = [html_main.parse(h) for h in htmls]
+        assert got == {parsed[0].layout("h"): plain_template(parsed)}
 
 
 def test_template_text_goes_and_slots_stay(spark):
-    schema = "page_id bigint, url string, html string, host int, template string"
+    schema = PAGE_SCHEMA
     page = lambda i: (f"<div><b>Welcome to our site</b></div><div>{'A story of ' + str(i) if i != 4 else 'x'}</div>"
                       + "".join(f"<p>Part {k} of {i}</p>" for k in range(i % 3 + 1)) + "<div>All rights reserved</div>")
     rows = [(i, f"http://one.example/{i}", page(i), 1, None) for i in range(6)] + [(7, None, None, None, "t"), (8, "http://two.example/", page(8), 2, "")]
