@@ -47,7 +47,8 @@ LINEAR, LIFT = 48, 16.0
 AREA = 1 << 21
 #: Different words that a counting task holds before it passes them on.
 HELD = 1 << 18
-MEMO = 1 << 18
+#: Chunks between white space that a scoring worker remembers.
+MEMO = 1 << 19
 TABLE_BITS = 20
 
 
@@ -206,6 +207,8 @@ class Lattice:
 
 def words_of(text: str) -> list[bytes]:
     """Runs of letters, lower-cased."""
+    if text.isalpha():  # letters only, by category L
+        return [text.lower().encode()]
     return [w.encode("utf-8", "surrogatepass") for w in LETTERS.findall(text.lower())]
 
 
@@ -292,18 +295,20 @@ def _expect(sent):
 
 def _likelihoods(chunks: list[str], vocabulary: Vocabulary, p: np.ndarray) -> np.ndarray:
     """Log likelihoods of the words in each chunk by language; last, how many words it has."""
-    words, owner = [], []
+    number: dict[bytes, int] = {}
+    said, owner = [], []
     for i, chunk in enumerate(chunks):
         for word in words_of(chunk):
-            words.append(word)
+            said.append(number.setdefault(word, len(number)))
             owner.append(i)
-    out = np.zeros((len(chunks), p.shape[1] + 1))
+    words, out = list(number), np.zeros((len(chunks), p.shape[1] + 1))
+    value = np.empty((len(words), p.shape[1]))
     for group in groups(words, p.shape[1]):
-        value = Lattice([words[i] for i in group], vocabulary).log_sums(p)
-        own = np.array([owner[i] for i in group])
-        for k in range(p.shape[1]):
-            out[:, k] += np.bincount(own, value[:, k], len(chunks))
-        out[:, -1] += np.bincount(own, minlength=len(chunks))
+        value[group] = Lattice([words[i] for i in group], vocabulary).log_sums(p)
+    which, own = np.array(said, np.int64), np.array(owner, np.int64)
+    for k in range(p.shape[1]):
+        out[:, k] = np.bincount(own, value[which, k], len(chunks))
+    out[:, -1] = np.bincount(own, minlength=len(chunks))
     return out
 
 
