@@ -45,7 +45,7 @@ PRIOR = 0.1
 LINEAR, LIFT = 48, 16.0
 #: Numbers in a group of words handled at once (positions x words x languages).
 AREA = 1 << 21
-#: Different words that a counting task holds before it passes them on.
+#: Different chunks between white space that a counting task holds before it passes their words on.
 HELD = 1 << 18
 #: Chunks between white space that a scoring worker remembers.
 MEMO = 1 << 19
@@ -59,26 +59,31 @@ class Vocabulary:
         self.names = sorted({n for n in names if n})
         #: the longest piece that a word can hold
         self.longest = max((len(n) for n in self.names if FOREIGN.isdisjoint(n)), default=1)
-        keys = np.array([self._key(n) for n in self.names], U64)
-        # slots of equal high bits are filled one after the other
-        self.keys = np.zeros((1 << TABLE_BITS) + 64, U64)
+        keys = self._keys(self.names)
+        # slots of equal high bits are filled one after the other: in order of the keys, each
+        # takes its own slot or the one after its predecessor's
+        order = np.argsort(keys, kind="stable")
+        own = (keys[order] >> U64(64 - TABLE_BITS)).astype(np.int64)
+        place = np.arange(len(own))
+        slot = np.maximum.accumulate(own - place) + place
+        self.reach = int((slot - own).max(initial=0)) + 1
+        self.keys = np.zeros(max((1 << TABLE_BITS), int(slot.max(initial=0)) + 1) + self.reach, U64)
         self.ids = np.full(len(self.keys), -1, np.int32)
-        for i, k in enumerate(keys.tolist()):
-            at = k >> (64 - TABLE_BITS)
-            while self.ids[at] >= 0:
-                at += 1
-            self.keys[at], self.ids[at] = k, i
-        at, self.reach = 0, 1
-        filled = self.ids >= 0
-        for i in np.flatnonzero(filled):
-            self.reach = max(self.reach, int(i) - (int(self.keys[i]) >> (64 - TABLE_BITS)) + 1)
+        self.keys[slot], self.ids[slot] = keys[order], order
 
     @staticmethod
-    def _key(name: bytes) -> int:
-        key = np.zeros(1, U64)
-        for letter in name:
-            key = longer(key, np.array([letter], np.uint8))
-        return int(mix64(key + U64(len(name)))[0])
+    def _keys(names: list[bytes]) -> np.ndarray:
+        """The key of each name; names of one length at a time."""
+        sizes = np.array([len(n) for n in names], np.int64)
+        out = np.zeros(len(names), U64)
+        for size in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == size)
+            letters = np.frombuffer(b"".join(names[i] for i in own.tolist()), np.uint8).reshape(len(own), size)
+            key = np.zeros(len(own), U64)
+            for k in range(size):
+                key = longer(key, letters[:, k])
+            out[own] = mix64(key + U64(size))
+        return out
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The piece of each key, -1 if none."""
@@ -252,26 +257,25 @@ def train(docs: DataFrame, vocabulary: str | Path, iterations: int = 1) -> Model
 
 def _count(languages: list[str]):
     """Words of each language with how often they occur, summed within a task as far as it holds them."""
-    number = {x: i for i, x in enumerate(languages)}
 
-    def batch_of(held: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int32()), pa.array([w for _, w in held], pa.binary()),
-                                           pa.array(held.values(), pa.int64())], ["lang", "word", "n"])
+    def batches_of(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for k, lang in enumerate(languages):
+            said: Counter = Counter()
+            for chunk, n in held[lang].items():
+                for word in words_of(chunk):
+                    said[word] += n
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(said), k), pa.int32()), pa.array(list(said), pa.binary()),
+                                              pa.array(said.values(), pa.int64())], ["lang", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held = {lang: Counter() for lang in languages}
         for batch in pieces(batches):
-            chunks: Counter = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch)):
-                k = number[lang]
-                chunks.update([(k, chunk) for chunk in text.split()])
-            for (k, chunk), n in chunks.items():
-                for word in words_of(chunk):
-                    held[k, word] += n
-            if len(held) >= HELD:
-                yield batch_of(held)
-                held = Counter()
-        yield batch_of(held)
+                held[lang].update(text.split())
+            if sum(map(len, held.values())) >= HELD:
+                yield from batches_of(held)
+                held = {lang: Counter() for lang in languages}
+        yield from batches_of(held)
     return run
 
 
@@ -327,9 +331,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         vocabulary, memo, table = Vocabulary(names), {}, np.zeros((0, len(languages) + 1))
         for batch in pieces(batches):
             texts = [t.split() for t in texts_of(batch)]
-            new = list({w for t in texts for w in t}.difference(memo))
+            own = set().union(*texts)
+            new = list(own.difference(memo))
             if len(memo) + len(new) > MEMO:
-                memo, table, new = {}, table[:0], list({w for t in texts for w in t})
+                memo, table, new = {}, table[:0], list(own)
             table = np.concatenate([table, _likelihoods(new, vocabulary, p)])
             memo.update(zip(new, range(len(table) - len(new), len(table))))
             said, score = [], []
