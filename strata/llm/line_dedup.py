@@ -6,7 +6,9 @@ that met them. Each new batch reduces its lines to one row for each key, merge-j
 that with the runs, and writes its step: keys without a match are the batch's own new
 run, keys with a match were seen before. When a level has ``fanout`` runs they are
 compacted into one run of the next level, so a batch meets a few runs only. A run is
-bucketed like the batch's shuffle: no run is ever shuffled again.
+bucketed like the batch's shuffle, which brings the step to its buckets; compaction
+reads runs bucket by bucket, so no run is ever shuffled again. The tables leave the
+catalog at the end.
 
 A key is repeated if a batch's step says so; lines of repeated keys outside the key's
 first document go. Texts are shuffled once, when the positions to drop meet them.
@@ -35,12 +37,13 @@ class Runs:
     """The runs by level, newest last; each is a bucketed table in the shared folder."""
 
     def __init__(self, spark: SparkSession, fanout: int = FANOUT) -> None:
-        self.spark, self.fanout, self.levels = spark, fanout, [[]]
+        self.spark, self.fanout, self.levels, self.names = spark, fanout, [[]], []
         self.buckets = shuffle_partitions(spark)
 
-    def _write(self, rows: DataFrame, dealt: bool) -> DataFrame:
+    def _write(self, rows: DataFrame) -> DataFrame:
+        """``rows`` as a bucketed, sorted table; they come by the buckets' hash already."""
         name = f"line_run_{uuid.uuid4().hex[:12]}"
-        rows = rows if dealt else rows.repartition(self.buckets, *KEY)
+        self.names.append(name)
         rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).format("parquet") \
             .option("path", f"{checkpoint_root(self.spark)}/strata/{name}").saveAsTable(name)
         return self.spark.table(name)
@@ -56,7 +59,7 @@ class Runs:
         before = F.coalesce(*[F.col(c) for c in seen], F.lit(None).cast("bigint"))
         owner = F.coalesce(before, F.col("_first"))
         step = self._write(step.select(*KEY, owner.alias("owner"), before.isNull().alias("fresh"),
-                                       (owner != F.col("_last")).alias("repeated")), dealt=False)
+                                       (owner != F.col("_last")).alias("repeated")))
         self.levels[0].append(step.where("fresh").select(*KEY, "owner"))
         self._compact()
         return step
@@ -69,9 +72,15 @@ class Runs:
                     rows = rows.unionByName(run)
                 if at + 1 == len(self.levels):
                     self.levels.append([])
-                self.levels[at + 1].append(self._write(rows, dealt=False))
+                self.levels[at + 1].append(self._write(rows))
                 self.levels[at] = []
 
+    def drop(self) -> None:
+        """Take the runs' tables out of the catalog, once nothing reads them any more."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.levels, self.names = [[]], []
+
 
 def _identified(docs: DataFrame) -> DataFrame:
     """``rest`` (all columns but the text), the text, and what tells rows apart."""
@@ -102,6 +111,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: in
         step = runs.add(lines.where(F.col("_batch") == b)).where("repeated").select(*KEY, "owner")
         repeated = step if repeated is None else repeated.unionByName(step)
     owners = stored(spark, repeated.groupBy(*KEY).agg(F.min("owner").alias("owner")), "line-owners")
+    runs.drop()
     dropped = lines.join(owners, KEY).where(F.col("_id") != F.col("owner")) \
         .groupBy("_id", "_th").agg(F.collect_set("_pos").alias("_gone"))
     parts = F.split("_text", "\n")
