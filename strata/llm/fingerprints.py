@@ -188,7 +188,8 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
                          F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
         .withColumn("tie", F.xxhash64("text")).mapInArrow(_pack, "doc_id bigint, tie bigint, body binary")
     by_id = F.col("doc_id").desc_nulls_last()
-    ranged = packed.repartitionByRange(shuffle_partitions(spark), by_id).sortWithinPartitions(by_id, "tie")
+    # the tie splits the rows of one id, or of none, over ranges as well
+    ranged = packed.repartitionByRange(shuffle_partitions(spark), by_id, F.col("tie")).sortWithinPartitions(by_id, "tie")
     found = stored(spark, ranged.mapInArrow(_walk, f"kind string, part int, body binary, {RESULT}"), "fingerprints", "kind")
     heads = found.where("kind = 'head'").select("part", F.col("body").alias("next_body"))
     parts = sorted(r.part for r in heads.select("part").collect())  # one for each range
