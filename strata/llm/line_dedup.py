@@ -129,7 +129,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated lines; ``n_chars`` is that of the new text."""
+    """Documents without their repeated lines; ``n_chars`` is that of the new text.
+
+    Null texts become empty ones; a document whose lines were all repeated stays, as an empty
+    text; repeated rows are one document to the rule and stay a row each."""
     found = drop_repeated_lines(docs)
     now = {"text": F.col("text"), "n_chars": F.char_length("text").cast("bigint")}
     return found.select(*[now.get(c, F.col(f"rest.{c}") if c != "text" else None).alias(c) for c in docs.columns])

@@ -248,8 +248,8 @@ def _on_scale(margin: np.ndarray, y: np.ndarray, share: float, rounds: int = 50)
 def score(docs: DataFrame, model: Model, *keep: Column) -> DataFrame:
     """``keep`` (``doc_id`` by default) and ``score``, from 0 to 1, of every whole text.
 
-    Null and empty texts score the share of label 1 in training; repeated rows give a row each; other
-    columns are ignored.
+    Null and empty texts have no n-gram and score what the bias alone gives; repeated rows give a
+    row each; other columns are ignored.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))  # 2 ** BITS weights
