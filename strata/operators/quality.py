@@ -143,6 +143,11 @@ def run_checks_delta(checks: list[Check], tables: dict[str, DataFrame], stored:
     return [found[c.name] for c in checks]
 
 
+#: The reference's known edge case: a review whose game has not (yet) been on a chart. No
+#: model depends on both of the test's tables, so a caller may let it only warn.
+UNCHARTED = "relationships:fact_review.game_key->dim_game.game_key"
+
+
 def model_checks() -> list[Check]:
     """The 17 column / singular tests declared for the silver and gold models."""
     nn = lambda t, c: Check(f"not_null:{t}.{c}", t, lambda ts: not_null(ts[t], c), c)
@@ -160,7 +165,7 @@ def model_checks() -> list[Check]:
         uq("fact_review", "review_id"),
         nn("fact_review", "review_id"),
         nn("fact_review", "game_key"),
-        Check("relationships:fact_review.game_key->dim_game.game_key", "fact_review",
+        Check(UNCHARTED, "fact_review",
               lambda ts: relationships(ts["fact_review"], "game_key", ts["dim_game"], "game_key")),
         nn("fact_daily_game_performance", "game_key"),
         nn("fact_daily_game_performance", "activity_date"),
