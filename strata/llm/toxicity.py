@@ -39,6 +39,9 @@ SAMPLE_PER_LABEL, FIT_PARTS = 1200, 8
 #: log-count ratio below which a bucket tells too little to get a weight.
 PRIOR, PENALTY, LEAST_RATIO = 1.0, 1.0, 0.5
 MEMO = 1 << 18
+#: Letters whose n-grams are made at once, and bytes of text that are scored at once: they
+#: bound what a worker holds beside its batch.
+LETTERS, SCORED_BYTES = 1 << 18, 1 << 20
 
 
 def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -61,6 +64,16 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts).astype(np.int64), np.concatenate(sizes)
 
 
+def chunked(words: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Start and end of runs of words of about ``LETTERS`` letters (at least one word)."""
+    ends, at = np.cumsum([len(w) + 2 for w in words]), 0
+    while at < len(words):
+        base = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, base + LETTERS, side="right")))
+        yield at, to
+        at = to
+
+
 def distinct_words(text: str) -> set[bytes]:
     return set(text.lower().encode().split())
 
@@ -128,10 +141,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for y, text in zip(batch.column("y").to_pylist(), texts_of(batch)):
             holding[y].update(distinct_words(text))
         for y in (0, 1):
-            if holding[y]:
-                at, word = grams(list(holding[y]))
-                n = np.fromiter(holding[y].values(), float, len(holding[y]))
-                seen[y] += np.bincount(at, n[word], 1 << BITS)
+            words, n = list(holding[y]), np.fromiter(holding[y].values(), float, len(holding[y]))
+            for lo, hi in chunked(words):
+                at, word = grams(words[lo:hi])
+                seen[y] += np.bincount(at, n[lo:hi][word], 1 << BITS)
     for y in (0, 1):
         at = np.flatnonzero(seen[y])
         for lo in range(0, len(at), 1 << 16):
@@ -245,8 +258,9 @@ def _on_scale(margin: np.ndarray, y: np.ndarray, share: float, rounds: int = 50)
     return at[0] / scale, at[1] - at[0] * margin.mean() / scale
 
 
-def score(docs: DataFrame, model: Model, *keep: Column) -> DataFrame:
-    """``keep`` (``doc_id`` by default) and ``score``, from 0 to 1, of every whole text.
+def score(docs: DataFrame, model: Model, *keep: Column, with_text: bool = False) -> DataFrame:
+    """``keep`` (``doc_id`` by default), ``text`` (``with_text``) and ``score``, from 0 to 1, of
+    every whole text.
 
     Null and empty texts have no n-gram and score what the bias alone gives; repeated rows give a
     row each; other columns are ignored.
@@ -255,18 +269,20 @@ def score(docs: DataFrame, model: Model, *keep: Column) -> DataFrame:
     sent = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.bias))  # 2 ** BITS weights
     keep = keep or (F.col("doc_id").cast("bigint").alias("doc_id"),)
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    names = [c for c in rows.columns if c != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text") + ", score double"
+    names = [c for c in rows.columns if with_text or c != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in names) + ", score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value
         memo: dict[bytes, float] = {}
-        for batch in pieces(batches):
+        for batch in pieces(batches, most=SCORED_BYTES):
             found = [distinct_words(text) for text in texts_of(batch)]
             new = list(set().union(*found).difference(memo)) if found else []
             if new:
-                at, word = grams(new)
-                value = np.bincount(word, weights[at], len(new)).tolist()
+                value: list[float] = []
+                for lo, hi in chunked(new):
+                    at, word = grams(new[lo:hi])
+                    value += np.bincount(word, weights[at], hi - lo).tolist()
                 if len(memo) + len(new) > MEMO:
                     memo = {w: memo[w] for words in found for w in words if w in memo}
                 memo.update(zip(new, value))
@@ -299,5 +315,5 @@ def clean_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     model = fit_toxicity(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
     body = F.struct(*[F.col(c) for c in columns if c != "text"]).alias("rest")
-    kept = score(docs, model, body, F.col("text").alias("body")).where(F.col("score") < 0.7)
-    return kept.select(*[F.col("body").alias(c) if c == "text" else F.col(f"rest.{c}").alias(c) for c in columns])
+    kept = score(docs, model, body, with_text=True).where(F.col("score") < 0.7)  # a text goes to the worker once
+    return kept.select(*[F.col(c) if c == "text" else F.col(f"rest.{c}").alias(c) for c in columns])
