@@ -38,7 +38,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,21 +133,24 @@ class SnapshotTable:
         fs.write_text(self.spark, f"{self._manifest_dir()}/v={version:06d}.claim", "", overwrite=False)
         return version
 
-    def _write_version(self, df: DataFrame, version: int) -> tuple[list[str], int]:
-        """The partitions written and the number of rows, observed while they were written."""
+    def _write_version(self, df: DataFrame, version: int, **marks: Column) -> tuple[list[str], dict]:
+        """The partitions written, and the number of ``rows`` and other aggregates, observed
+        while they were written."""
         path = f"{self.root}/{_VDIR}={version:06d}"
         seen = Observation()
+        aggs = [F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in marks.items()]]
         if self.part is None:
-            df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-            return [""], seen.get["rows"]
-        # Range-partition on (partition value, key): a hot date is split over
-        # several writers instead of landing in one task. Observed after the
-        # exchange, whose sampling reads the rows once more.
+            df.observe(seen, *aggs).write.mode("overwrite").parquet(path)
+            return [""], seen.get
+        # Rebalanced by the partition value: adaptive execution packs small dates and splits
+        # a hot one over several writers, by the sizes of what was shuffled. ``df`` is
+        # evaluated once (a range partitioning evaluates it once more, to sample). Sorted
+        # by key, so that a search for keys skips pages.
         order = [F.col(self.part)] + [F.col(k) for k in self.keys]
-        (df.repartitionByRange(*order).observe(seen, F.count(F.lit(1)).alias("rows"))
+        (df.hint("rebalance", F.col(self.part)).observe(seen, *aggs).sortWithinPartitions(*order)
            .write.mode("overwrite").partitionBy(self.part).parquet(path))
         prefix = f"{self.part}="
-        return [n[len(prefix):] for n in fs.list_dirs(self.spark, path) if n.startswith(prefix)], seen.get["rows"]
+        return [n[len(prefix):] for n in fs.list_dirs(self.spark, path) if n.startswith(prefix)], seen.get
 
     def _commit(self, version: int, base: dict | None, partitions: dict, schema: T.StructType, meta: dict) -> None:
         """Create the manifest that follows ``base``; fails if another writer has."""
@@ -193,9 +196,9 @@ class SnapshotTable:
         """Full rebuild: a new version holding exactly ``df``."""
         base = self.current()
         version = self._claim()
-        written, rows = self._write_version(df, version)
+        written, seen = self._write_version(df, version)
         self._commit(version, base, {p: version for p in written}, df.schema, meta or {})
-        return {"version": version, "partitions": written, "rows": rows}
+        return {"version": version, "partitions": written, "rows": seen["rows"]}
 
     def replace_partitions(self, df: DataFrame, partitions: list[str], meta: dict | None = None) -> dict:
         """Rewrite only ``partitions`` with the rows of ``df`` (which must lie in
@@ -205,12 +208,12 @@ class SnapshotTable:
         if cur is None:
             return self.replace(df, meta)
         version = self._claim()
-        written, rows = self._write_version(df, version)
+        written, seen = self._write_version(df, version)
         drop = set(partitions)
         parts = {p: v for p, v in cur["partitions"].items() if p not in drop}
         parts.update({p: version for p in written})
         self._commit(version, cur, parts, df.schema, meta if meta is not None else cur["meta"])
-        return {"version": version, "partitions": sorted(drop), "rows": rows}
+        return {"version": version, "partitions": sorted(drop), "rows": seen["rows"]}
 
     def upsert(self, source: DataFrame, mode: str = "strict", hw_column: str = "extracted_at",
                loaded_column: str = "_loaded_at", order: list | None = None,
@@ -222,7 +225,7 @@ class SnapshotTable:
         source row comes first by ``order`` (ties go to the source).
 
         The selected and deduplicated source is written once and read by every
-        step of the merge. A key may change partition: unless the partition
+        step of the merge; a table's first rows are written in place. A key may change partition: unless the partition
         column is part of the key, a semi join over the target's key and
         partition columns finds where matched keys are now.
         """
@@ -248,6 +251,8 @@ class SnapshotTable:
         if order:
             src = latest_by(src, keys, order)
         version = self._claim()
+        if cur is None and mode != "loaded_at":  # nothing to merge into
+            return self._first(src, version, {**meta, **(meta_update or {})}, hw_column)
         staging = f"{self.root}/_staging/v={version:06d}"
         schema = src.schema
         src.write.mode("overwrite").parquet(staging)
@@ -257,6 +262,15 @@ class SnapshotTable:
         finally:
             fs.delete(self.spark, staging)
 
+    def _first(self, src: DataFrame, version: int, meta: dict, hw_column: str) -> dict:
+        """The first rows of a table, written straight to its first version."""
+        marks = {"hw": F.max(hw_column).cast("string")} if hw_column in src.columns else {}
+        written, seen = self._write_version(src, version, **marks)
+        written = written if seen["rows"] else []
+        hw = {} if seen.get("hw") is None else {"hw": seen["hw"]}
+        self._commit(version, None, {p: version for p in written}, src.schema, {**hw, **meta})
+        return {"version": version, "rows": seen["rows"], "partitions": written}
+
     @staticmethod
     def _above(src: DataFrame, column: str, mark: str | None) -> DataFrame:
         """Rows above a stored mark, compared as values of the column's own type."""

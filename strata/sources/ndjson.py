@@ -67,11 +67,11 @@ def write_ndjson(df: DataFrame, root: str, dataset: str, ts: str,
     names = ["ingest_date", "part"][:len(folders)]
     body = F.col(json_text) if json_text else record_json(cols)
     lines = df.select(*folders, body.alias("value"), F.col(ts).alias("_ts"))
-    # Range-partition by (folder, hash of the line): each folder gets few files,
-    # while a folder holding most of the rows is still split over several
-    # writers, and the sampled keys are narrow.
-    dealt = lines.repartitionByRange(*names, F.xxhash64("value"))
-    if counts:  # after the exchange, whose sampling reads the rows once more
+    # Rebalanced by folder: adaptive execution packs small folders and splits one that
+    # holds most of the rows over several writers. The records are evaluated once (a range
+    # partitioning evaluates them once more, to sample).
+    dealt = lines.hint("rebalance", *[F.col(n) for n in names])
+    if counts:  # after the exchange, where a lost map task can't count twice
         dealt = dealt.observe(seen, *[c.alias(n) for n, c in counts.items()])
     dealt.drop("_ts").write.mode("append").partitionBy(*names).text(out)
     landed = any(n.startswith("ingest_date=") for n in fs.list_dirs(df.sparkSession, out))

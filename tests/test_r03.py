@@ -2,13 +2,19 @@
 
 import datetime as dt
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from strata.llm import toxicity
+from strata.operators.incremental import SnapshotTable
 from strata.operators.quality import UNCHARTED, ChecksFailed
 from strata.plans import analogs, lake_queries, state_queries
 from strata.plans.build import build, load_raw, run_history
 from strata.sources.catalog import Lake
+from strata.sources.ndjson import write_ndjson
 
 
 def _tables(spark, root):
@@ -56,3 +62,49 @@ def test_both_runs_of_the_incremental_lake_are_built(spark, tmp_root):
     assert _report(analogs.medallion_incremental_report(spark, root)) == sorted(REPORT)
     counts = {r.model: r.n for r in state_queries.views_by_sql(spark, root).collect()}
     assert counts["fact_review"] == 5 and counts["dim_game"] == 3 and counts["rpt_daily_game_performance"] == 3
+
+
+def _counted(spark, n):
+    """Rows, and a counter of how often one of them was made."""
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.sparkContext.parallelize(range(n), 4).map(lambda i: (made.add(1), (i, dt.datetime(2024, 1, 1 + i % 3), f"r{i}"))[1])
+    return spark.createDataFrame(rows, "id bigint, ts timestamp, name string"), made
+
+
+def test_landing_and_versions_make_each_row_once(spark, tmp_root):
+    df, made = _counted(spark, 300)
+    write_ndjson(df, f"{tmp_root}/raw", "events", "ts")
+    assert made.value == 300
+    assert spark.read.json(f"{tmp_root}/raw/events").count() == 300
+    df, made = _counted(spark, 300)
+    t = SnapshotTable(spark, f"{tmp_root}/t", key="id", partition_by="day")
+    assert t.replace(df.withColumn("day", F.to_date("ts")))["rows"] == 300 and made.value == 300
+    assert len(t.current()["partitions"]) == 3 and t.read().count() == 300
+
+
+def test_first_rows_of_a_table_are_written_once(spark, tmp_root, monkeypatch):
+    paths, plain = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **kw: (paths.append(path), plain(self, path, *a, **kw))[1])
+    df, made = _counted(spark, 90)
+    t = SnapshotTable(spark, f"{tmp_root}/t", key="id", partition_by="day")
+    done = t.upsert(df.withColumn("day", F.to_date("ts")), hw_column="ts", meta_update={"n": 1})
+    assert made.value == 90 and len(paths) == 1 and done["rows"] == 90 and len(done["partitions"]) == 3
+    assert t.current()["meta"] == {"hw": "2024-01-03 00:00:00", "n": 1}
+    late = spark.createDataFrame([(1, dt.datetime(2024, 1, 3), "seen"), (2, dt.datetime(2024, 1, 4), "new")], "id bigint, ts timestamp, name string")
+    assert t.upsert(late.withColumn("day", F.to_date("ts")), hw_column="ts")["rows"] == 1
+    assert {r.id: r.name for r in t.read().collect() if r.id < 3} == {0: "r0", 1: "r1", 2: "new"} and t.read().count() == 90
+    empty = SnapshotTable(spark, f"{tmp_root}/e", key="id", partition_by="day")
+    assert empty.upsert(late.limit(0).withColumn("day", F.to_date("ts")), hw_column="ts")["rows"] == 0
+    assert empty.current()["partitions"] == {} and empty.current()["meta"] == {} and empty.read().count() == 0
+
+
+def test_a_workers_memory_follows_a_bound_not_its_batch(monkeypatch):
+    words = [f"w{i:06d}".encode() * 3 for i in range(20_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([b" ".join(words).decode()]), pa.array([1], pa.int32())], ["text", "y"])
+    plain, most = toxicity.grams, []
+    monkeypatch.setattr(toxicity, "grams", lambda some: (most.append(sum(map(len, some))), plain(some))[1])
+    found = np.zeros(1 << toxicity.BITS)
+    for part in toxicity._count(iter([batch])):
+        found[part.column("bucket").to_numpy()] += part.column("n").to_numpy()
+    assert max(most) <= toxicity.LETTERS and len(most) > 1
+    assert (found == np.bincount(plain(words)[0], minlength=1 << toxicity.BITS)).all()
